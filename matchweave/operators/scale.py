@@ -71,28 +71,24 @@ def running_sum(
     totals get their own running sum one level up, and each block adds what came before it. No
     task sees more than ``span`` rows of a key until the totals have shrunk by ``span ** levels``.
     """
-    sources = {name: f"_src_{i}" for i, name in enumerate(sums)}
-    base = df.select("*", *[value.alias(sources[name]) for name, value in sums.items()])
+    values = {name: f"_v{levels}_{i}" for i, name in enumerate(sums)}
+    base = df.select("*", *[value.alias(values[name]) for name, value in sums.items()])
+    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     if levels == 0:
-        window = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        summed = base.select("*", *[F.sum(src).over(window).alias(name) for name, src in sources.items()])
-        return summed.drop(*sources.values())
-
-    block = F.floor(F.col(order) / F.lit(span)).cast("bigint")
-    base = base.withColumn("_block", block)
-    totals = base.groupBy(key, "_block").agg(*[F.sum(src).alias(src) for src in sources.values()])
-    upper = running_sum(
-        totals, key, "_block", {f"_cum{src}": F.col(src) for src in sources.values()}, span, levels - 1
-    ).select(
-        F.col(key).alias("_key"),
-        F.col("_block").alias("_upper"),
-        *[(F.col(f"_cum{src}") - F.col(src)).alias(f"_before{src}") for src in sources.values()],
+        window = upto.partitionBy(key)
+        return base.select(*df.columns, *[F.sum(v).over(window).alias(name) for name, v in values.items()])
+
+    block = f"_block{levels}"
+    base = base.withColumn(block, F.floor(F.col(order) / F.lit(span)).cast("bigint"))
+    totals = base.groupBy(key, block).agg(*[F.sum(v).alias(v) for v in values.values()])
+    cumulated = running_sum(totals, key, block, {f"_c{v}": F.col(v) for v in values.values()}, span, levels - 1)
+    before = cumulated.select(key, block, *[(F.col(f"_c{v}") - F.col(v)).alias(f"_b{v}") for v in values.values()])
+    window = upto.partitionBy(key, block)
+    local = base.select(
+        *df.columns, block, *[F.sum(v).over(window).alias(f"_in{v}") for v in values.values()]
     )
-    window = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = base.select("*", *[F.sum(src).over(window).alias(f"_in{src}") for src in sources.values()])
-    joined = local.join(upper, (F.col(key) == F.col("_key")) & (F.col("_block") == F.col("_upper")))
-    out = [(F.col(f"_in{src}") + F.col(f"_before{src}")).alias(name) for name, src in sources.items()]
-    return joined.select(*df.columns, *out)
+    sums_out = [(F.col(f"_in{v}") + F.col(f"_b{v}")).alias(name) for name, v in values.items()]
+    return local.join(before, [key, block]).select(*df.columns, *sums_out)
 
 
 def sliced_join(
