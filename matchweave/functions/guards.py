@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,12 +52,20 @@ def bounded(text: Column, max_chars: int = MAX_CHARS) -> Column:
     ).otherwise(text)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind ``value`` to a name inside ``body``.
+
+    A value used several times is computed once, and the expression stays linear in size when a
+    filter above is pushed through it.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def find_json(raw: Column, prefix: str = RESPONSE_PREFIX) -> Column:
     """Fenced object, else first plain object, else one completed by the prefix, else the raw text."""
 
     def first(text: Column, pattern: str, group: int) -> Column:
-        found = F.regexp_extract(text, pattern, group)
-        return F.when(found != "", found)
+        return let(F.regexp_extract(text, pattern, group), lambda found: F.when(found != "", found))
 
     return F.coalesce(
         first(raw, FENCED_OBJECT, 1),
@@ -69,29 +79,28 @@ def implied_recommendation(score: Column) -> Column:
     return F.when(score >= STRONG_FROM, STRONG).when(score >= WEAK_FROM, WEAK).otherwise(NONE)
 
 
-def _text_at(value: str, path: str) -> str:
-    return f"try_variant_get({value}, '{path}', 'string')"
-
-
-def coerced_score(data: str) -> Column:
+def coerced_score(data: Column) -> Column:
     """Number (or numeric text, or boolean) cut to an integer in 0..100; -1 if it is none.
 
-    A missing key counts as 0. ``data`` names a variant column.
+    A missing key counts as 0.
     """
-    value = f"variant_get({data}, '$.score')"
-    text = strip(F.expr(_text_at(data, "$.score")))
-    cleaned = F.regexp_replace(text, "_", "")
-    as_double = F.when(text.rlike(_NUMBER), cleaned.try_cast("double"))
-    as_double = F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(as_double)
-    usable = as_double.isNotNull() & (F.abs(as_double) != float("inf"))
-    clamped = F.greatest(F.lit(0.0), F.least(F.lit(100.0), as_double)).cast("int")
-    missing = F.expr(f"{value} IS NULL")
-    return F.when(missing, F.lit(0)).when(usable, clamped).otherwise(F.lit(-1))
-
-
-def coerced_list(data: str, key: str) -> Column:
+
+    def number(text: Column) -> Column:
+        written = F.when(text.rlike(_NUMBER), F.regexp_replace(text, "_", "").try_cast("double"))
+        return F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(written)
+
+    def clamped(value: Column) -> Column:
+        usable = value.isNotNull() & (F.abs(value) != float("inf"))
+        return F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(100.0), value)).cast("int")).otherwise(F.lit(-1))
+
+    text = strip(F.try_variant_get(data, "$.score", "string"))
+    missing = F.try_variant_get(data, "$.score", "variant").isNull()
+    return F.when(missing, F.lit(0)).otherwise(let(let(text, number), clamped))
+
+
+def coerced_list(data: Column, key: str) -> Column:
     """First three items as text; an empty list for anything that is no list."""
-    items = F.expr(f"slice(try_variant_get({data}, '$.{key}', 'array<variant>'), 1, {LIST_ITEMS})")
+    items = F.slice(F.try_variant_get(data, f"$.{key}", "array<variant>"), 1, LIST_ITEMS)
 
     def as_text(item: Column) -> Column:
         kind = F.schema_of_variant(item)
@@ -105,68 +114,74 @@ def coerced_list(data: str, key: str) -> Column:
     return F.coalesce(F.transform(items, as_text), F.array().cast("array<string>"))
 
 
-def repair(responses: DataFrame, raw: str = "raw", out: str = "analysis") -> DataFrame:
-    """Add the checked analysis of each model response.
-
-    What can be mended is mended and noted as a warning; a response without a readable object gives
-    the fallback record and keeps its first characters.
-    """
-    spark = responses.sparkSession
-    body = F.regexp_replace(
-        find_json(F.col(raw)), r'("score"\s*:\s*)-?(?:NaN|Infinity)\b', "$1null"
-    )
-    # A repeated key keeps its last value; the setting is read when the expression is analysed.
-    with setting(spark, "spark.sql.variant.allowDuplicateKeys", "true"):
-        parsed = responses.withColumn("_data", F.try_parse_json(body))
-    parsed = parsed.withColumn(
-        "_data", F.when(F.schema_of_variant("_data").startswith("OBJECT"), F.col("_data"))
+def _checked(data: Column) -> Column:
+    """The analysis in a parsed response, mended where possible."""
+    said = F.regexp_replace(
+        F.lower(strip(F.try_variant_get(data, "$.recommendation", "string"))), rf"[{BLANK}]+", "_"
     )
+    judged = F.struct(coerced_score(data).alias("score"), said.alias("said"))
+
+    def labelled(j: Column) -> Column:
+        implied = implied_recommendation(j["score"])
+        known = F.coalesce(j["said"].isin(STRONG, WEAK, NONE), F.lit(False))
+        return F.struct(
+            j["score"].alias("score"),
+            implied.alias("implied"),
+            known.alias("known"),
+            F.when(known, j["said"]).otherwise(implied).alias("label"),
+        )
 
-    said = F.regexp_replace(F.lower(strip(F.expr(_text_at("_data", "$.recommendation")))), rf"[{BLANK}]+", "_")
-    stage = parsed.select(
-        "*",
-        coerced_score("_data").alias("_score"),
-        said.alias("_said"),
-        coerced_list("_data", "key_matches").alias("_matches"),
-        coerced_list("_data", "gaps").alias("_gaps"),
-    )
-    score, implied = F.col("_score"), implied_recommendation(F.col("_score"))
-    known = F.coalesce(F.col("_said").isin(STRONG, WEAK, NONE), F.lit(False))
-    first = F.when(known, F.col("_said")).otherwise(implied)
-    wrong = (first != implied) & (score >= 0)
-    warnings = F.filter(
-        F.array(
-            F.when(score < 0, F.concat(F.lit("score out of range: "), score.cast("string"))),
-            F.when(~known, F.concat(F.lit("recommendation coerced from model output to: "), implied)),
+    def warnings(k: Column) -> Column:
+        score = k["score"].cast("string")
+        wrong = (k["label"] != k["implied"]) & (k["score"] >= 0)
+        given = F.array(
+            F.when(k["score"] < 0, F.concat(F.lit("score out of range: "), score)),
+            F.when(~k["known"], F.concat(F.lit("recommendation coerced from model output to: "), k["implied"])),
             F.when(
                 wrong,
                 F.concat(
-                    F.lit("recommendation '"), first, F.lit("' inconsistent with score="), score.cast("string"),
-                    F.lit(", corrected to '"), implied, F.lit("'"),
+                    F.lit("recommendation '"), k["label"], F.lit("' inconsistent with score="), score,
+                    F.lit(", corrected to '"), k["implied"], F.lit("'"),
                 ),
             ),
-        ),
-        lambda w: w.isNotNull(),
-    )
-    empty = F.array().cast("array<string>")
-    good = F.struct(
-        score.alias("score"),
-        F.col("_matches").alias("key_matches"),
-        F.col("_gaps").alias("gaps"),
-        F.when(wrong, implied).otherwise(first).alias("recommendation"),
-        F.when(F.size(warnings) > 0, warnings).alias("warnings"),
-        F.lit(None).cast("string").alias("error"),
-        F.lit(None).cast("string").alias("raw"),
-    )
-    fallback = failed(F.lit(GUARD_ERROR), F.substring(F.col(raw), 1, RAW_KEPT), empty)
-    return stage.withColumn(out, F.when(F.col("_data").isNull(), fallback).otherwise(good)).drop(
-        "_data", "_score", "_said", "_matches", "_gaps"
-    )
+        )
+        return let(F.filter(given, lambda w: w.isNotNull()), lambda w: F.when(F.size(w) > 0, w))
+
+    def record(k: Column) -> Column:
+        return F.struct(
+            k["score"].alias("score"),
+            coerced_list(data, "key_matches").alias("key_matches"),
+            coerced_list(data, "gaps").alias("gaps"),
+            F.when(k["score"] >= 0, k["implied"]).otherwise(k["label"]).alias("recommendation"),
+            warnings(k).alias("warnings"),
+            F.lit(None).cast("string").alias("error"),
+            F.lit(None).cast("string").alias("raw"),
+        )
+
+    return let(let(judged, labelled), record)
+
+
+def repair(responses: DataFrame, raw: str = "raw", out: str = "analysis") -> DataFrame:
+    """Add the checked analysis of each model response.
+
+    What can be mended is mended and noted as a warning; a response without a readable object gives
+    the fallback record and keeps its first characters.
+    """
+
+    def analysed(text: Column) -> Column:
+        body = F.regexp_replace(find_json(text), r'("score"\s*:\s*)-?(?:NaN|Infinity)\b', "$1null")
+        parsed = let(F.try_parse_json(body), lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
+        fallback = failed(F.lit(GUARD_ERROR), F.substring(text, 1, RAW_KEPT))
+        return let(parsed, lambda data: F.when(data.isNull(), fallback).otherwise(_checked(data)))
 
+    # A repeated key keeps its last value; the setting is read when the expression is analysed.
+    with setting(responses.sparkSession, "spark.sql.variant.allowDuplicateKeys", "true"):
+        return responses.withColumn(out, let(F.col(raw), analysed))
 
-def failed(error: Column, raw: Column | None = None, empty: Column | None = None) -> Column:
+
+def failed(error: Column, raw: Column | None = None) -> Column:
     """The record of a pair that could not be analysed."""
-    empty = F.array().cast("array<string>") if empty is None else empty
+    empty = F.array().cast("array<string>")
     return F.struct(
         F.lit(-1).alias("score"),
         empty.alias("key_matches"),

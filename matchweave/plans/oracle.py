@@ -339,9 +339,9 @@ def oracle() -> dict[str, str]:
     sql["guard_extract_json"] = f"""WITH {SHAPES} SELECT id, CASE shape
         WHEN 3 THEN '{{"score": ' || s || '.7, ' || tail WHEN 4 THEN {RAW_4}
         WHEN 5 THEN '{{"score": ' || s || ', "gaps": []}}' WHEN 6 THEN '{{"score": null, ' || tail WHEN 7 THEN '{{}}'
-        WHEN 8 THEN {RAW_8_JSON} || '}}' WHEN 9 THEN {RAW_8_JSON} || '}}, ' || tail
+        WHEN 8 THEN {RAW_8_JSON} WHEN 9 THEN {RAW_8_JSON} || ', ' || tail
         WHEN 10 THEN '{{"score": "' || s || '", "gaps": "none", ' || tail WHEN 11 THEN '{{"score": true, "score": false, ' || tail
-        ELSE plain END AS json FROM bodies""".replace("}}", "}").replace("{{", "{")
+        ELSE plain END AS json FROM bodies"""
     sql["guard_score"] = f"WITH {SHAPES} SELECT id, CASE WHEN lost THEN -1 ELSE score END AS score FROM warned"
     sql["guard_lists"] = f"""WITH {SHAPES} SELECT id,
         CASE WHEN lost OR shape IN (5, 7) THEN '' ELSE source || '|7|None' END AS key_matches,
@@ -350,8 +350,8 @@ def oracle() -> dict[str, str]:
         CASE WHEN lost THEN 'no_match' WHEN wrong THEN implied ELSE first_label END AS recommendation,
         CASE WHEN len(warnings) > 0 THEN array_to_string(warnings, '|') END AS warnings,
         CASE WHEN lost THEN '{G.GUARD_ERROR}' END AS error,
-        CASE WHEN shape = 4 THEN {RAW_4} WHEN shape = 8 THEN left({RAW_8_JSON} || '}}, ' || tail, {G.RAW_KEPT}) END AS raw
-      FROM warned""".replace("}}", "}")
+        CASE WHEN shape = 4 THEN {RAW_4} WHEN shape = 8 THEN left({RAW_8_JSON} || ', ' || tail, {G.RAW_KEPT}) END AS raw
+      FROM warned"""
     sql["guard_status"] = f"""WITH {SHAPES} SELECT CASE WHEN lost THEN 'ERROR' WHEN len(warnings) > 0 THEN 'WARN' ELSE 'OK' END AS status,
         count(*) AS n_rows FROM warned GROUP BY ALL"""
     sql["guard_warnings"] = f"""WITH {SHAPES}, w AS (SELECT unnest(warnings) AS warning FROM warned)
