@@ -42,7 +42,7 @@ def top_per_key(df: DataFrame, key: str, order: list[Column], k: int, rank: str
 def dense_index(df: DataFrame, order: list[str | Column], out: str = "rank", start: int = 1) -> DataFrame:
     """Number all rows 1..n in a total order without moving them into one partition.
 
-    Rows are range-partitioned and pinned by a checkpoint; the offsets come from one count per
+    Rows are range-partitioned and written out with their range; the offsets come from one count per
     range, so the only single-task step sees as many rows as there are ranges.
     """
     ranged = durable(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))

@@ -246,8 +246,8 @@ def oracle() -> dict[str, str]:
       SELECT doc_id AS id, chr(10) || '  ' || source || ' ' || lang ||
         CASE lang WHEN 'en' THEN ' — ' WHEN 'fr' THEN '–' WHEN 'de' THEN ' - ' ELSE chr(10) END || text AS t FROM documents)
       SELECT id, {head_name('t')} AS name FROM named"""
-    sql["extract_title"] = f"""SELECT id, CASE WHEN lang = 'en' THEN {strip("regexp_extract(" + strip('t') + f", '^{LINE}')")}
-      ELSE {head_name('t')} END AS title FROM (SELECT doc_id AS id, lang, text AS t FROM documents)"""
+    # With the label: what follows it. Without: the whole first line, which is not cut at a dash.
+    sql["extract_title"] = f"""SELECT doc_id AS id, {strip(f"regexp_extract({strip('text')}, '^{LINE}')")} AS title FROM documents"""
     sql["task_prefix"] = (
         "SELECT doc_id AS id, length('search_document: ' || text) AS n_chars, md5('search_document: ' || text) AS digest FROM documents"
     )
@@ -262,7 +262,7 @@ def oracle() -> dict[str, str]:
     sql["upsert_latest"] = f"""WITH {DOCS},
       added AS (SELECT 'new_' || lang || '_' || source AS filename, filename AS title, raw_text, id * 2 + 1 AS seq FROM docs),
       fresh AS (SELECT filename, arg_max(title, seq) AS title, arg_max(raw_text, seq) AS raw_text, min(seq) AS first FROM added GROUP BY filename)
-      SELECT id + 1 AS id, filename, source AS title, md5(upper(raw_text)) AS digest, '2024-01-01' AS created FROM docs
+      SELECT id + 1 AS id, filename, source AS title, md5(lang || ': ' || raw_text) AS digest, '2024-01-01' AS created FROM docs
       UNION ALL
       SELECT (SELECT max(id) + 1 FROM docs) + row_number() OVER (ORDER BY first, filename), filename, title, md5(raw_text), '2024-06-01' FROM fresh"""
 

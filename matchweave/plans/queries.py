@@ -117,7 +117,7 @@ def upsert_latest(spark, folder):
         F.lit(CREATED).cast("timestamp").alias("created_at"),
     )
     changed = docs.select(
-        "filename", F.col("source").alias("title"), F.upper("raw_text").alias("raw_text"), no_vector, (F.col("id") * 2).alias("seq")
+        "filename", F.col("source").alias("title"), F.concat("lang", F.lit(": "), "raw_text").alias("raw_text"), no_vector, (F.col("id") * 2).alias("seq")
     )
     added = docs.select(
         F.concat_ws("_", F.lit("new"), "lang", "source").alias("filename"), F.col("filename").alias("title"), "raw_text",

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "matchweave", shuffle_partitions: int | None = None) -> SparkSession:
@@ -49,10 +49,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def durable(df):
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` below the shared folder and go on from the written table.
+
+    It is computed once, lost executors do not cost more than a read, and later plans know its size.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
