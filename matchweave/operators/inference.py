@@ -116,9 +116,13 @@ def complete(
 ) -> DataFrame:
     """Call a chat model once per row: ``keys``, the stripped ``raw`` answer, or the ``error`` text.
 
-    Only keys and messages travel to Python. A failing call becomes data and ends nothing.
+    Only keys and messages travel to Python. A failing call becomes data and ends nothing. Calls take
+    far longer than moving their text, so rows are dealt out evenly first; otherwise a few small
+    rows would be put into one task.
     """
-    source = df.select(*keys, chat)
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    source = df.select(*keys, chat).repartition(tasks)
     schema = T.StructType(
         [source.schema[k] for k in keys]
         + [T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())]

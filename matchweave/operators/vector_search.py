@@ -24,7 +24,7 @@ QUERY_BYTES = 64 << 20
 #: Query rows multiplied at once, and block sizes of the two-sided form.
 TILE = 512
 CORPUS_BLOCK = 50_000
-QUERY_BLOCK = 4_096
+QUERY_BLOCK = 32_768
 #: Distances are compared at this many decimals, so copies of one vector tie and fall to the id.
 DECIMALS = 12
 

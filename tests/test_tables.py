@@ -16,7 +16,7 @@ MODEL = hashed_embedding(DIM)
 @pytest.fixture()
 def stored(spark):
     tables.drop_tables(spark)
-    tables.create_tables(spark)
+    tables.create_tables(spark, buckets=5)
     tables.create_tables(spark)
     yield spark
     tables.drop_tables(spark)
