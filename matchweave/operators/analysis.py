@@ -52,18 +52,19 @@ def analysed_pairs(pairs: DataFrame, fn: CompleteFn) -> DataFrame:
 
     A pair with a screened-out text is not sent to the model; its record says which side it was.
     """
-    bad_document = F.coalesce(G.has_injection(F.col("document_text")), F.lit(False))
-    bad_offer = F.coalesce(G.has_injection(F.col("offer_text")), F.lit(False))
-    refused = F.when(bad_document, "document").when(bad_offer, "offer")
-    marked = pairs.withColumn("_refused", refused)
+    refused = F.when(G.has_injection(F.col("document_text")), "document").when(
+        G.has_injection(F.col("offer_text")), "offer"
+    )
     text = P.prompt(G.bounded(F.col("document_text")), G.bounded(F.col("offer_text")))
-    asked = marked.filter(F.col("_refused").isNull()).withColumn("messages", P.messages(text))
-    other = [c for c in pairs.columns if c not in ("document_text", "offer_text")]
-    done = analysed_responses(complete(asked.select(*other, "messages"), fn, other))
-    quarantined = marked.filter(F.col("_refused").isNotNull()).select(
-        *other, G.failed(F.concat(F.lit("prompt injection detected in "), F.col("_refused"))).alias("analysis")
+    kept = [c for c in pairs.columns if c not in ("document_text", "offer_text")]
+    asked = pairs.withColumn("_refused", refused).select(
+        *kept, "_refused", F.when(F.col("_refused").isNull(), P.messages(text)).alias("messages")
     )
-    return done.unionByName(quarantined)
+    analysed = analysed_responses(complete(asked, fn, [*kept, "_refused"]))
+    barred = G.failed(F.concat(F.lit("prompt injection detected in "), F.col("_refused")))
+    return analysed.withColumn(
+        "analysis", F.when(F.col("_refused").isNotNull(), barred).otherwise(F.col("analysis"))
+    ).drop("_refused")
 
 
 def analysed_responses(responses: DataFrame) -> DataFrame:

@@ -116,6 +116,8 @@ def complete(
 ) -> DataFrame:
     """Call a chat model once per row: ``keys``, the stripped ``raw`` answer, or the ``error`` text.
 
+    A row without messages is passed on without a call.
+
     Only keys and messages travel to Python. A failing call becomes data and ends nothing. Calls take
     far longer than moving their text, so rows are dealt out evenly first; otherwise a few small
     rows would be put into one task.
@@ -135,7 +137,7 @@ def complete(
                 answers, errors = [], []
                 for row in part.column(chat).to_pylist():
                     try:
-                        answers.append(fn(row).strip())
+                        answers.append(fn(row).strip() if row is not None else None)
                         errors.append(None)
                     except Exception as problem:  # noqa: BLE001 - any model failure is recorded
                         answers.append(None)
