@@ -33,7 +33,8 @@ def top_per_key(df: DataFrame, key: str, order: list[Column], k: int, rank: str
     """Rank rows of each key and keep the first ``k``.
 
     ``row_number() <= k`` is planned with a group limit below the exchange, so a key that holds
-    most rows still sends at most ``k`` rows per map task.
+    most rows still sends at most ``k`` rows per map task. Spark does so up to the ``k`` set in
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless changed).
     """
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.filter(F.col(rank) <= k).withColumn(rank, F.col(rank).cast("bigint"))
@@ -70,6 +71,8 @@ def running_sum(
     A key is cut into blocks of ``span`` order values. Blocks are summed independently, the block
     totals get their own running sum one level up, and each block adds what came before it. No
     task sees more than ``span`` rows of a key until the totals have shrunk by ``span ** levels``.
+    Order values are expected to be roughly dense, as turn numbers are; take a larger ``span`` for
+    sparse ones.
     """
     values = {name: f"_v{levels}_{i}" for i, name in enumerate(sums)}
     base = df.select("*", *[value.alias(values[name]) for name, value in sums.items()])
