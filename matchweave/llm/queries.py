@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchweave.llm.sharding import assign_shards
+from matchweave.llm.substring_dedup import remove_repeats
 from matchweave.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark, folder):
+    """Every document without the 50-word passages that an earlier one has."""
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op2_extendible_shards(spark, folder):
     """Every document with its shard of at most 64 MiB."""
