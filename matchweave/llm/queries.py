@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchweave.llm.sharding import assign_shards
+from matchweave.llm.shingle_join import near_duplicates
 from matchweave.llm.substring_dedup import remove_repeats
 from matchweave.llm.url_filter import judge_urls
 
@@ -35,6 +36,12 @@ def op2_extendible_shards(spark, folder):
     return assign_shards(table(spark, folder, "documents"))
 
 
+@query
+def op4_shingle_join(spark, folder):
+    """Every document with its component of documents that share 85 % of their 4-word shingles."""
+    return near_duplicates(table(spark, folder, "documents"), n=4, threshold=(85, 100))
+
+
 @query
 def op10_url_rules(spark, folder):
     """Every page with its host, path, deciding site rule and verdict."""
