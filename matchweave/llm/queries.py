@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from matchweave.llm.html_text import extract_text
+from matchweave.llm.packing import pack_documents
+from matchweave.llm.quality import held_out, score_quality, train
 from matchweave.llm.sharding import assign_shards
 from matchweave.llm.shingle_join import near_duplicates
 from matchweave.llm.substring_dedup import remove_repeats
@@ -36,12 +40,39 @@ def op2_extendible_shards(spark, folder):
     return assign_shards(table(spark, folder, "documents"))
 
 
+@query
+def op3_quality_attention(spark, folder):
+    """Every document with its quality score by a model fitted outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    scored = score_quality(docs, train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_shingle_join(spark, folder):
     """Every document with its component of documents that share 85 % of their 4-word shingles."""
     return near_duplicates(table(spark, folder, "documents"), n=4, threshold=(85, 100))
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that the packing query counts in."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op7_sequence_packing(spark, folder):
+    """Every piece of every document with its place in a sequence of at most 2048 tokens."""
+    return pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query
+def op9_html_text(spark, folder):
+    """Every page with its main text."""
+    return extract_text(table(spark, folder, "pages"))
+
+
 @query
 def op10_url_rules(spark, folder):
     """Every page with its host, path, deciding site rule and verdict."""
