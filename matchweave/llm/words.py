@@ -83,10 +83,13 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def split_words(column: pa.Array, lower: bool = False) -> Words:
-    r"""Words ``[^\x20\x09-\x0D]+`` of every text; ``lower`` hashes A-Z as a-z."""
+def split_words(column: pa.Array, lower: bool = False, separator: np.ndarray = SEPARATOR) -> Words:
+    r"""Words of every text, by default ``[^\x20\x09-\x0D]+``; ``lower`` hashes A-Z as a-z.
+
+    ``separator`` marks the bytes that stand between words.
+    """
     data, offsets = column_bytes(column)
-    inside = ~SEPARATOR[data]
+    inside = ~separator[data]
     at_start = np.zeros(len(data) + 1, dtype=bool)
     at_start[offsets] = True
     before = np.empty(len(data), dtype=bool)
