@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 from matchweave.llm.fm_index import FMIndex
 from matchweave.llm.words import by_bytes, grams, mix, sliding_min, split_words, valid_runs
+from matchweave.operators.scale import union_all
 from matchweave.session import durable
 
 #: Words of a window.
 WINDOW = 50
 #: Words of the anchors that deal windows to shards.
 ANCHOR = 16
-#: Different texts around one anchor up to which they stay together; beyond, its windows are dealt one by one.
+#: Different runs around one anchor up to which they stay together; beyond, they are cut into pieces.
 HOT_TEXTS = 64
+#: Windows of a piece, from one cut to the next.
+GRAINS = (8, 1)
 #: Texts in the index of one shard.
 SHARD_TEXTS = 4_000
 
@@ -83,36 +86,50 @@ def _runs(window: int, anchor: int):
 RUN = "_id bigint, _key bigint, _anchor bigint, _whole bigint, _first int, _count int"
 
 
-def _windows(window: int):
-    """Every window of the listed runs with a hash of its words."""
+def _split(window: int, anchor: int, grain: int):
+    """Cut the listed runs into pieces of at most ``grain`` windows, in the same places wherever they occur.
+
+    A window's piece is told by how far its anchor is from its begin, in steps of ``grain``; the windows of a piece
+    have ``window - grain + 1`` words in common, whose hash is the key that equal windows share. With ``grain`` 1 a piece is a
+    window.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "_text"):
             words = split_words(batch.column("_text"))
-            every = grams(words.hashes, window)
-            anchor, whole, offset, ids, keys, first, hashed = [], [], [], [], [], [], []
+            anchors, common = grams(words.hashes, anchor), grams(words.hashes, window - grain + 1)
+            rows, keys, starts, counts = [], [], [], []
             for i, runs in enumerate(batch.column("_runs").to_pylist()):
+                source = (batch.column("_id")[i].as_py(), batch.column("_key")[i].as_py())
                 for run in runs:
-                    begin = words.first[i] + run["_first"]
-                    n = run["_count"]
-                    hashed.append(every[begin : begin + n])
-                    offset.append(np.arange(n, dtype=np.int32))
-                    first.append(np.arange(run["_first"], run["_first"] + n, dtype=np.int32))
-                    anchor.append(np.full(n, run["_anchor"]))
-                    whole.append(np.full(n, run["_whole"]))
-                    ids.append(np.full(n, batch.column("_id")[i].as_py()))
-                    keys.append(np.full(n, batch.column("_key")[i].as_py()))
-            columns = [anchor, whole, offset, ids, keys, first]
-            if hashed:
+                    begin, n = int(words.first[i]) + run["_first"], run["_count"]
+                    inside = anchors[begin : begin + n + window - anchor]
+                    places = np.flatnonzero(inside == inside[: window - anchor + 1].min())
+                    window_at = np.arange(n)
+                    place = places[np.searchsorted(places, window_at)]
+                    step = (place - window_at) // grain
+                    cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (step[1:] != step[:-1])]))
+                    shared = begin + place[cut] - grain * step[cut]
+                    keys.append(mix(common[shared] + step[cut].astype(np.uint64) * np.uint64(_RADIX)))
+                    starts.append(begin + cut)
+                    counts.append(np.diff(np.concatenate([cut, [n]])))
+                    rows += [(run["_anchor"], run["_whole"], int(c), *source, run["_first"] + int(c)) for c in cut]
+            if rows:
+                begins, sizes = np.concatenate(starts), np.concatenate(counts)
+                whole = _range_hashes(words.hashes, begins, begins + sizes + window - 1)
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in columns] + [_signed(np.concatenate(hashed))],
-                    names=["_anchor", "_whole", "_offset", "_id", "_key", "_first", "_window"],
+                    [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+                    + [pa.array(sizes.astype(np.int32)), _signed(np.concatenate(keys)), _signed(whole)],
+                    names=["_in", "_of", "_offset", "_id", "_key", "_first", "_count", "_anchor", "_whole"],
                 )
 
     return find
 
 
-WINDOWS = "_anchor bigint, _whole bigint, _offset int, _id bigint, _key bigint, _first int, _window bigint"
+PIECE = (
+    "_in bigint, _of bigint, _offset int, _id bigint, _key bigint, _first int, _count int, _anchor bigint, _whole bigint"
+)
 
 
 def _contents(window: int):
@@ -131,11 +148,11 @@ def _contents(window: int):
                 for run in batch.column("_runs")[i].as_py():
                     begin = run["_first"]
                     content = b" ".join(words[begin : begin + run["_count"] + window - 1])
-                    rows.append((run["_anchor"], run["_whole"], batch.column("_id")[i].as_py(), content.decode()))
+                    rows.append((run["_level"], run["_anchor"], run["_whole"], source[0], content.decode()))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string())
                 columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=["_anchor", "_whole", "_id", "_content"])
+                yield pa.RecordBatch.from_arrays(columns, names=["_level", "_anchor", "_whole", "_id", "_content"])
 
     return find
 
@@ -147,27 +164,21 @@ def _search(window: int):
         words = split_words(shard.column("_content"))
         owners = shard.column("_id").to_numpy()
         sequences = np.split(words.hashes, words.first[1:-1])
-        spans, earliest = [], []
+        spans = []
         for owner, first in zip(owners, FMIndex(sequences, owners, window).first_owners()):
             covered = np.concatenate([[False], first < owner, [False]])
             edges = np.flatnonzero(covered[1:] != covered[:-1])
             spans.append([{"_from": int(a), "_n": int(b - a)} for a, b in zip(edges[::2], edges[1::2])])
-            earliest.append(int(first[0]))
+        kind = pa.list_(pa.struct([("_from", pa.int32()), ("_n", pa.int32())]))
         return pa.Table.from_arrays(
-            [
-                shard.column("_anchor"),
-                shard.column("_whole"),
-                shard.column("_id"),
-                pa.array(earliest, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("_from", pa.int32()), ("_n", pa.int32())]))),
-            ],
-            names=["_anchor", "_whole", "_id", "_earliest", "_spans"],
+            [shard.column(n) for n in ("_level", "_anchor", "_whole", "_id")] + [pa.array(spans, kind)],
+            names=["_level", "_anchor", "_whole", "_owner", "_spans"],
         )
 
     return find
 
 
-FOUND = "_anchor bigint, _whole bigint, _id bigint, _earliest bigint, _spans array<struct<_from int, _n int>>"
+FOUND = "_level int, _anchor bigint, _whole bigint, _owner bigint, _spans array<struct<_from int, _n int>>"
 
 
 def _keep(window: int, with_text: bool):
@@ -229,8 +240,9 @@ def remove_repeats(
     words inside it, so equal windows meet. Neighbouring windows with the same anchor travel as one run. Anchors that
     only one document has are left out, equal runs travel once with their smallest ``doc_id``, and each shard builds
     one FM-index over its runs and streams them against it. An anchor inside more than ``hot_texts`` different runs (a
-    passage that many documents quote) would fill a shard: its runs are cut into single windows, dealt by their hash,
-    and windows of one run only are left out first. No run, document or window is dropped otherwise.
+    passage that many documents quote, or many near copies) would fill a shard: its runs are cut into pieces of 8
+    windows and, where need be, into single ones, dealt by the words that all windows of a piece share; pieces whose
+    key occurs once have no equal and end there. No run, document or window is dropped otherwise.
 
     Null text counts as empty; a document below ``window`` words keeps all. Rows that repeat a ``doc_id`` are answered
     each and never count as earlier than one another; a null ``doc_id`` counts as later than any other. An empty table
@@ -249,62 +261,73 @@ def remove_repeats(
     runs = durable(all_runs.join(shared, "_anchor", "left_semi"))
 
     place = F.min(F.struct("_id", "_key", "_first", "_count")).alias("_at")
-    firsts = durable(runs.groupBy("_anchor", "_whole").agg(place).select("_anchor", "_whole", "_at.*"))
-    hot = firsts.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_texts).select("_anchor")
+
+    def first_of(pieces: DataFrame) -> DataFrame:
+        """Each different piece once, with the place of its smallest id."""
+        return durable(pieces.groupBy("_anchor", "_whole").agg(place).select("_anchor", "_whole", "_at.*"))
 
     def listed(wanted: DataFrame) -> DataFrame:
-        """Texts with the list of runs that are wanted from them."""
-        by_text = wanted.groupBy("_id", "_key").agg(
-            F.collect_list(F.struct("_anchor", "_whole", "_first", "_count")).alias("_runs")
-        )
-        # rows that repeat an id and a text would only repeat the same runs
+        """Texts with the list of pieces that are wanted from them."""
+        others = [c for c in wanted.columns if c not in ("_id", "_key")]
+        by_text = wanted.groupBy("_id", "_key").agg(F.collect_list(F.struct(*others)).alias("_runs"))
         return texts.join(by_text, ["_id", "_key"])
 
-    single = durable(listed(firsts.join(hot, "_anchor", "left_semi")).mapInArrow(_windows(window), WINDOWS))
-    repeated = single.groupBy("_window").agg(
-        F.min(F.struct("_id", "_key", "_first")).alias("_at"),
-        F.min("_whole").alias("_a"),
-        F.max("_whole").alias("_b"),
-        F.min("_anchor").alias("_c"),
-        F.max("_anchor").alias("_d"),
+    # level by level: pieces, the different ones, and which of those have keys in too many of them
+    levels = [(None, first_of(runs), None)]
+    for grain in (*GRAINS, None):
+        _, firsts, _ = levels[-1]
+        hot = firsts.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_texts).select("_anchor")
+        levels[-1] = (*levels[-1][:2], hot)
+        if grain is None or hot.isEmpty():
+            break
+        pieces = durable(listed(firsts.join(hot, "_anchor", "left_semi")).mapInArrow(_split(window, anchor, grain), PIECE))
+        # keys that occur once have nothing to be equal to
+        again = pieces.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_anchor")
+        pieces = durable(pieces.join(again, "_anchor", "left_semi"))
+        levels.append((pieces, first_of(pieces), None))
+
+    last = len(levels) - 1
+    searched = [
+        (firsts if level == last else firsts.join(hot, "_anchor", "left_anti")).withColumn("_level", F.lit(level))
+        for level, (_, firsts, hot) in enumerate(levels)
+    ]
+    searched = durable(union_all(searched))
+    shards = max(1, -(-searched.count() // shard_texts))
+    contents = listed(searched).mapInArrow(
+        _contents(window), "_level int, _anchor bigint, _whole bigint, _id bigint, _content string"
     )
-    # one sequence per hot window; a hash of one window stands for anchor and content
-    hot_firsts = repeated.filter("_a <> _b or _c <> _d").select(
-        F.col("_window").alias("_anchor"), F.lit(None).cast("bigint").alias("_whole"), "_at.*", F.lit(1).alias("_count")
-    )
-    cold_firsts = firsts.join(hot, "_anchor", "left_anti")
-    contents = listed(cold_firsts.unionByName(hot_firsts)).mapInArrow(
-        _contents(window), "_anchor bigint, _whole bigint, _id bigint, _content string"
-    )
-    shards = max(1, -(-firsts.count() // shard_texts))
     found = durable(
         contents.withColumn("_shard", F.pmod(F.xxhash64("_anchor"), F.lit(shards)))
         .groupBy("_shard")
         .applyInArrow(_search(window), FOUND)
     )
 
-    # the answer for each different run: its first owner and the windows that have an earlier one
-    cold_found = found.filter("_whole is not null").select("_anchor", "_whole", F.col("_id").alias("_owner"), "_spans")
-    one = F.struct(F.col("_offset").alias("_from"), F.lit(1).alias("_n"))
-    hot_found = (
-        single.join(found.filter("_whole is null").select(F.col("_anchor").alias("_window"), "_earliest"), "_window")
-        .filter(F.col("_earliest") < F.col("_id"))
-        .groupBy("_anchor", "_whole")
-        .agg(F.collect_set(one).alias("_spans"))
-    )
-    hot_owner = firsts.join(hot, "_anchor", "left_semi").select("_anchor", "_whole", F.col("_id").alias("_owner"))
-    hot_found = hot_owner.join(hot_found, ["_anchor", "_whole"], "left")
-    answers = cold_found.unionByName(hot_found)
-
-    whole_run = F.array(F.struct(F.lit(0).alias("_from"), F.col("_count").alias("_n")))
-    spans = F.when(F.col("_id") > F.col("_owner"), whole_run).otherwise(F.col("_spans"))
-    shift = F.transform(spans, lambda s: F.struct((s["_from"] + F.col("_first")).alias("_from"), s["_n"].alias("_n")))
-    removed = (
-        runs.join(answers, ["_anchor", "_whole"])
-        .select("_id", "_key", F.explode(shift).alias("_span"))
-        .groupBy("_id", "_key")
-        .agg(F.collect_list("_span").alias("_removed"))
-    )
+    def spans_of(pieces: DataFrame, answers: DataFrame) -> DataFrame:
+        """Spans of windows with an earlier owner, for each occurrence of a piece."""
+        whole = F.array(F.struct(F.lit(0).alias("_from"), F.col("_count").alias("_n")))
+        spans = F.when(F.col("_id") > F.col("_owner"), whole).otherwise(F.col("_spans"))
+        joined = pieces.join(answers, ["_anchor", "_whole"]).withColumn("_spans", spans)
+        return joined.filter(F.size("_spans") > 0)
+
+    def moved(by: str) -> F.Column:
+        return F.transform("_spans", lambda s: F.struct((s["_from"] + F.col(by)).alias("_from"), s["_n"].alias("_n")))
+
+    answers = None
+    for level in range(last, -1, -1):
+        own = found.filter(F.col("_level") == level).drop("_level")
+        if level < last:
+            pieces, firsts = levels[level + 1][0], levels[level][1]
+            inner = spans_of(pieces, answers).select("_in", "_of", moved("_offset").alias("_spans"))
+            inner = inner.groupBy("_in", "_of").agg(F.flatten(F.collect_list("_spans")).alias("_spans"))
+            inner = inner.withColumnsRenamed({"_in": "_anchor", "_of": "_whole"})
+            owners = firsts.join(levels[level][2], "_anchor", "left_semi").select(
+                "_anchor", "_whole", F.col("_id").alias("_owner")
+            )
+            own = own.unionByName(owners.join(inner, ["_anchor", "_whole"], "left"))
+        answers = own
+
+    removed = spans_of(runs, answers).select("_id", "_key", moved("_first").alias("_spans"))
+    removed = removed.groupBy("_id", "_key").agg(F.flatten(F.collect_list("_spans")).alias("_removed"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text
     return rows.join(removed, ["_id", "_key"], "left").select("_doc", "_text", "_removed").mapInArrow(
         _keep(window, with_text), schema
