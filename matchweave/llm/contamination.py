@@ -237,12 +237,34 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS,
     empty table on either side gives no rows; other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
+    found = [rows.mapInArrow(_find(index), HITS) for index in item_blocks(benchmark, edits, block_bytes)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def item_blocks(benchmark: DataFrame, edits: float, block_bytes: int) -> Iterator[ItemIndex]:
+    """The items in blocks of about ``block_bytes``, each brought to the driver and indexed by itself."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("_item"), F.col("text").alias("_text")).filter("_text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
-    found = []
     for block in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("_item", "_text"), F.lit(blocks)) == block).orderBy("_item", "_text").collect()
-        index = ItemIndex([r._item for r in mine], [r._text for r in mine], edits)
-        found.append(rows.mapInArrow(_find(index), HITS))
-    return reduce(DataFrame.unionByName, found)
+        yield ItemIndex([r._item for r in mine], [r._text for r in mine], edits)
+
+
+def _leave(index: ItemIndex):
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text"):
+            column = batch.column(batch.schema.get_field_index("text"))
+            words = split_words(column, lower=True, separator=_BETWEEN)
+            kept = np.ones(batch.num_rows, dtype=bool)
+            kept[[text for text, _ in _search(index, words.hashes, words.first)]] = False
+            yield batch.filter(pa.array(kept))
+
+    return leave
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text holds no item of ``benchmark`` as ``find_benchmark`` defines it."""
+    for index in item_blocks(benchmark, edits, block_bytes):
+        docs = docs.mapInArrow(_leave(index), docs.schema)
+    return docs

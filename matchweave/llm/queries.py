@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchweave.llm.block_topk import top_k
+from matchweave.llm.contamination import find_benchmark
 from matchweave.llm.html_text import extract_text
 from matchweave.llm.packing import pack_documents
+from matchweave.llm.pii import find_pii
+from matchweave.llm.pii import train as train_tagger
 from matchweave.llm.quality import held_out, score_quality, train
 from matchweave.llm.sharding import assign_shards
 from matchweave.llm.shingle_join import near_duplicates
@@ -54,6 +58,18 @@ def op4_shingle_join(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), n=4, threshold=(85, 100))
 
 
+@query
+def op5_benchmark_passages(spark, folder):
+    """Every document that holds a benchmark item, with the best window."""
+    return find_benchmark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op6_block_topk(spark, folder):
+    """The five nearest vectors of every fiftieth vector."""
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def tokenizer_path() -> str:
     """The public vocabulary that the packing query counts in."""
     import public_tokenizers
@@ -67,6 +83,13 @@ def op7_sequence_packing(spark, folder):
     return pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+@query
+def op8_pii_tagger(spark, folder):
+    """Every document with its personal data."""
+    docs = table(spark, folder, "documents")
+    return find_pii(docs, train_tagger(docs))
+
+
 @query
 def op9_html_text(spark, folder):
     """Every page with its main text."""

@@ -246,8 +246,10 @@ def _verify(threshold: tuple[int, int]):
     return verify
 
 
-def near_duplicates(docs: DataFrame, n: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    r"""``doc_id, n_shingles, component_id`` of every row of ``docs``.
+def near_duplicates(
+    docs: DataFrame, n: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, text_key: str | None = None
+) -> DataFrame:
+    r"""``doc_id, n_shingles, component_id`` (and ``text_key``: a hash of the text) of every row of ``docs``.
 
     A-Z are lower-cased; words are ``[^\x20\x09-\x0D]+`` of the whole text; a document's set holds its distinct
     shingles of ``n`` words, or its whole sequence if it has fewer words. Two documents are linked if
@@ -327,4 +329,5 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, threshold: tuple[int, int
         F.col("_doc").alias("doc_id"),
         F.col("_size").alias("n_shingles"),
         F.coalesce("component_id", "_doc").alias("component_id"),
+        *([F.col("_key").alias(text_key)] if text_key else []),
     )

@@ -47,4 +47,17 @@ select p.page_id, p.host, p.path, b.rule,
 from parts p left join best b on p.page_id = b.page_id and p.url is not distinct from b.url
 """
 
-SQL = {"op2_extendible_shards": OP2, "op10_url_rules": OP10}
+OP6 = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from usable q join usable c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored)
+select * from ranked where rank <= 5
+"""
+
+SQL = {"op6_block_topk": OP6, "op2_extendible_shards": OP2, "op10_url_rules": OP10}
