@@ -22,6 +22,12 @@ THRESHOLD = (80, 100)
 BLOCK_BITS = 4096
 #: Chance that a document has more empty blocks than its band allows for.
 EMPTY_TAIL = 1e-6
+#: Sets in one block from which it is hot, and hot blocks that a sketch may have without being in a family.
+HOT_SETS, HOT_BLOCKS = 64, 3
+#: Sets of a family that are compared with each other in one task, at most twice as many.
+FAMILY_PART = 512
+#: Low bits of a block's key that tell its band.
+BAND_BITS = 10
 
 _BIT = np.random.default_rng(20240402).integers(1, 1 << 63, BLOCK_BITS, dtype=np.uint64)
 
@@ -31,7 +37,8 @@ class Band:
     """Set sizes ``low..high`` and the sketch that links them to this band and the next one.
 
     Two linked sets, the smaller in this band, differ in at most ``differ`` shingles. A sketch has
-    ``differ + 1 + empty`` blocks, so at least ``empty + 1`` blocks of the two agree.
+    ``differ + 1 + empty + hot`` blocks, so at least ``empty + hot + 1`` blocks of the two agree: one at least that is
+    neither empty nor hot, if one of the two has at most ``empty`` empty and ``hot`` hot blocks.
     """
 
     low: int
@@ -39,21 +46,35 @@ class Band:
     differ: int
     blocks: int
     empty: int
+    hot: int
+
+
+def hot_blocks(differ: int) -> int:
+    """Hot blocks that are left out where a sketch has no more; short texts have too few blocks to spare."""
+    return min(HOT_BLOCKS, differ // 4)
 
 
 def _band(low: int, high: int, num: int, den: int) -> Band:
     differ = (high + high * den // num) * (den - num) // (den + num)
-    empty = 0
+    empty, hot = 0, hot_blocks(differ)
     while True:
-        blocks = differ + 1 + empty
-        mean = blocks * math.exp(-low / blocks)
-        term, tail = math.exp(-mean), 1.0
-        for k in range(empty + 1):
-            tail -= term
-            term *= mean / (k + 1)
-        if tail < EMPTY_TAIL or empty >= differ + 1:
-            return Band(low, high, differ, blocks, empty)
-        empty += 1
+        blocks = differ + 1 + empty + hot
+        needed = min(_tail_count(blocks * math.exp(-low / blocks)), differ + 1)
+        if needed <= empty:
+            return Band(low, high, differ, blocks, empty, hot)
+        empty = needed
+
+
+def _tail_count(mean: float) -> int:
+    """The smallest count that a Poisson number exceeds with a chance below ``EMPTY_TAIL``."""
+    if mean > 50:
+        return math.ceil(mean + 6 * math.sqrt(mean))
+    count, term, tail = 0, math.exp(-mean), 1 - math.exp(-mean)
+    while tail >= EMPTY_TAIL:
+        count += 1
+        term *= mean / count
+        tail -= term
+    return count
 
 
 class Bands:
@@ -120,7 +141,8 @@ def sketch_keys(items: np.ndarray, bands: Bands) -> np.ndarray:
             missing = np.setdiff1d(np.arange(band.blocks, dtype=np.uint64), named)
             named = np.concatenate([named, missing])
             parity = np.concatenate([parity, np.zeros(len(missing), dtype=np.uint64)])
-        found.append(mix(mix(named + np.uint64(number << 32)) + parity))
+        keys = mix(mix(named + np.uint64(number << 32)) + parity) << np.uint64(BAND_BITS)
+        found.append(keys | np.uint64(number & ((1 << BAND_BITS) - 1)))
     return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
 
 
@@ -185,31 +207,63 @@ def _first_of_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
-def _next_leads(count: int):
-    """Of rows in order of block, compare the first ``count`` sets of each block with those after them.
-
-    Gives a row for each pair of different components and one without ``_lead`` for each set that was no lead.
-    """
+def _pairs_of_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of block, the pairs in each block that differ in component and in family."""
+    block, held = None, []
+    for batch in batches:
+        out: tuple[list, list] = ([], [])
+        for b, *row in zip(*(batch.column(x).to_pylist() for x in ("_block", "_set", "_part", "_family"))):
+            if b != block:
+                block, held = b, []
+            for other, part, family in held:
+                if part != row[1] and (family is None or family != row[2]):
+                    out[0].append(other)
+                    out[1].append(row[0])
+            held.append(row)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["u", "v"])
+
+
+def _compare(threshold: tuple[int, int]):
+    """Links among the sets of two parts of a family, as one edge from each set to the smallest one it reaches."""
+    num, den = threshold
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, leads = None, []
-        for batch in batches:
-            out = ([], [], [])
-            for b, s, c in zip(*(batch.column(x).to_pylist() for x in ("_block", "_set", "_part"))):
-                if b != block:
-                    block, leads = b, []
-                rows = [(b, lead, s) for lead, part in leads if part != c]
-                if len(leads) < count:
-                    leads.append((s, c))
-                else:
-                    rows.append((b, None, s))
-                for row in rows:
-                    for column, value in zip(out, row):
-                        column.append(value)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["_block", "_lead", "_set"])
-
-    return pair
+    def compare(table: pa.Table) -> pa.Table:
+        names = table.column("_set").to_numpy()
+        lists = table.column("_items").combine_chunks()
+        sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+        items = lists.flatten().to_numpy()
+        rows = np.repeat(np.arange(len(names)), sizes)
+        # shingles of one set only add nothing to an intersection
+        _, column, count = np.unique(items, return_inverse=True, return_counts=True)
+        shared = count[column] > 1
+        number = np.cumsum(count > 1) - 1
+        rows, column = rows[shared], number[column[shared]]
+        both = np.zeros((len(names), len(names)), dtype=np.float32)
+        order = np.argsort(column, kind="stable")
+        rows, column = rows[order], column[order]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            part = slice(*np.searchsorted(column, [first, first + COLUMNS]))
+            matrix = np.zeros((len(names), COLUMNS), dtype=np.float32)
+            matrix[rows[part], column[part] - first] = 1
+            both += matrix @ matrix.T
+        common = both.astype(np.int64)
+        linked = den * common >= num * (sizes[:, None] + sizes[None, :] - common)
+        label = np.arange(len(names))
+        while True:
+            least = np.where(linked, label[None, :], len(names)).min(axis=1)
+            least = np.minimum(label, least)
+            if (least == label).all():
+                break
+            label = least
+        found = np.flatnonzero(label != np.arange(len(names)))
+        return pa.table({"u": pa.array(names[found]), "v": pa.array(names[label[found]])})
+
+    return compare
+
+
+#: Shingles whose columns are multiplied at once.
+COLUMNS = 2048
 
 
 def _sets(n: int):
@@ -247,7 +301,12 @@ def _verify(threshold: tuple[int, int]):
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, text_key: str | None = None
+    docs: DataFrame,
+    n: int = SHINGLE,
+    threshold: tuple[int, int] = THRESHOLD,
+    text_key: str | None = None,
+    hot_sets: int = HOT_SETS,
+    family_part: int = FAMILY_PART,
 ) -> DataFrame:
     r"""``doc_id, n_shingles, component_id`` (and ``text_key``: a hash of the text) of every row of ``docs``.
 
@@ -256,11 +315,14 @@ def near_duplicates(
     ``den * intersection >= num * union``. ``component_id`` is the smallest ``doc_id`` reachable by links.
 
     Equal sets become one node, named by a 64-bit hash of the set. Each set is cut into blocks of a parity sketch, as
-    many as two linked sets of its size band can differ plus one (and a few for empty blocks), so linked sets agree in
-    a block that both are filed under. The sets of a block are compared with its first one by their whole shingle
-    sets, best agreement first. Where sets of a block are still in different components, further sets of the block
-    take the lead (4 per round, then 16, ...), until no block has two components that were not compared: every link
-    between different components is found, and copies are never paired with one another.
+    many as two linked sets of its size band can differ plus one (and a few for empty and hot blocks), so linked sets
+    agree in a block that both are filed under. Pairs from a block are verified by their whole shingle sets: every set
+    with the first one of the block, then those that are still in different components.
+
+    A block with more than ``hot_sets`` sets is hot. It brings together only sets with more hot blocks than a sketch
+    can spare, which two linked sets either both have or need not meet there. Such sets form families (many near copies of one text); a
+    family is compared whole, in parts of about ``family_part`` sets, by multiplying the incidence of its shingles,
+    so no pairs are written out. All links between different components are found either way.
 
     Null and empty texts and texts without words have no shingles and no link. Rows that repeat a ``doc_id`` are
     answered each. A null ``doc_id`` is linked as any other and is the smallest only where no other is there. An
@@ -273,52 +335,70 @@ def near_duplicates(
     filed = rows.select("_text").mapInArrow(_file(n, threshold), "_block bigint, _set bigint")
     in_order = filed.repartition("_block").sortWithinPartitions("_block", "_set")
     members = durable(in_order.mapInArrow(_first_of_block, "_block bigint, _lead bigint, _set bigint"))
+
+    # hot blocks count only for sets that have more of them than their band can spare: families of near copies
+    counted = members.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_lead").alias("_set"))
+    hot = durable(counted.filter(F.col("_n") >= hot_sets).select("_block", "_set"))
+    hot_rows = members.join(hot.select("_block"), "_block", "left_semi").select("_block", "_set").unionByName(hot)
+    hot_rows = hot_rows.withColumn("_band", F.col("_block").bitwiseAND((1 << BAND_BITS) - 1))
+    bands = Bands(threshold)
+    bands.of(1 << 40)
+    spared = F.element_at(F.array(*[F.lit(band.hot) for band in bands.list]), F.col("_band").cast("int") + 1)
+    many = hot_rows.groupBy("_set", "_band").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > spared)
+    close = durable(hot_rows.join(many.select("_set", "_band"), ["_set", "_band"], "left_semi").select("_block", "_set"))
+    members = durable(members.join(hot.select("_block"), "_block", "left_anti"))
     pairs = durable(members.groupBy("_lead", "_set").agg(F.count(F.lit(1)).alias("_agree")))
 
     # shingle sets of the nodes that may have a link, from one text each
-    nodes = pairs.select(F.explode(F.array("_lead", "_set")).alias("_set")).distinct()
+    nodes = pairs.select(F.explode(F.array("_lead", "_set")).alias("_set")).unionByName(close.select("_set")).distinct()
     texts = profiles.join(nodes, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key"))
     sets = durable(rows.select("_key", "_text").join(texts, "_key").select("_set", "_text").mapInArrow(
         _sets(n), "_set bigint, _items array<bigint>"
     ))
 
+    # each family whole, part by part: links come out as one edge for each set
+    least = close.groupBy("_block").agg(F.min("_set").alias("v"))
+    families = durable(components(close.join(least, "_block").select(F.col("_set").alias("u"), "v").distinct()))
+    families = families.select(F.col("node").alias("_set"), F.col("component").alias("_family"))
+    size = families.groupBy("_family").agg(F.ceil(F.count(F.lit(1)) / F.lit(family_part)).cast("int").alias("_parts"))
+    placed = families.join(size, "_family").join(sets, "_set")
+    own = F.pmod(F.xxhash64("_set"), F.col("_parts")).cast("int")
+    placed = placed.select("_set", "_items", "_family", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other"))
+    met = placed.groupBy("_family", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))
+    edges = durable(met.applyInArrow(_compare(threshold), "u bigint, v bigint"))
+    labels = durable(components(edges))
+
     def linked(wanted: DataFrame) -> DataFrame:
         first = sets.select(F.col("_set").alias("u"), "_items")
         second = sets.select(F.col("_set").alias("v"), F.col("_items").alias("_others"))
         return durable(wanted.join(first, "u").join(second, "v").mapInArrow(_verify(threshold), "u bigint, v bigint"))
 
-    def parts(wanted: DataFrame, *names: str) -> DataFrame:
-        """Add the component of each named node."""
-        for name in names:
-            known = labels.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
-            wanted = wanted.join(known, name, "left").withColumn(f"{name}_part", F.coalesce(f"{name}_part", name))
-        return wanted
+    def placed_in(wanted: DataFrame, name: str) -> DataFrame:
+        """Add the component and the family of each named node."""
+        part = labels.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
+        family = families.select(F.col("_set").alias(name), F.col("_family").alias(f"{name}_family"))
+        wanted = wanted.join(part, name, "left").join(family, name, "left")
+        return wanted.withColumn(f"{name}_part", F.coalesce(f"{name}_part", name))
 
     def apart(wanted: DataFrame) -> DataFrame:
-        return parts(wanted, "u", "v").filter("u_part <> v_part").select("u", "v")
-
-    best = F.max(F.struct("_agree", "_lead")).alias("_best")
-    edges = linked(pairs.groupBy("_set").agg(best).select(F.col("_best._lead").alias("u"), F.col("_set").alias("v")))
+        """Pairs of different components that no family has compared."""
+        known = placed_in(placed_in(wanted, "u"), "v")
+        compared = F.coalesce(F.col("u_family") == F.col("v_family"), F.lit(False))
+        return known.filter((F.col("u_part") != F.col("v_part")) & ~compared).select(wanted.columns)
+
+    # the other blocks hold few sets: compare with the first one, best agreement first, then whatever is still apart
+    asked = durable(apart(pairs.select(F.col("_lead").alias("u"), F.col("_set").alias("v"), "_agree")))
+    best = asked.groupBy("v").agg(F.max(F.struct("_agree", "u")).alias("_best"))
+    edges = edges.unionByName(linked(best.select(F.col("_best.u").alias("u"), "v")))
     labels = durable(components(edges))
-    edges = edges.unionByName(linked(apart(pairs.select(F.col("_lead").alias("u"), F.col("_set").alias("v")))))
+    edges = edges.unionByName(linked(apart(asked.select("u", "v"))))
+    labels = durable(components(edges))
+    marked = placed_in(members.select("_block", "_set"), "_set").withColumnsRenamed({"_set_part": "_part", "_set_family": "_family"})
+    mixed = marked.groupBy("_block").agg(F.min("_part").alias("_a"), F.max("_part").alias("_b")).filter("_a <> _b")
+    marked = marked.join(mixed.select("_block"), "_block", "left_semi")
+    rest = marked.repartition("_block").sortWithinPartitions("_block").mapInArrow(_pairs_of_block, "u bigint, v bigint")
+    edges = edges.unionByName(linked(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
     labels = durable(components(edges))
-
-    members, leads = members.select("_block", "_set"), 4
-    while True:
-        marked = parts(members, "_set").withColumnRenamed("_set_part", "_part")
-        mixed = marked.groupBy("_block").agg(F.min("_part").alias("_a"), F.max("_part").alias("_b"))
-        members = marked.join(mixed.filter("_a <> _b").select("_block"), "_block", "left_semi")
-        members = durable(
-            members.repartition("_block")
-            .sortWithinPartitions("_block", "_set")
-            .mapInArrow(_next_leads(leads), "_block bigint, _lead bigint, _set bigint")
-        )
-        if members.isEmpty():
-            break
-        fresh = members.filter("_lead is not null").select(F.col("_lead").alias("u"), F.col("_set").alias("v")).distinct()
-        edges = edges.unionByName(linked(fresh))
-        labels = durable(components(edges))
-        members, leads = members.filter("_lead is null").select("_block", "_set"), leads * 4
 
     classes = profiles.filter("_set is not null").groupBy("_set").agg(F.min("_doc").alias("_least"))
     classes = classes.join(labels.select(F.col("node").alias("_set"), "component"), "_set", "left")
