@@ -19,6 +19,8 @@ SMOOTHING = 1.0
 STRICTNESS = 0.5
 #: Share of the content's text that the content element has to hold.
 COVERAGE = 0.8
+#: Share that is enough for an article or main element.
+ARTICLE_COVERAGE = 0.4
 #: Share of link text from which a block below the threshold counts as a menu.
 LINKED = 0.8
 
@@ -86,7 +88,7 @@ def _marked(name: str, attributes: str, inside_article: bool) -> bool:
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if key in ("class", "id", "role"):
-            words = set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+            words = set(_WORD.findall(value.lower())) | set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
             if words & MARKS and not (name in ("article", "main")):
                 return True
             if words & OUTER_MARKS and not inside_article:
@@ -250,8 +252,9 @@ def main_text(source: str | None) -> str:
                 named[element] = (name, depth)
     whole = sum(len(b.text) for b, good in zip(blocks, content) if good)
     wide = [e for e, chars in held.items() if chars >= COVERAGE * whole and named[e][0] not in ("p", "li", "td", "tr", "h1", "h2", "h3")]
-    articles = [e for e in wide if named[e][0] in ("article", "main")]
-    root = max(articles or wide, key=lambda e: named[e][1], default=None)
+    articles = [e for e, chars in held.items() if chars >= ARTICLE_COVERAGE * whole and named[e][0] in ("article", "main")]
+    # of several article elements the one with most text, of nested ones the inner one
+    root = max(articles, key=lambda e: (held[e], named[e][1])) if articles else max(wide, key=lambda e: named[e][1], default=None)
     chosen = []
     for block, ratio in zip(blocks, ratios):
         if root is not None and root not in block.chain:

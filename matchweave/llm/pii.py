@@ -142,6 +142,12 @@ def _varied(text: str, spans: list[tuple[str, int, int]], rng: random.Random) ->
     return "".join(out), made
 
 
+def _doubtful(window: str) -> bool:
+    """Does the window hold anything in the shape of a kind?"""
+    numbers = (_digits(m[0]) for kind in ("card", "phone") for m in _SHAPES[kind].finditer(window))
+    return any(9 <= len(d) <= 19 for d in numbers) or any(_SHAPES[k].search(window) for k in ("email", "ip"))
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every window with a trigger, its base spans, and a hash to choose by."""
     for batch in by_bytes(batches, "_text"):
@@ -151,7 +157,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for start in window_starts(text):
                 window = text[start : start + WINDOW]
                 inside = [s for s in spans if s[1] >= start and s[2] <= start + WINDOW]
-                if len(inside) == sum(s[2] > start and s[1] < start + WINDOW for s in spans):  # none is cut
+                whole = len(inside) == sum(s[2] > start and s[1] < start + WINDOW for s in spans)  # none is cut
+                if whole and (inside or not _doubtful(window)):
                     texts.append(window)
                     labels.append(joined(inside))
         if texts:
@@ -162,8 +169,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Tagger | None:
     """Fit the tagger on at most ``sample`` labelled windows; none if no window has a span.
 
     The labelled spans are those of the fixed patterns in the documents. Half of the sample are windows with spans, half windows
-    with digits or at signs and no span, each those with the smallest hash of their text, so the sample does not depend on the
-    partitioning. Windows with a telephone number come a second time with it written in another way.
+    with digits or at signs, no span and nothing in the shape of one, each those with the smallest hash of their text, so
+    the sample does not depend on the partitioning. Windows with a telephone number come a second time with it written in another way.
     """
     texts = docs.select(F.col("text").alias("_text")).filter(F.col("_text").rlike("[0-9@]"))
     windows = texts.mapInArrow(_windows, "_window string, _spans string")

@@ -39,11 +39,13 @@ def test_base_spans_equal_the_patterns():
 def test_tagger_learns_and_adds(spark):
     rng = np.random.default_rng(2)
     word = lambda: "".join(rng.choice(list("etaoinshr"), 5))
+    number = lambda: f"({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)}"
     rows = [(0, None), (1, ""), (2, "no data"), (3, "version 2.0")]
-    for i in range(4, 300):
-        number = f"+1 ({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)}"
-        rows.append((i, f"{word()} {word()} {number if i % 2 else rng.integers(10, 99)} {word()} a{i}@mail.example {word()}"))
-    rows += [(300, "é call (212) 555-1234 now"), (5, rows[5][1]), (None, "x@y.zz")]
+    for i in range(4, 700):
+        middle = f"+1 {number()}" if i % 2 else rng.integers(10, 99)
+        rows.append((i, f"{word()} {word()} {middle} {word()} a{i}@mail.example {word()}"))
+    bare = {i: f"é {word()} {number()} {word()} {word()}" for i in range(700, 720)}
+    rows += [*bare.items(), (5, rows[5][1]), (None, "x@y.zz")]
     docs = frame(spark, rows, "doc_id bigint, text string", extra=True)
     tagger = pii.train(docs)
     got = {r.doc_id: r for r in pii.find_pii(docs, tagger).collect()}
@@ -51,11 +53,11 @@ def test_tagger_learns_and_adds(spark):
         base = plain(text or "")
         assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(b[0] == k for b in base) for k in pii.KINDS]
         assert got[i].base_sha256 == hashlib.sha256(pii.joined(base).encode()).hexdigest()
-        assert set(pii.joined(base).split(",")) <= set(got[i].spans.split(","))
-    assert got[300].spans == "phone:7:21"
+        assert {s for s in pii.joined(base).split(",") if s} <= set(got[i].spans.split(","))
+    assert sum(got[i].spans == "phone:8:22" for i in bare) >= 15
     assert not got[3].spans and not got[2].spans
     texts = {r.doc_id: r.text for r in pii.redact(docs, tagger).collect()}
-    assert texts[0] is None and texts[300] == "é call [PHONE] now" and "[EMAIL]" in texts[5]
+    assert texts[0] is None and "[EMAIL]" in texts[6] and "[PHONE]" in texts[7] and "555" not in texts[7]
 
 
 def test_gradients():
