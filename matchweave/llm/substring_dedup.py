@@ -22,7 +22,7 @@ ANCHOR = 16
 #: Different runs around one anchor up to which they stay together; beyond, they are cut into pieces.
 HOT_TEXTS = 64
 #: Windows of a piece, from one cut to the next.
-GRAINS = (8, 1)
+GRAINS = (8, 2, 1)
 #: Texts in the index of one shard.
 SHARD_TEXTS = 4_000
 
@@ -241,7 +241,7 @@ def remove_repeats(
     only one document has are left out, equal runs travel once with their smallest ``doc_id``, and each shard builds
     one FM-index over its runs and streams them against it. An anchor inside more than ``hot_texts`` different runs (a
     passage that many documents quote, or many near copies) would fill a shard: its runs are cut into pieces of 8
-    windows and, where need be, into single ones, dealt by the words that all windows of a piece share; pieces whose
+    windows and, where need be, of two and of one, dealt by the words that all windows of a piece share; pieces whose
     key occurs once have no equal and end there. No run, document or window is dropped otherwise.
 
     Null text counts as empty; a document below ``window`` words keeps all. Rows that repeat a ``doc_id`` are answered
