@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from matchweave.llm.components import components
 from matchweave.llm.words import by_bytes, grams, mix, split_words
+from matchweave.operators.scale import within
 from matchweave.session import durable
 
 #: Words of a shingle and the least similarity, as numerator and denominator.
@@ -26,6 +27,8 @@ EMPTY_TAIL = 1e-6
 HOT_SETS, HOT_BLOCKS = 64, 3
 #: Sets of a family that are compared with each other in one task, at most twice as many.
 FAMILY_PART = 512
+#: Nodes of which a list is broadcast to pick their texts; a longer one is joined by shuffle.
+BROADCAST_NODES = 500_000
 #: Low bits of a block's key that tell its band.
 BAND_BITS = 10
 
@@ -117,6 +120,23 @@ def set_hash(items: np.ndarray) -> int:
     return int(mix(pair[:1] + mix(pair[1:])).view(np.int64)[0])
 
 
+def parity_bits(items: np.ndarray) -> bytes:
+    """The parity sketch of a set: each shingle flips one of at least twice as many bits."""
+    size = 1 << max(6, (2 * len(items) - 1).bit_length())
+    flips = np.bincount(((items >> np.uint64(12)) & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """Hamming distance of two sketches, the longer folded to the shorter; never above the symmetric difference."""
+    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def sketch_keys(items: np.ndarray, bands: Bands) -> np.ndarray:
     """Keys of the sketch blocks under which a set is filed.
 
@@ -156,8 +176,9 @@ def _profile(n: int):
                     batch.column("_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([parity_bits(s) if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["_doc", "_key", "_size", "_set"],
+                names=["_doc", "_key", "_size", "_set", "_bits"],
             )
 
     return profile
@@ -284,6 +305,22 @@ def _sets(n: int):
     return sets
 
 
+def _near(threshold: tuple[int, int]):
+    """Keep the pairs whose sizes and sketches allow a link."""
+    num, den = threshold
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(x).to_pylist() for x in ("_size", "_bits", "_size2", "_bits2"))
+            kept = [
+                num * max(n, m) <= den * min(n, m) and bits_apart(a, b) <= (n + m) * (den - num) // (den + num)
+                for n, a, m, b in zip(*columns)
+            ]
+            yield batch.select(["u", "v", "_agree"]).filter(pa.array(kept, pa.bool_()))
+
+    return near
+
+
 def _verify(threshold: tuple[int, int]):
     num, den = threshold
 
@@ -316,8 +353,9 @@ def near_duplicates(
 
     Equal sets become one node, named by a 64-bit hash of the set. Each set is cut into blocks of a parity sketch, as
     many as two linked sets of its size band can differ plus one (and a few for empty and hot blocks), so linked sets
-    agree in a block that both are filed under. Pairs from a block are verified by their whole shingle sets: every set
-    with the first one of the block, then those that are still in different components.
+    agree in a block that both are filed under. Pairs from a block (every set with the first one of the block, then
+    those that are still in different components) go on if their whole sketches differ in no more bits than linked
+    sets can differ in shingles, and are then verified by their shingle sets.
 
     A block with more than ``hot_sets`` sets is hot. It brings together only sets with more hot blocks than a sketch
     can spare, which two linked sets either both have or need not meet there. Such sets form families (many near copies of one text); a
@@ -330,7 +368,7 @@ def near_duplicates(
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
     rows = rows.withColumn("_key", F.xxhash64("_text"))
-    profiles = durable(rows.mapInArrow(_profile(n), "_doc bigint, _key bigint, _size bigint, _set bigint"))
+    profiles = durable(rows.mapInArrow(_profile(n), "_doc bigint, _key bigint, _size bigint, _set bigint, _bits binary"))
 
     filed = rows.select("_text").mapInArrow(_file(n, threshold), "_block bigint, _set bigint")
     in_order = filed.repartition("_block").sortWithinPartitions("_block", "_set")
@@ -349,19 +387,25 @@ def near_duplicates(
     members = durable(members.join(hot.select("_block"), "_block", "left_anti"))
     pairs = durable(members.groupBy("_lead", "_set").agg(F.count(F.lit(1)).alias("_agree")))
 
-    # shingle sets of the nodes that may have a link, from one text each
-    nodes = pairs.select(F.explode(F.array("_lead", "_set")).alias("_set")).unionByName(close.select("_set")).distinct()
-    texts = profiles.join(nodes, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key"))
-    sets = durable(rows.select("_key", "_text").join(texts, "_key").select("_set", "_text").mapInArrow(
-        _sets(n), "_set bigint, _items array<bigint>"
-    ))
+    nodes = pairs.select(F.explode(F.array("_lead", "_set")).alias("_set")).distinct()
+    sketches = durable(
+        profiles.join(nodes, "_set", "left_semi").groupBy("_set").agg(F.min("_size").alias("_size"), F.min("_bits").alias("_bits"))
+    )
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Shingle sets of the nodes, from one text each."""
+        texts = durable(profiles.join(nodes, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key")))
+        if within(texts, BROADCAST_NODES):
+            texts = F.broadcast(texts)
+        chosen = rows.select("_key", "_text").join(texts, "_key").select("_set", "_text")
+        return durable(chosen.mapInArrow(_sets(n), "_set bigint, _items array<bigint>"))
 
     # each family whole, part by part: links come out as one edge for each set
     least = close.groupBy("_block").agg(F.min("_set").alias("v"))
     families = durable(components(close.join(least, "_block").select(F.col("_set").alias("u"), "v").distinct()))
     families = families.select(F.col("node").alias("_set"), F.col("component").alias("_family"))
     size = families.groupBy("_family").agg(F.ceil(F.count(F.lit(1)) / F.lit(family_part)).cast("int").alias("_parts"))
-    placed = families.join(size, "_family").join(sets, "_set")
+    placed = families.join(size, "_family").join(sets_of(families.select("_set")), "_set")
     own = F.pmod(F.xxhash64("_set"), F.col("_parts")).cast("int")
     placed = placed.select("_set", "_items", "_family", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other"))
     met = placed.groupBy("_family", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))
@@ -369,6 +413,8 @@ def near_duplicates(
     labels = durable(components(edges))
 
     def linked(wanted: DataFrame) -> DataFrame:
+        wanted = durable(wanted)
+        sets = sets_of(wanted.select(F.explode(F.array("u", "v")).alias("_set")).distinct())
         first = sets.select(F.col("_set").alias("u"), "_items")
         second = sets.select(F.col("_set").alias("v"), F.col("_items").alias("_others"))
         return durable(wanted.join(first, "u").join(second, "v").mapInArrow(_verify(threshold), "u bigint, v bigint"))
@@ -386,8 +432,15 @@ def near_duplicates(
         compared = F.coalesce(F.col("u_family") == F.col("v_family"), F.lit(False))
         return known.filter((F.col("u_part") != F.col("v_part")) & ~compared).select(wanted.columns)
 
+    def near(wanted: DataFrame) -> DataFrame:
+        """Pairs whose sketches differ in no more bits than two linked sets can differ in shingles."""
+        first = sketches.select(F.col("_set").alias("u"), "_size", "_bits")
+        second = sketches.select(F.col("_set").alias("v"), F.col("_size").alias("_size2"), F.col("_bits").alias("_bits2"))
+        found = wanted.join(first, "u").join(second, "v")
+        return durable(found.mapInArrow(_near(threshold), "u bigint, v bigint, _agree bigint"))
+
     # the other blocks hold few sets: compare with the first one, best agreement first, then whatever is still apart
-    asked = durable(apart(pairs.select(F.col("_lead").alias("u"), F.col("_set").alias("v"), "_agree")))
+    asked = near(apart(pairs.select(F.col("_lead").alias("u"), F.col("_set").alias("v"), "_agree")))
     best = asked.groupBy("v").agg(F.max(F.struct("_agree", "u")).alias("_best"))
     edges = edges.unionByName(linked(best.select(F.col("_best.u").alias("u"), "v")))
     labels = durable(components(edges))
@@ -397,7 +450,8 @@ def near_duplicates(
     mixed = marked.groupBy("_block").agg(F.min("_part").alias("_a"), F.max("_part").alias("_b")).filter("_a <> _b")
     marked = marked.join(mixed.select("_block"), "_block", "left_semi")
     rest = marked.repartition("_block").sortWithinPartitions("_block").mapInArrow(_pairs_of_block, "u bigint, v bigint")
-    edges = edges.unionByName(linked(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+    rest = rest.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.count(F.lit(1)).alias("_agree"))
+    edges = edges.unionByName(linked(near(rest).select("u", "v")))
     labels = durable(components(edges))
 
     classes = profiles.filter("_set is not null").groupBy("_set").agg(F.min("_doc").alias("_least"))

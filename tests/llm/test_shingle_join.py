@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from matchweave.llm.components import components
-from matchweave.llm.shingle_join import near_duplicates
+from matchweave.llm.shingle_join import bits_apart, near_duplicates, parity_bits
 from tests.llm.data import frame
 
 
@@ -65,3 +66,11 @@ def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (103, 101), (7, 7)]
     got = dict(map(tuple, components(frame(spark, edges, "u bigint, v bigint")).collect()))
     assert got == {i: 0 for i in range(51)} | {100: 100, 101: 100, 103: 100}
+
+
+def test_sketch_distance_is_no_more_than_the_difference():
+    rng = np.random.default_rng(4)
+    for n, m, common in ((3, 4, 2), (100, 90, 80), (40, 300, 30), (500, 520, 0)):
+        items = rng.integers(1, 1 << 63, n + m - common, dtype=np.uint64)
+        a, b = items[:n], items[n - common :]
+        assert bits_apart(parity_bits(a), parity_bits(b)) <= n + m - 2 * common
