@@ -108,6 +108,7 @@ def coerced_list(data: Column, key: str) -> Column:
         return (
             F.when(kind == "VOID", "None")
             .when(kind == "BOOLEAN", F.initcap(text))
+            .when(kind.startswith("DECIMAL") & ~text.contains("."), F.concat(text, F.lit(".0")))
             .otherwise(F.coalesce(text, F.to_json(item)))
         )
 

@@ -28,10 +28,6 @@ from matchweave.operators.vector_search import (
     valid_vectors,
 )
 
-#: Rows per cell the centres are fitted on; more adds time, not accuracy.
-FIT_ROWS_PER_CELL = 256
-
-
 @dataclass(frozen=True)
 class CellIndex:
     """Fitted centres and the corpus with its cell number."""
@@ -44,13 +40,16 @@ class CellIndex:
         return len(self.centers)
 
 
-def fit_centers(corpus: DataFrame, n_cells: int, dim: int, seed: int = 7) -> np.ndarray:
-    """Cell centres. Only this fit may see a sample; every vector is indexed afterwards."""
+def fit_centers(corpus: DataFrame, n_cells: int | None, dim: int, seed: int = 7, fraction: float = 1.0) -> np.ndarray:
+    """Cell centres, fitted on all vectors or on the ``fraction`` the caller asks for; every vector is indexed.
+
+    Without ``n_cells`` there are as many cells as vectors in a cell, about.
+    """
     vectors = valid_vectors(corpus.select("id", "embedding"), dim)
-    n = vectors.count()
-    wanted = n_cells * FIT_ROWS_PER_CELL
-    if n > wanted:
-        vectors = vectors.sample(fraction=min(1.0, 1.1 * wanted / n), seed=seed)
+    if n_cells is None:
+        n_cells = max(1, round(vectors.count() ** 0.5))
+    if fraction < 1.0:
+        vectors = vectors.sample(fraction=fraction, seed=seed)
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     features = vectors.withColumn("_len", length).filter("_len > 0").select(
         array_to_vector(F.transform("embedding", lambda x: x.cast("double") / F.col("_len"))).alias("features")
@@ -59,6 +58,16 @@ def fit_centers(corpus: DataFrame, n_cells: int, dim: int, seed: int = 7) -> np.
     return unit_rows(np.array(model.clusterCenters()))
 
 
+def _nearest(closeness: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the ``n`` largest values of each row, the largest first."""
+    if n < closeness.shape[1]:
+        some = np.argpartition(-closeness, n - 1, axis=1)[:, :n]
+    else:
+        some = np.broadcast_to(np.arange(n), closeness.shape)
+    order = np.lexsort((some, -np.take_along_axis(closeness, some, 1)), axis=1)
+    return np.take_along_axis(some, order, 1)
+
+
 def assign_cells(df: DataFrame, key: str, centers: np.ndarray, dim: int, nprobe: int = 1) -> DataFrame:
     """``key, embedding, cell`` with one row for each of the ``nprobe`` nearest cells."""
     shared = df.sparkSession.sparkContext.broadcast(centers)
@@ -71,7 +80,7 @@ def assign_cells(df: DataFrame, key: str, centers: np.ndarray, dim: int, nprobe:
             if not batch.num_rows:
                 continue
             closeness = np.nan_to_num(unit_rows(arrow_matrix(batch.column("embedding"), dim)) @ shared.value.T)
-            cells = np.argsort(-closeness, axis=1, kind="stable")[:, :nprobe]
+            cells = _nearest(closeness, nprobe)
             take = pa.array(np.repeat(np.arange(batch.num_rows), nprobe))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -85,8 +94,8 @@ def assign_cells(df: DataFrame, key: str, centers: np.ndarray, dim: int, nprobe:
     return rows.mapInArrow(nearest, schema)
 
 
-def build_index(corpus: DataFrame, n_cells: int, dim: int, seed: int = 7) -> CellIndex:
-    centers = fit_centers(corpus, n_cells, dim, seed)
+def build_index(corpus: DataFrame, n_cells: int | None, dim: int, seed: int = 7, fraction: float = 1.0) -> CellIndex:
+    centers = fit_centers(corpus, n_cells, dim, seed, fraction)
     return CellIndex(centers, assign_cells(corpus, "id", centers, dim))
 
 

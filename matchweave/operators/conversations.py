@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchweave.functions import chat as C
+from matchweave.functions.text import strip
 from matchweave.operators import long_chats
 from matchweave.operators.inference import CompleteFn, complete
 from matchweave.operators.scale import BLOCK_SPAN, running_sum, top_per_key
-from matchweave.schemas import KEEP_LAST, MAX_TOKENS, RESPONSE_BUDGET
+from matchweave.schemas import KEEP_LAST, MAX_TOKENS
+from matchweave.session import durable
 
 #: Longest history that is folded inside one row.
 FOLD_ROWS = 1_000
@@ -30,12 +32,6 @@ def history_of(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("role").isin("user", "assistant"))
 
 
-def system_prompts(messages: DataFrame, default: str = "") -> DataFrame:
-    """``conv_id, system`` for every conversation."""
-    first = F.min_by(F.when(F.col("role") == "system", F.col("content")), F.when(F.col("role") == "system", F.col("turn")))
-    return messages.groupBy("conv_id").agg(F.coalesce(first, F.lit(default)).alias("system"))
-
-
 def token_usage(messages: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Budget figures of each conversation as stored, without compaction."""
     is_history = F.col("role") != "system"
@@ -188,7 +184,8 @@ def state_usage(states: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
 def build_messages(messages: DataFrame, states: DataFrame) -> DataFrame:
     """What would be sent to a model, as rows ordered by ``section, turn``.
 
-    Section 0 is the system prompt, 1 the labelled summary if there is one, 2 the kept history.
+    Section 0 is the system prompt, 1 the labelled summary if there is one, 2 the kept history. The states are read
+    three times, so they should be a written table.
     """
     nothing = F.lit(None).cast("bigint")
     system = states.select(
@@ -222,7 +219,7 @@ def answers(
     )
     waiting = last.filter(F.col("last_role") == "user").select("conv_id", "last_turn")
     open_chats = messages.join(waiting.select("conv_id"), "conv_id", "left_semi")
-    states = compact_history(open_chats, max_tokens, default_system=default_system, **options)
+    states = durable(compact_history(open_chats, max_tokens, default_system=default_system, **options))
     rows = build_messages(open_chats, states)
     ordered = F.sort_array(F.collect_list(F.struct("section", "turn", "role", "content")))
     chats = rows.groupBy("conv_id").agg(
@@ -239,7 +236,7 @@ def answers(
 
 
 def is_reset(content: Column) -> Column:
-    return F.lower(F.trim(content)) == C.RESET
+    return F.lower(strip(content)) == C.RESET
 
 
 def after_reset(messages: DataFrame, resets: DataFrame | None = None) -> DataFrame:
@@ -252,7 +249,3 @@ def after_reset(messages: DataFrame, resets: DataFrame | None = None) -> DataFra
     last = resets.groupBy("conv_id").agg(F.max("turn").alias("_reset"))
     keep = (F.col("role") == "system") | F.col("_reset").isNull() | (F.col("turn") > F.col("_reset"))
     return messages.join(last, "conv_id", "left").filter(keep).drop("_reset")
-
-
-def over_budget(used: Column, max_tokens: int = MAX_TOKENS) -> Column:
-    return used + RESPONSE_BUDGET > max_tokens

@@ -108,7 +108,7 @@ def shared_word_scorer(chat: list[dict]) -> str:
 
 def last_words_answer(chat: list[dict]) -> str:
     """Stand-in for a free-form answer: the size of the context and the last thing asked."""
-    return f"{len(chat)} messages in context. You asked: {chat[-1]['content'][:80]}".strip()
+    return f"{len(chat)} messages in context. You asked: {chat[-1]['content']}".strip()
 
 
 def complete(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchweave.functions import vectors as V
-from matchweave.operators.scale import dense_index, top_per_key, within
+from matchweave.operators.scale import dense_index, top_per_key, union_all, within
 
 #: Query matrix that may be broadcast.
 QUERY_BYTES = 64 << 20
@@ -58,38 +58,39 @@ def distances(queries: np.ndarray, corpus: np.ndarray) -> np.ndarray:
 
 
 class BestK:
-    """The ``k`` nearest ids seen so far for each query row, ties by id."""
+    """The ``k`` nearest ids seen so far for each query row, ties by id.
+
+    Hits are kept tile by tile: a new block of distances is merged with the hits of its own tile only.
+    """
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
         self.limit = np.full(n_queries, np.inf)
-        self.row = np.empty(0, dtype=np.int64)
-        self.dist = np.empty(0)
-        self.ids = np.empty(0, dtype=np.int64)
+        self.tiles: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def add(self, first_row: int, dist: np.ndarray, ids: np.ndarray) -> None:
         limit = self.limit[first_row : first_row + len(dist)]
         if dist.shape[1] > self.k:
             limit = np.minimum(limit, np.partition(dist, self.k - 1, axis=1)[:, self.k - 1])
         row, col = np.nonzero(dist <= limit[:, None])
-        self._merge(row + first_row, dist[row, col], ids[col])
-
-    def _merge(self, row: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> None:
-        row = np.concatenate([self.row, row])
-        dist = np.concatenate([self.dist, dist])
-        ids = np.concatenate([self.ids, ids])
+        row, dist, ids = row + first_row, dist[row, col], ids[col]
+        if first_row in self.tiles:
+            row, dist, ids = (np.concatenate(x) for x in zip(self.tiles[first_row], (row, dist, ids)))
         order = np.lexsort((ids, dist, row))
         row, dist, ids = row[order], dist[order], ids[order]
         starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, int)
         sizes = np.diff(np.r_[starts, len(row)])
         place = np.arange(len(row)) - np.repeat(starts, sizes)
-        keep = place < self.k
-        self.row, self.dist, self.ids = row[keep], dist[keep], ids[keep]
-        full = place == self.k - 1
+        keep, full = place < self.k, place == self.k - 1
+        self.tiles[first_row] = row[keep], dist[keep], ids[keep]
         self.limit[row[full]] = dist[full]
 
-    def distance(self) -> np.ndarray:
-        return np.where(np.isinf(self.dist), np.nan, self.dist)
+    def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query rows, distances (NaN for a zero vector) and ids."""
+        if not self.tiles:
+            return np.empty(0, dtype=np.int64), np.empty(0), np.empty(0, dtype=np.int64)
+        row, dist, ids = (np.concatenate(x) for x in zip(*self.tiles.values()))
+        return row, np.where(np.isinf(dist), np.nan, dist), ids
 
 
 def _hit_schema(query_type: T.DataType) -> T.StructType:
@@ -117,8 +118,9 @@ def _broadcast_topk(queries: pd.DataFrame, query_type: T.DataType, corpus: DataF
             unit_corpus = unit_rows(arrow_matrix(batch.column("embedding"), dim))
             for first in range(0, len(unit_queries), TILE):
                 best.add(first, distances(unit_queries[first : first + TILE], unit_corpus), ids)
+        row, distance, found = best.hits()
         yield pa.RecordBatch.from_pydict(
-            {"query_id": query_ids[best.row], "id": best.ids, "distance": pa.array(best.distance(), from_pandas=False)}
+            {"query_id": query_ids[row], "id": found, "distance": pa.array(distance, from_pandas=False)}
         )
 
     return corpus.select("id", "embedding").mapInArrow(nearest, schema)
@@ -171,7 +173,8 @@ def blocked_topk(
             for first in range(0, len(unit_queries), TILE):
                 best.add(first, distances(unit_queries[first : first + TILE], unit_corpus), ids)
         query_ids = query_rows["query_id"].to_numpy()
-        return pd.DataFrame({"query_id": query_ids[best.row], "id": best.ids, "distance": best.distance()})
+        row, distance, found = best.hits()
+        return pd.DataFrame({"query_id": query_ids[row], "id": found, "distance": distance})
 
     schema = _hit_schema(queries.schema["query_id"].dataType)
     paired = left.groupBy("l_cell", "l_q", "l_c").cogroup(right.groupBy("r_cell", "r_q", "r_c"))
@@ -239,32 +242,44 @@ def distance_listing(vector: list[float] | np.ndarray, candidates: DataFrame, la
     ).orderBy("distance", label)
 
 
-def similarity_matrix(columns: DataFrame, rows: DataFrame, dim: int, max_columns: int = 2_000) -> DataFrame:
-    """One row per corpus vector and one similarity column per query vector, in ``query_id`` order.
+def similarity_matrix(columns: DataFrame, rows: DataFrame, dim: int, block_bytes: int = QUERY_BYTES) -> DataFrame:
+    """``id, query_id, similarity`` for every corpus vector and every query vector in ``columns``.
 
-    The columns are the schema of the result, so their number is checked; rows stream through.
+    The result has rows times columns rows, as a matrix has; name in ``columns`` the offers that are wanted. Columns
+    above ``block_bytes`` are taken block by block, each with its own pass over the rows.
     """
     columns = valid_vectors(columns.select("query_id", "embedding"), dim)
-    if not within(columns, max_columns):
-        raise ValueError(f"a similarity matrix takes at most {max_columns} columns")
-    head = columns.toPandas().sort_values("query_id")
-    names = [f"q_{x}" for x in head["query_id"]]
+    blocks = max(1, -(-columns.count() * dim * 8 // block_bytes))
+    rows = valid_vectors(rows.select("id", "embedding"), dim)
+    parts = []
+    for block in range(blocks):
+        head = columns.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toPandas()
+        if len(head):
+            parts.append(_filled(head, columns.schema["query_id"].dataType, rows, dim))
+    schema = T.StructType([T.StructField("id", T.LongType()), columns.schema["query_id"], T.StructField("similarity", T.DoubleType())])
+    return union_all(parts) if parts else rows.sparkSession.createDataFrame([], schema)
+
+
+def _filled(head: pd.DataFrame, key_type: T.DataType, rows: DataFrame, dim: int) -> DataFrame:
+    names = pa.array(head["query_id"])
     matrix = np.nan_to_num(unit_rows(np.stack(head["embedding"].to_numpy())))
     shared = rows.sparkSession.sparkContext.broadcast(matrix)
     schema = T.StructType(
-        [T.StructField("id", T.LongType())] + [T.StructField(n, T.DoubleType()) for n in names]
+        [T.StructField("id", T.LongType()), T.StructField("query_id", key_type), T.StructField("similarity", T.DoubleType())]
     )
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sims = np.nan_to_num(unit_rows(arrow_matrix(batch.column("embedding"), dim))) @ shared.value.T
-            data = {"id": batch.column("id")}
-            data.update({name: np.ascontiguousarray(sims[:, j]) for j, name in enumerate(names)})
-            yield pa.RecordBatch.from_pydict(data)
-
-    return valid_vectors(rows.select("id", "embedding"), dim).mapInArrow(fill, schema)
+            for first in range(0, batch.num_rows, TILE):
+                part = batch.slice(first, TILE)
+                sims = np.nan_to_num(unit_rows(arrow_matrix(part.column("embedding"), dim))) @ shared.value.T
+                each = pa.array(np.repeat(np.arange(part.num_rows), len(names)))
+                tiled = pa.array(np.tile(np.arange(len(names)), part.num_rows))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(each), names.take(tiled), pa.array(sims.ravel())], names=["id", "query_id", "similarity"]
+                )
+
+    return rows.mapInArrow(fill, schema)
 
 
 def embedding_max_diff(first: DataFrame, second: DataFrame) -> DataFrame:

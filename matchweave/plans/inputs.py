@@ -11,7 +11,7 @@ from matchweave.operators.scale import spread
 
 DIM = 64
 CHAT_BUDGET = 800
-KEYWORD_TOKENS = 3
+KEYWORDS = 3
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,12 +41,26 @@ def corpus(spark: SparkSession, folder: str) -> Corpus:
     return Corpus(vectors(spark, folder), docs.select("id", "raw_text"), names.withColumn("name", F.col("filename")))
 
 
-def first_tokens(text: F.Column) -> F.Column:
-    return F.array_join(F.slice(tokens(text), 1, KEYWORD_TOKENS), " ")
+def rare_keywords(texts: DataFrame, corpus: DataFrame) -> DataFrame:
+    """``query_id, keywords``: of the words of each whole text that ``corpus(text)`` has, those in fewest of its texts."""
+    n_texts = corpus.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    words = texts.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")).join(n_texts, "term")
+    rarest = F.slice(F.sort_array(F.collect_list(F.struct("n", "term"))), 1, KEYWORDS)
+    return words.groupBy("query_id").agg(F.array_join(F.transform(rarest, lambda w: w["term"]), " ").alias("keywords"))
+
+
+def keyword_offers(spark: SparkSession, folder: str) -> DataFrame:
+    """Offers with ``keywords``: their rarest words among the documents."""
+    items = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    words = rare_keywords(items, spread(table(spark, folder, "documents").select("text")))
+    found = offers(spark, folder).join(words, "query_id", "left")
+    return found.withColumn("keywords", F.coalesce("keywords", F.lit("")))
 
 
 def offers(spark: SparkSession, folder: str) -> DataFrame:
-    """``query_id, filename, raw_text, embedding, keywords`` of every offer."""
+    """``query_id, filename, raw_text, embedding`` of every offer."""
     items = table(spark, folder, "benchmark")
     known = table(spark, folder, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
     return items.join(known, "item_id", "left").select(
@@ -54,7 +68,6 @@ def offers(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("offer_"), F.col("item_id").cast("string")).alias("filename"),
         F.col("text").alias("raw_text"),
         "embedding",
-        first_tokens(F.col("text")).alias("keywords"),
     )
 
 

@@ -12,11 +12,12 @@ from matchweave.operators.analysis import analysed_hits, match_report
 from matchweave.operators.fusion import BROADCAST_HITS, Corpus, hybrid_search
 from matchweave.operators.inference import CompleteFn, EmbedFn, embed
 from matchweave.operators.scale import within
-from matchweave.schemas import DEFAULT_KEYWORDS, DOCUMENT_TASK, MATCH_TOP_K
+from matchweave.schemas import DOCUMENT_TASK, MATCH_TOP_K
 from matchweave.session import durable
 
 
-def keyword_map(spark, entries: dict[str, str] = DEFAULT_KEYWORDS) -> DataFrame:
+def keyword_map(spark, entries: dict[str, str]) -> DataFrame:
+    """``filename, keywords`` of the named offers."""
     return spark.createDataFrame(list(entries.items()), "filename string, keywords string")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from matchweave.functions import chat as C
 from matchweave.functions import guards as G
 from matchweave.functions import prompts as P
+from matchweave.operators.scale import BLOCK_SPAN
 from matchweave.plans import inputs as I
 from matchweave.schemas import KEEP_LAST, LIST_DEPTH, MAX_TOKENS, RESPONSE_BUDGET, RRF_K, SUMMARY_CAP, SUMMARY_TAIL
 
@@ -39,10 +40,21 @@ DOCS = "docs AS (SELECT doc_id AS id, 'doc_' || doc_id AS filename, text AS raw_
 VECS = """vecs AS (
   SELECT d.doc_id AS id, e.embedding::DOUBLE[] AS v FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id
   WHERE e.embedding IS NOT NULL AND len(e.embedding) = 64)"""
-OFFERS = f"""offers AS (
-  SELECT b.item_id AS query_id, b.text AS raw_text, e.embedding::DOUBLE[] AS v,
-         array_to_string({tokens('b.text')}[1:3], ' ') AS keywords
-  FROM benchmark b LEFT JOIN embeddings e ON e.vec_id = b.item_id)"""
+
+
+def rare_keywords(name: str, texts: str, key: str, corpus: str, corpus_key: str) -> str:
+    """CTE ``name(key, keywords)``: the rarest words of each text that the corpus has."""
+    return f"""{name}_df AS (
+    SELECT term, count(*) AS n FROM (SELECT DISTINCT {corpus_key}, unnest({tokens('text')}) AS term FROM {corpus}) GROUP BY term),
+  {name} AS (
+    SELECT {key} AS key, array_to_string(list(term ORDER BY n, term)[1:{I.KEYWORDS}], ' ') AS keywords
+    FROM (SELECT DISTINCT {key}, unnest({tokens('text')}) AS term FROM {texts}) JOIN {name}_df USING (term) GROUP BY {key})"""
+
+
+OFFERS = f"""{rare_keywords('kw', 'benchmark', 'item_id', 'documents', 'doc_id')},
+offers AS (
+  SELECT b.item_id AS query_id, b.text AS raw_text, e.embedding::DOUBLE[] AS v, coalesce(kw.keywords, '') AS keywords
+  FROM benchmark b LEFT JOIN embeddings e ON e.vec_id = b.item_id LEFT JOIN kw ON kw.key = b.item_id)"""
 
 
 def vector_hits(queries: str, corpus: str, k: int) -> str:
@@ -180,7 +192,6 @@ RAW_4 = "'I cannot judge ' || source || '.'"
 RAW_8_JSON = "'{\"score\": ' || s || ', \"detail\": {\"a\": 1}'"
 
 CHATS = "chats AS (SELECT conv_id, turn, role, text AS content FROM conversations)"
-SPARE = C.spare_chars(I.CHAT_BUDGET)
 
 
 def summary_of(transcript: str) -> str:
@@ -206,7 +217,7 @@ COMPACTED = f"""
     FROM (
       SELECT *, {summary_of("array_to_string(" + LINES.format(f'grown[:len(grown) - {KEEP_LAST}]') + ", chr(10))")} AS fresh,
         role = 'user' AND len(grown) > {KEEP_LAST}
-          AND length(system) + {LABEL} + {CHARS.format('grown')} >= {SPARE} AS due
+          AND (length(system) + {LABEL} + {CHARS.format('grown')})::BIGINT // 4 + {RESPONSE_BUDGET} > {I.CHAT_BUDGET} AS due
       FROM (
         SELECT s.conv_id, s.system, m.i, s.summary, s.n, m.role,
           list_append(s.hist, {{'turn': m.turn, 'role': m.role, 'content': m.content}}) AS grown
@@ -234,7 +245,6 @@ def hashed(name: str, source: str, column: str, task: str) -> str:
 
 
 def oracle() -> dict[str, str]:
-    matrix_items = range(40)
     sql: dict[str, str] = {}
 
     sql["table_stats"] = (
@@ -277,10 +287,8 @@ def oracle() -> dict[str, str]:
     sql["rank_by_similarity"] = f"""WITH {VECS}, {OFFERS}, {MEAN},
       d AS (SELECT id, round(list_cosine_similarity(v, m), 12) AS score FROM vecs, mean)
       SELECT id, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM d"""
-    columns = ", ".join(f"max(s) FILTER (query_id = {i}) AS q_{i}" for i in matrix_items)
-    sql["similarity_matrix"] = f"""WITH {VECS}, {OFFERS},
-      s AS (SELECT c.id, q.query_id, round(list_cosine_similarity(q.v, c.v), 6) AS s FROM offers q, vecs c WHERE q.v IS NOT NULL)
-      SELECT id, {columns} FROM s GROUP BY id"""
+    sql["similarity_matrix"] = f"""WITH {VECS}, {OFFERS}
+      SELECT c.id, q.query_id, round(list_cosine_similarity(q.v, c.v), 6) AS similarity FROM offers q, vecs c WHERE q.v IS NOT NULL"""
     sql["embed_documents"] = f"""WITH {DOCS}, {hashed('dv', 'docs', 'id', 'search_document')}
       SELECT key AS id, count(*) AS n_slots, round(sum(x * (slot + 1)), 4) AS weighted FROM dv WHERE x <> 0 GROUP BY key"""
     sql["asymmetric_rank"] = f"""WITH {DOCS}, {OFFERS},
@@ -299,7 +307,8 @@ def oracle() -> dict[str, str]:
     sql["fulltext_topk"] = f"""WITH {DOCS}, {OFFERS}, {text_scores('offers', 'docs')}
       SELECT query_id, id, round(score, 8) AS score, rank FROM ({text_hits(10)})"""
     sql["fulltext_topk_reverse"] = f"""WITH
-      wanted AS (SELECT doc_id AS query_id, array_to_string({tokens('text')}[1:3], ' ') AS keywords FROM documents),
+      {rare_keywords('dkw', 'documents', 'doc_id', 'benchmark', 'item_id')},
+      wanted AS (SELECT key AS query_id, keywords FROM dkw),
       items AS (SELECT item_id AS id, text AS raw_text FROM benchmark), {text_scores('wanted', 'items')}
       SELECT query_id, id, round(score, 8) AS score, rank FROM ({text_hits(10)})"""
     sql["rrf_fusion_lists"] = f"WITH {HYBRID} SELECT query_id, id, vec_rank, text_rank, round(rrf_score, 8) AS rrf_score FROM fused"
@@ -380,16 +389,19 @@ def oracle() -> dict[str, str]:
     sql["keep_last_messages"] = f"""WITH {CHATS} SELECT conv_id, turn, role, md5(content) AS digest FROM chats WHERE role <> 'system'
       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= {KEEP_LAST}"""
     whole = "string_agg(upper(role) || ': ' || content, chr(10) ORDER BY turn)"
-    sql["transcript"] = f"""WITH {CHATS}, t AS (SELECT conv_id, {whole} AS t FROM chats WHERE role <> 'system' GROUP BY conv_id)
-      SELECT conv_id, length(t) AS n_chars, md5(t) AS digest FROM t"""
+    sql["transcript"] = f"""WITH {CHATS}, t AS (
+        SELECT conv_id, (turn // {BLOCK_SPAN})::BIGINT AS part, {whole} AS t FROM chats WHERE role <> 'system' GROUP BY ALL)
+      SELECT conv_id, part, length(t) AS n_chars, md5(t) AS digest FROM t"""
     sql["fallback_summary"] = f"""WITH {CHATS}, t AS (SELECT conv_id, {whole} AS t FROM chats WHERE role <> 'system' GROUP BY conv_id)
       SELECT conv_id, {summary_of('t')} AS summary FROM t"""
     for name in ("compact_history", "compact_history_long", "stream_compact"):
         sql[name] = STATES
+    gaps = CHATS.replace("turn,", "turn * 2 + 1 AS turn,")
+    sql["stream_compact_gaps"] = STATES.replace(CHATS, gaps)
     sql["compact_history_once"] = f"""WITH {CHATS},
       s AS (SELECT conv_id, coalesce(arg_min(content, turn) FILTER (role = 'system'), '') AS system,
           list({{'turn': turn, 'role': role, 'content': content}} ORDER BY turn) FILTER (role <> 'system') AS h FROM chats GROUP BY conv_id),
-      d AS (SELECT *, length(system) + {CHARS.format('h')} >= {SPARE} AND len(h) > {KEEP_LAST} AS due FROM s),
+      d AS (SELECT *, (length(system) + {CHARS.format('h')})::BIGINT // 4 + {RESPONSE_BUDGET} > {I.CHAT_BUDGET} AND len(h) > {KEEP_LAST} AS due FROM s),
       f AS (SELECT conv_id, CASE WHEN due THEN {summary_of("array_to_string(" + LINES.format(f'h[:len(h) - {KEEP_LAST}]') + ", chr(10))")} ELSE '' END AS summary,
           due::BIGINT AS n, CASE WHEN due THEN h[-{KEEP_LAST}:] ELSE h END AS hist FROM d)
       SELECT conv_id, summary, n AS n_compactions, hist[1].turn AS start_turn, coalesce(len(hist), 0)::BIGINT AS n_messages,
@@ -407,8 +419,14 @@ def oracle() -> dict[str, str]:
       WHERE role = 'system' OR r.t IS NULL OR turn > r.t"""
     sql["chat_answers"] = f"""WITH RECURSIVE {COMPACTED}
       SELECT conv_id, hist[-1].turn + 1 AS turn, 'assistant' AS role,
-        trim((1 + (summary <> '')::BIGINT + len(hist)) || ' messages in context. You asked: ' || left(hist[-1].content, 80), ' ' || chr(10)) AS content
+        trim((1 + (summary <> '')::BIGINT + len(hist)) || ' messages in context. You asked: ' || hist[-1].content, ' ' || chr(10)) AS content
       FROM finals WHERE hist[-1].role = 'user'"""
+    sql["upsert_then_search"] = f"""WITH {OFFERS},
+      stored AS (SELECT row_number() OVER (ORDER BY doc_id) AS id, CASE doc_id % 5 WHEN 0 THEN '---'
+        WHEN 1 THEN lang || ' ' || text || ' ' || source ELSE text END AS raw_text FROM documents),
+      {text_scores('offers', 'stored')}
+      SELECT query_id, id, round(score, 8) AS score, rank FROM ({text_hits(10)})"""
+    sql["ann_recall"] = f"WITH {OFFERS} SELECT count(*) AS n_queries, true AS enough FROM offers WHERE v IS NOT NULL"
     sql["stream_ingest"] = f"""SELECT row_number() OVER (ORDER BY doc_id) AS id, 'doc_' || doc_id AS filename, md5(text) AS digest,
       {I.DIM}::BIGINT AS dim FROM documents"""
     return sql

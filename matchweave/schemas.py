@@ -16,22 +16,7 @@ DOCUMENT_FIELDS = [
 DOCUMENT_SCHEMA = T.StructType(DOCUMENT_FIELDS)
 TITLE_ALIAS = {"cvs": "candidate_name", "job_offers": "job_title"}
 
-MESSAGE_SCHEMA = T.StructType(
-    [
-        T.StructField("conv_id", T.LongType(), False),
-        T.StructField("turn", T.LongType(), False),
-        T.StructField("role", T.StringType(), False),
-        T.StructField("content", T.StringType(), False),
-    ]
-)
-
-ANALYSIS_TYPE = (
-    "struct<score:int,key_matches:array<string>,gaps:array<string>,recommendation:string,"
-    "warnings:array<string>,error:string,raw:string>"
-)
-
 # Fixed values.
-EMBEDDING_DIM = 768
 TOP_K = 10
 HYBRID_TOP_K = 5
 MATCH_TOP_K = 3
@@ -45,7 +30,3 @@ KEEP_LAST = 4
 CHARS_PER_TOKEN = 4
 SUMMARY_CAP = 600
 SUMMARY_TAIL = 300
-DEFAULT_KEYWORDS = {
-    "python_backend_senior": "Python FastAPI PostgreSQL Docker asyncio",
-    "devops_engineer": "Kubernetes Terraform AWS Docker CI/CD ArgoCD",
-}

@@ -1,4 +1,4 @@
-"""A few registered queries next to their SQL; ``tools/compare.py`` runs them all."""
+"""All registered queries next to their SQL."""
 
 import sys
 from pathlib import Path
@@ -12,7 +12,7 @@ import compare  # noqa: E402
 import __spark_entry__ as contract  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-CHECKED = ["table_stats", "extract_title", "vector_topk", "fulltext_topk", "hybrid_topk", "guard_recommendation", "compact_history", "upsert_latest"]
+CHECKED = sorted(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", CHECKED)

@@ -150,3 +150,22 @@ def test_reset_in_a_stream():
     for turn, (role, text) in enumerate([("user", "a"), ("assistant", "b"), ("user", " /RESET "), ("user", "c")]):
         chat.add(turn, role, text, 500, running.fallback)
     assert [m[2] for m in chat.history] == ["c"] and chat.summary == ""
+
+
+def test_gaps_in_a_stream(spark):
+    chats = [(1, t, "user" if t % 2 else "assistant", f"m{t}") for t in (1, 2, 4, 7)] + [(2, 5, "user", "x")]
+
+    def run(rows, path, **options):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{path}/in")
+        states = running.running_compaction(stream, 500, **options)
+        running.write_states(states, f"{path}/out", f"{path}/progress").awaitTermination()
+        found = running.latest_states(spark.read.parquet(f"{path}/out")).collect()
+        return {r.conv_id: (r.n_messages, r.n_waiting, r.n_late) for r in found}
+
+    path = scratch_path(spark, "gaps")
+    assert run(chats, path, first_turn=None, gap_seconds=0) == {1: (4, 0, 0), 2: (1, 0, 0)}
+    assert run([(1, 3, "user", "late")], path, first_turn=None, gap_seconds=0)[1] == (4, 0, 1)
+    path = scratch_path(spark, "gaps")
+    assert run(chats, path, first_turn=None, gap_seconds=None) == {1: (2, 2, 0), 2: (1, 0, 0)}
+    assert run([(1, 3, "user", "in time")], path, first_turn=None, gap_seconds=None)[1] == (4, 1, 0)

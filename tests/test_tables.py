@@ -91,3 +91,13 @@ def test_new_files_arrive(stored, tmp_path):
     (tmp_path / "b.txt").write_text("B - y")
     ingest_new_files(spark, str(tmp_path), "cvs", MODEL, DIM, progress).awaitTermination()
     assert rows(spark.table("cvs")) == [(1, "a", "A", "A - x"), (2, "b", "B", "B - y")]
+
+
+def test_emptied_texts_leave_the_index(stored):
+    spark = stored
+    vector = F.lit(None).cast("array<float>").alias("embedding")
+    batch = spark.createDataFrame([("a", "t", "kubernetes terraform", 1)], "filename string, title string, raw_text string, seq long")
+    tables.upsert(spark, "cvs", batch.withColumn("embedding", vector), DIM)
+    assert sorted(r.term for r in tables.read_postings(spark, "cvs").collect()) == ["kubernetes", "terraform"]
+    tables.upsert(spark, "cvs", batch.withColumn("raw_text", F.lit("---")).withColumn("embedding", vector), DIM)
+    assert tables.read_postings(spark, "cvs").count() == 0

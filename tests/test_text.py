@@ -32,6 +32,6 @@ def test_tokens(spark):
 
 def test_keywords(spark):
     offers = spark.createDataFrame([("devops_engineer",), ("data_lead",)], "filename string")
-    got = {r.filename: r.keywords for r in with_keywords(offers, keyword_map(spark)).collect()}
+    got = {r.filename: r.keywords for r in with_keywords(offers, keyword_map(spark, {"devops_engineer": "Kubernetes Terraform"})).collect()}
     assert got["data_lead"] == "data lead"
     assert got["devops_engineer"].startswith("Kubernetes Terraform")

@@ -1,7 +1,7 @@
 import math
 
-import numpy as np
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from matchweave.functions import vectors as V
@@ -86,10 +86,10 @@ def test_cells(spark, data, tmp_path):
 def test_matrix_rank_and_diff(spark):
     docs = frame(spark, [(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0])])
     offers = frame(spark, [(8, [0.0, 1.0]), (9, [1.0, 0.0])], "query_id")
-    rows = {r.id: (round(r.q_8, 6), round(r.q_9, 6)) for r in VS.similarity_matrix(offers, docs, 2).collect()}
-    assert rows == {1: (0.0, 1.0), 2: (0.707107, 0.707107), 3: (0.0, 0.0)}
-    with pytest.raises(ValueError):
-        VS.similarity_matrix(offers, docs, 2, max_columns=1)
+    wanted = {(1, 8): 0.0, (1, 9): 1.0, (2, 8): 0.707107, (2, 9): 0.707107, (3, 8): 0.0, (3, 9): 0.0}
+    for options in ({}, {"block_bytes": 8}):
+        found = VS.similarity_matrix(offers, docs, 2, **options).collect()
+        assert {(r.id, r.query_id): round(r.similarity, 6) for r in found} == wanted
     ranked = VS.rank_by_similarity([0.0, 1.0], docs).orderBy("rank").collect()
     assert [(r.id, r["rank"]) for r in ranked] == [(2, 1), (1, 2), (3, 3)]
     other = frame(spark, [(1, [1.0, 0.5]), (2, [1.0, 1.0]), (3, [0.0, 0.0])])
