@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchweave.llm import contamination, packing, pii, quality, shingle_join
 from matchweave.llm.queries import table, tokenizer_path
+from matchweave.operators.scale import within
 from matchweave.session import durable
 
 #: SQL cannot express the trained stages; tests compare each stage with a plain version of its operator.
@@ -23,14 +24,30 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the smallest id of each group of near duplicates (five words, similarity 0.8).
 
     Documents without words are in no group. Of rows that repeat an id and are in one group, one stays. A row without
-    an id goes if a document with one is in its group.
+    an id stays only if no document with one is in its group.
     """
-    members = shingle_join.near_duplicates(docs, text_key="_key")
-    group = F.coalesce("component_id", "_key").alias("_group")
-    first = members.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", group).agg(F.min("_key").alias("_key"))
+    members = shingle_join.near_duplicates(docs, keys=True).filter("group_key is not null")
+    members = durable(members.select("doc_id", F.col("text_key").alias("_key"), "group_key"))
+    smallest = F.min(F.struct(F.isnull("doc_id"), "doc_id", "_key")).alias("_first")
+    first = durable(members.groupBy("group_key").agg(smallest).select("_first.doc_id", "_first._key"))
+    rows = members.groupBy("doc_id", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    dropped = durable(rows.join(first, _same(rows, first), "left_anti").select("doc_id", "_key"))
+    repeated = durable(rows.filter("_n > 1").join(first, _same(rows, first), "left_semi").select("doc_id", "_key"))
     keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = (keyed["_key"] == first["_key"]) & keyed["doc_id"].eqNullSafe(first["doc_id"])
-    return keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", "_key"]).select(docs.columns)
+    kept = keyed.join(_small(dropped), _same(keyed, dropped), "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(_small(repeated), _same(kept, repeated), "left_semi").dropDuplicates(["doc_id", "_key"])
+        kept = kept.join(_small(repeated), _same(kept, repeated), "left_anti").unionByName(once)
+    return kept.select(docs.columns)
+
+
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    return (left["_key"] == right["_key"]) & left["doc_id"].eqNullSafe(right["doc_id"])
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """To be broadcast if it has few rows; else the texts are shuffled."""
+    return F.broadcast(rows) if within(rows, shingle_join.BROADCAST_NODES) else rows
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -341,11 +341,12 @@ def near_duplicates(
     docs: DataFrame,
     n: int = SHINGLE,
     threshold: tuple[int, int] = THRESHOLD,
-    text_key: str | None = None,
+    keys: bool = False,
     hot_sets: int = HOT_SETS,
     family_part: int = FAMILY_PART,
 ) -> DataFrame:
-    r"""``doc_id, n_shingles, component_id`` (and ``text_key``: a hash of the text) of every row of ``docs``.
+    r"""``doc_id, n_shingles, component_id`` of every row of ``docs``; with ``keys`` also ``text_key`` (a hash of the text)
+    and ``group_key`` (the same for all rows of a component, null without shingles).
 
     A-Z are lower-cased; words are ``[^\x20\x09-\x0D]+`` of the whole text; a document's set holds its distinct
     shingles of ``n`` words, or its whole sequence if it has fewer words. Two documents are linked if
@@ -458,10 +459,10 @@ def near_duplicates(
     classes = classes.join(labels.select(F.col("node").alias("_set"), "component"), "_set", "left")
     classes = classes.withColumn("_part", F.coalesce("component", "_set")).select("_set", "_part", "_least")
     smallest = classes.groupBy("_part").agg(F.min("_least").alias("component_id"))
-    named = classes.join(smallest, "_part").select("_set", "component_id")
+    named = classes.join(smallest, "_part").select("_set", "_part", "component_id")
     return profiles.join(named, "_set", "left").select(
         F.col("_doc").alias("doc_id"),
         F.col("_size").alias("n_shingles"),
         F.coalesce("component_id", "_doc").alias("component_id"),
-        *([F.col("_key").alias(text_key)] if text_key else []),
+        *([F.col("_key").alias("text_key"), F.col("_part").alias("group_key")] if keys else []),
     )
