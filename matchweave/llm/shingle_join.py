@@ -411,7 +411,7 @@ def near_duplicates(
     placed = placed.select("_set", "_items", "_family", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other"))
     met = placed.groupBy("_family", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))
     edges = durable(met.applyInArrow(_compare(threshold), "u bigint, v bigint"))
-    labels = durable(components(edges))
+    labels = None
 
     def linked(wanted: DataFrame) -> DataFrame:
         wanted = durable(wanted)
@@ -422,10 +422,12 @@ def near_duplicates(
 
     def placed_in(wanted: DataFrame, name: str) -> DataFrame:
         """Add the component and the family of each named node."""
-        part = labels.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
         family = families.select(F.col("_set").alias(name), F.col("_family").alias(f"{name}_family"))
-        wanted = wanted.join(part, name, "left").join(family, name, "left")
-        return wanted.withColumn(f"{name}_part", F.coalesce(f"{name}_part", name))
+        wanted = wanted.join(family, name, "left")
+        if labels is None:
+            return wanted.withColumn(f"{name}_part", F.col(name))
+        part = labels.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
+        return wanted.join(part, name, "left").withColumn(f"{name}_part", F.coalesce(f"{name}_part", name))
 
     def apart(wanted: DataFrame) -> DataFrame:
         """Pairs of different components that no family has compared."""
@@ -445,14 +447,13 @@ def near_duplicates(
     best = asked.groupBy("v").agg(F.max(F.struct("_agree", "u")).alias("_best"))
     edges = edges.unionByName(linked(best.select(F.col("_best.u").alias("u"), "v")))
     labels = durable(components(edges))
-    edges = edges.unionByName(linked(apart(asked.select("u", "v"))))
-    labels = durable(components(edges))
     marked = placed_in(members.select("_block", "_set"), "_set").withColumnsRenamed({"_set_part": "_part", "_set_family": "_family"})
     mixed = marked.groupBy("_block").agg(F.min("_part").alias("_a"), F.max("_part").alias("_b")).filter("_a <> _b")
     marked = marked.join(mixed.select("_block"), "_block", "left_semi")
     rest = marked.repartition("_block").sortWithinPartitions("_block").mapInArrow(_pairs_of_block, "u bigint, v bigint")
     rest = rest.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.count(F.lit(1)).alias("_agree"))
-    edges = edges.unionByName(linked(near(rest).select("u", "v")))
+    others = apart(asked.select("u", "v")).unionByName(near(rest).select("u", "v"))
+    edges = edges.unionByName(linked(others.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
     labels = durable(components(edges))
 
     classes = profiles.filter("_set is not null").groupBy("_set").agg(F.min("_doc").alias("_least"))
