@@ -26,8 +26,13 @@ from matchweave.operators.vector_search import (
     ranked_hits,
     unit_rows,
     valid_vectors,
+    vector_search,
 )
 
+#: Queries whose exact hits tell how many cells have to be probed, if there are more than that.
+PROBE_QUERIES = 500
+
+
 @dataclass(frozen=True)
 class CellIndex:
     """Fitted centres and the corpus with its cell number."""
@@ -132,6 +137,44 @@ def ann_search(
     return ranked_hits(blocked_topk(probes, cells, k, dim, "cell", corpus_block, query_block), k)
 
 
+def probes_needed(
+    index: CellIndex, queries: DataFrame, k: int, dim: int, least: float, sample: int = PROBE_QUERIES, exact: DataFrame | None = None
+) -> int:
+    """The smallest ``nprobe`` that finds a mean share ``least`` of the exact hits of ``queries``.
+
+    Measured by brute force: an exact hit is found as soon as its cell is probed. Of more than ``sample`` queries that
+    many are measured (those with the smallest hashes), and ``least`` has to be passed by three standard errors.
+    ``exact`` may give exact lists of all queries that are there already.
+    """
+    rows = valid_vectors(queries.select("query_id", "embedding"), dim)
+    head = rows.orderBy(F.xxhash64("query_id"), "query_id").limit(sample + 1).toPandas()
+    sampled, head = len(head) > sample, head.head(sample)
+    if not len(head):
+        return index.n_cells
+    chosen = queries.sparkSession.createDataFrame(
+        [(q,) for q in head["query_id"].tolist()], T.StructType([rows.schema["query_id"]])
+    )
+    if exact is None:
+        exact = vector_search(rows.join(F.broadcast(chosen), "query_id", "left_semi"), index.cells, k, dim)
+    hits = exact.join(F.broadcast(chosen), "query_id", "left_semi").select("query_id", "id")
+    hits = index.cells.select("id", "cell").join(F.broadcast(hits), "id").select("query_id", "cell").toPandas()
+    closeness = np.nan_to_num(unit_rows(np.stack(head["embedding"].to_numpy())) @ index.centers.T)
+    order = _nearest(closeness, index.n_cells)
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(index.n_cells)[None, :], 1)
+    row = pd.Index(head["query_id"]).get_indexer(hits["query_id"])
+    # share of the hits of each query by number of probed cells
+    found = np.zeros((len(head), index.n_cells))
+    np.add.at(found, (row, place[row, hits["cell"].to_numpy()]), 1)
+    found = found[found.sum(axis=1) > 0].cumsum(axis=1)
+    if not len(found):
+        return index.n_cells
+    shares = found / found[:, -1:]
+    margin = 3 * shares.std(axis=0) / len(shares) ** 0.5 if sampled else 0.0
+    enough = shares.mean(axis=0) - margin >= min(least + 1e-9, 1.0)
+    return int(np.argmax(enough)) + 1 if enough.any() else index.n_cells
+
+
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
     """Share of the exact hits of each query that the approximate list holds."""
     found = approximate.select("query_id", "id", F.lit(1).alias("_hit"))

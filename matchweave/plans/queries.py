@@ -28,8 +28,8 @@ from matchweave.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 CREATED = datetime(2024, 1, 1)
 UPDATED = datetime(2024, 6, 1)
-#: Share of the exact hits that six cells have to find; the given vectors are close to isotropic.
-ANN_RECALL = 0.3
+#: Share of the exact hits that the probed cells have to find.
+ANN_RECALL = 0.9
 REGISTRY: dict[str, Query] = {}
 
 
@@ -206,8 +206,10 @@ def embedding_max_diff(spark, folder):
 
 @query
 def ann_topk(spark, folder):
-    index = _index(spark, folder)
-    return rounded(ann.ann_search(I.offers(spark, folder), index, LIST_DEPTH, I.DIM, nprobe=6).drop("distance"), 6, "score")
+    """As many cells are probed as the measured recall asks for."""
+    index, wanted = _index(spark, folder), I.offers(spark, folder)
+    nprobe = ann.probes_needed(index, wanted, LIST_DEPTH, I.DIM, ANN_RECALL)
+    return rounded(ann.ann_search(wanted, index, LIST_DEPTH, I.DIM, nprobe).drop("distance"), 6, "score")
 
 
 @query
@@ -220,10 +222,11 @@ def ann_topk_all_cells(spark, folder):
 
 @query
 def ann_recall(spark, folder):
-    """Six of all cells have to find the stated share of the exact hits."""
+    """The cells that ``ann_topk`` probes have to find the stated share of the exact hits of all offers."""
     index, wanted = _index(spark, folder), I.offers(spark, folder)
-    exact = VS.vector_search(wanted, I.vectors(spark, folder), LIST_DEPTH, I.DIM)
-    found = ann.recall(exact, ann.ann_search(wanted, index, LIST_DEPTH, I.DIM, nprobe=6))
+    exact = durable(VS.vector_search(wanted, I.vectors(spark, folder), LIST_DEPTH, I.DIM))
+    nprobe = ann.probes_needed(index, wanted, LIST_DEPTH, I.DIM, ANN_RECALL, exact=exact)
+    found = ann.recall(exact, ann.ann_search(wanted, index, LIST_DEPTH, I.DIM, nprobe))
     return found.agg(F.count(F.lit(1)).alias("n_queries"), (F.avg("recall") >= ANN_RECALL).alias("enough"))
 
 
