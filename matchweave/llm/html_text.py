@@ -23,6 +23,10 @@ COVERAGE = 0.8
 ARTICLE_COVERAGE = 0.4
 #: Share of link text from which a block below the threshold counts as a menu.
 LINKED = 0.8
+#: Share of a page's content from which elements with the same marks are the content.
+MOST = 0.5
+#: Article text beside such elements, as a share of theirs, from which they are dropped all the same.
+BESIDE = 0.1
 
 # HTML elements by kind.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -33,7 +37,7 @@ BLOCK = set(
     " section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements that are never content.
-OUTSIDE = set("head nav footer aside form button select datalist dialog menu search svg math canvas object audio video".split())
+OUTSIDE = set("head nav footer aside button select datalist dialog menu search svg math canvas object audio video".split())
 #: An element whose start ends an open one of these kinds, up to the next of the second kinds.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -56,6 +60,8 @@ MARKS = set(
 )
 #: Marks that only count outside the content's own element.
 OUTER_MARKS = {"header"}
+#: Marks of an article element that is a reader's comment.
+COMMENT_MARKS = {"comment", "reply"}
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？؟،")
 
 _TOKEN = re.compile(
@@ -72,15 +78,25 @@ class _Block:
     __slots__ = ("path", "chain", "parts", "linked", "text")
 
     def __init__(self, path: tuple[str, ...], chain: tuple[int, ...]):
-        self.path, self.chain, self.parts, self.linked, self.text = path, chain, [], 0, ""
+        self.path, self.chain, self.linked, self.text = path, chain, 0, ""
+        # text, inside a link, numbers of the open elements with marks
+        self.parts: list[tuple[str, bool, tuple[int, ...]]] = []
 
+    def settle(self, dropped: set[int]) -> bool:
+        """Put the text together without what is in a dropped element; is there any?"""
+        parts = [(text, link) for text, link, marks in self.parts if not dropped.intersection(marks)]
+        self.linked = sum(len(text) for text, link in parts if link)
+        self.text = " ".join(html.unescape("".join(text for text, _ in parts)).split())
+        return bool(self.text)
 
-def _marked(name: str, attributes: str, inside_article: bool) -> bool:
-    """Does the element say that it is no content?"""
+
+def _marked(name: str, attributes: str, inside_article: bool) -> bool | frozenset[str]:
+    """True if the element is never content, else the words by which it says that it is none."""
     if name in OUTSIDE or (name == "header" and not inside_article):
         return True
+    marks = {"form"} if name == "form" else set()
     if not attributes or name in ("html", "body"):
-        return False
+        return frozenset(marks)
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "")
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -89,27 +105,37 @@ def _marked(name: str, attributes: str, inside_article: bool) -> bool:
             return True
         if key in ("class", "id", "role"):
             words = set(_WORD.findall(value.lower())) | set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
-            if words & MARKS and not (name in ("article", "main")):
-                return True
-            if words & OUTER_MARKS and not inside_article:
-                return True
-            if key == "role" and words & {"complementary", "contentinfo", "search", "alert", "dialog"}:
-                return True
-    return False
+            marks |= words & (COMMENT_MARKS if name in ("article", "main") else MARKS)
+            if not inside_article:
+                marks |= words & OUTER_MARKS
+            if key == "role":
+                marks |= words & {"complementary", "contentinfo", "search", "alert", "dialog"}
+    return frozenset(marks)
 
 
 def blocks_of(source: str) -> list[_Block]:
-    """Text blocks in page order, each with the path of block elements from the root; marked elements left out."""
+    """Text blocks in page order, each with the path of block elements from the root; what is no content left out."""
+    blocks, marks = _all_blocks(source)
+    dropped = _no_content(blocks, marks) if marks else set()
+    return [block for block in blocks if block.settle(dropped)]
+
+
+def _all_blocks(source: str) -> tuple[list[_Block], dict[int, frozenset[str]]]:
+    """All blocks outside elements that are never content, and the marks of elements by number."""
     blocks: list[_Block] = []
-    # open elements: name, number, marked
+    marks: dict[int, frozenset[str]] = {}
+    # open elements: name, number, never content
     stack: list[tuple[str, int, bool]] = []
+    open_marks: list[int] = []
     number, skipped, links, articles, current, at = 0, 0, 0, 0, None, 0
 
     def pop_to(index: int) -> None:
         nonlocal skipped, links, articles, current
         while len(stack) > index:
-            name, _, marked = stack.pop()
-            skipped -= marked
+            name, closed, never = stack.pop()
+            skipped -= never
+            if open_marks and open_marks[-1] == closed:
+                open_marks.pop()
             links -= name == "a"
             articles -= name in ("article", "main")
             if name in BLOCK:
@@ -125,9 +151,7 @@ def blocks_of(source: str) -> list[_Block]:
             inside = [e for e in stack if e[0] in BLOCK]
             current = _Block(tuple(e[0] for e in inside), tuple(e[1] for e in inside))
             blocks.append(current)
-        current.parts.append(text)
-        if links:
-            current.linked += len(text)
+        current.parts.append((text, links > 0, tuple(open_marks)))
 
     end = len(source)
     while at < end:
@@ -188,17 +212,53 @@ def blocks_of(source: str) -> list[_Block]:
             continue
         number += 1
         marked = _marked(name, attributes, articles > 0)
-        stack.append((name, number, marked))
-        skipped += marked
+        stack.append((name, number, marked is True))
+        skipped += marked is True
+        if marked and marked is not True:
+            marks[number] = marked
+            open_marks.append(number)
         links += name == "a"
         articles += name in ("article", "main")
 
-    kept = []
-    for block in blocks:
-        block.text = " ".join(html.unescape("".join(block.parts)).split())
-        if block.text:
-            kept.append(block)
-    return kept
+    return blocks, marks
+
+
+def _no_content(blocks: list[_Block], marks: dict[int, frozenset[str]]) -> set[int]:
+    """The marked elements to drop, decided by the ratios of the whole page.
+
+    A mark can be part of a layout's name. So an element stays that holds an article or main element (no comment) of at least
+    half the text of any beside it, and so do elements with the same marks that hold most of the page's content together,
+    unless there is an article beside them.
+    """
+    blocks = [block for block in blocks if block.settle(set())]
+    content = _is_content(blocks, path_ratios(blocks))[0] if blocks else []
+    held: dict[frozenset[str], int] = {}
+    # text of each article outside the marked elements in it, and the marked elements around it
+    sizes: dict[int, int] = {}
+    around: dict[int, tuple[int, ...]] = {}
+    whole = 0
+    for block, good in zip(blocks, content):
+        articles = [e for name, e in zip(block.path, block.chain) if name in ("article", "main") and not marks.get(e, frozenset()) & COMMENT_MARKS]
+        for text, _, inside in block.parts if good else ():
+            chars = len(text.strip())
+            whole += chars
+            for words in {marks[e] for e in inside}:
+                held[words] = held.get(words, 0) + chars
+            for article in articles:
+                if not inside or inside[-1] < article:
+                    sizes[article] = sizes.get(article, 0) + chars
+                    around[article] = inside
+    dropped = set()
+    for element, words in marks.items():
+        inner = max((n for a, n in sizes.items() if element in around[a]), default=0)
+        outer = max((n for a, n in sizes.items() if element not in around[a]), default=0)
+        if inner and 2 * inner >= outer:
+            continue
+        beside = sum(n for a, n in sizes.items() if not any(marks[e] == words for e in around[a]))
+        if 0 < MOST * whole <= held.get(words, 0) and beside < BESIDE * held[words]:
+            continue
+        dropped.add(element)
+    return dropped
 
 
 def path_ratios(blocks: list[_Block]) -> list[float]:
@@ -231,17 +291,21 @@ def path_ratios(blocks: list[_Block]) -> list[float]:
     return out
 
 
+def _is_content(blocks: list[_Block], ratios: list[float]) -> tuple[list[bool], float]:
+    """Which blocks are above the threshold and no menu (all, if none is), and the threshold."""
+    mean = sum(ratios) / len(ratios)
+    limit = STRICTNESS * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
+    content = [r >= limit and b.linked < LINKED * len(b.text) for b, r in zip(blocks, ratios)]
+    return content if any(content) else [True] * len(blocks), limit
+
+
 def main_text(source: str | None) -> str:
     """The content blocks of a page, one per line; empty if there are none."""
     blocks = blocks_of(source or "")
     if not blocks:
         return ""
     ratios = path_ratios(blocks)
-    mean = sum(ratios) / len(ratios)
-    limit = STRICTNESS * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
-    content = [r >= limit and b.linked < LINKED * len(b.text) for b, r in zip(blocks, ratios)]
-    if not any(content):
-        content = [True] * len(blocks)
+    content, limit = _is_content(blocks, ratios)
     # the deepest element with most of the content; an article or main element is left only for one inside it
     held: dict[int, int] = {}
     named: dict[int, tuple[str, int]] = {}
@@ -286,7 +350,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     space). Each root-to-leaf path of block elements gets a ratio of text length, punctuation and link text; ratios
     are smoothed over neighbouring blocks and fused, and paths above a threshold are content. The element that holds
     most of the content gives the text, with its short blocks (titles, single lines) but without menus, notices,
-    adverts, forms and reader comments, which are known by element or by class, id and role, or by their link text.
+    adverts, forms and reader comments, which are known by element or by class, id and role, or by their link text. Class, id
+    and role drop no element that holds the article or most of the content.
 
     Null or empty HTML and pages without text give an empty text. Broken HTML (missing end tags, stray brackets) is
     read as far as it goes. Every row is answered by itself, repeated ids too; an empty table gives no rows; other columns are

@@ -35,3 +35,23 @@ def test_every_row_is_answered(spark):
     got = extract_text(pages).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, "u", "x é", 3)] * 2 + [(None, None, "", 0)], key=str)
     assert extract_text(pages.limit(0)).count() == 0
+
+
+def test_marks_in_the_names_of_wrappers():
+    article = f"<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article>"
+    side = f'<div class="sidebar"><p>Side: {LONG}</p></div><div class="comments"><p>Reader: {LONG}</p></div>'
+    want = f"Head\n{LONG}\n{LONG}"
+    for name in ("has-sidebar", "layout no-sidebar", "elementor-widget-text-editor", "with-comments", "social page"):
+        assert main_text(f'<body><div class="{name}">{article}{side}</div></body>') == want, name
+        assert main_text(f'<body><div id="{name}">{article}</div>{side}</body>') == want, name
+        assert main_text(f'<div class="{name}"><div class="widgets"><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></div></div>') == want, name
+    parts = "".join(f'<div class="elementor-widget-text-editor"><p>{i} {LONG}</p></div>' for i in range(5))
+    assert main_text(f"<body>{parts}</body>") == "\n".join(f"{i} {LONG}" for i in range(5))
+    assert main_text(f'<form id="aspnetForm"><div>{article}</div></form>') == want
+
+
+def test_long_comments_beside_an_article():
+    article = f'<article class="post comments-open"><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article>'
+    reader = "".join(f'<li><article class="comment"><p>Reader {i}: {LONG}</p></article></li>' for i in range(9))
+    page = f'<div class="has-sidebar">{article}<div id="comments"><ol>{reader}</ol></div></div>'
+    assert main_text(page) == f"Head\n{LONG}\n{LONG}"
