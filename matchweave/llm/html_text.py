@@ -17,10 +17,8 @@ from matchweave.llm.words import by_bytes
 SMOOTHING = 1.0
 #: A path is content if its ratio reaches this share of the standard deviation of the ratios of a page.
 STRICTNESS = 0.5
-#: Share of the content's text that the content element has to hold.
+#: Share of the content's text that an element has to hold for its other lines to count as content too.
 COVERAGE = 0.8
-#: Share that is enough for an article or main element.
-ARTICLE_COVERAGE = 0.4
 #: Share of link text from which a block below the threshold counts as a menu.
 LINKED = 0.8
 #: Share of a page's content from which elements with the same marks are the content.
@@ -227,12 +225,15 @@ def _no_content(blocks: list[_Block], marks: dict[int, frozenset[str]]) -> set[i
     """The marked elements to drop, decided by the ratios of the whole page.
 
     A mark can be part of a layout's name. So an element stays that holds an article or main element (no comment) of at least
-    half the text of any beside it, and so do elements with the same marks that hold most of the page's content together,
-    unless there is an article beside them.
+    half the text of any beside it. An element that holds most of the page's content stays, and if none with its marks does, so
+    do all with these marks that hold most of it together, unless there is an article beside them.
     """
     blocks = [block for block in blocks if block.settle(set())]
-    content = _is_content(blocks, path_ratios(blocks))[0] if blocks else []
-    held: dict[frozenset[str], int] = {}
+    content = _is_content(blocks, path_ratios(blocks)) if blocks else []
+    # text of each element, and of those with the same marks that are in as many of their kind
+    held: dict[int, int] = {}
+    alike: dict[tuple[frozenset[str], int], int] = {}
+    kinds: dict[int, tuple[frozenset[str], int]] = {}
     # text of each article outside the marked elements in it, and the marked elements around it
     sizes: dict[int, int] = {}
     around: dict[int, tuple[int, ...]] = {}
@@ -242,20 +243,25 @@ def _no_content(blocks: list[_Block], marks: dict[int, frozenset[str]]) -> set[i
         for text, _, inside in block.parts if good else ():
             chars = len(text.strip())
             whole += chars
-            for words in {marks[e] for e in inside}:
-                held[words] = held.get(words, 0) + chars
+            for n, e in enumerate(inside):
+                if e not in kinds:
+                    kinds[e] = marks[e], sum(marks[outer] == marks[e] for outer in inside[:n])
+                held[e] = held.get(e, 0) + chars
+                alike[kinds[e]] = alike.get(kinds[e], 0) + chars
             for article in articles:
                 if not inside or inside[-1] < article:
                     sizes[article] = sizes.get(article, 0) + chars
                     around[article] = inside
+    alone = {kinds[e] for e, chars in held.items() if chars >= MOST * whole}
     dropped = set()
-    for element, words in marks.items():
+    for element in marks:
         inner = max((n for a, n in sizes.items() if element in around[a]), default=0)
         outer = max((n for a, n in sizes.items() if element not in around[a]), default=0)
         if inner and 2 * inner >= outer:
             continue
-        beside = sum(n for a, n in sizes.items() if not any(marks[e] == words for e in around[a]))
-        if 0 < MOST * whole <= held.get(words, 0) and beside < BESIDE * held[words]:
+        kind = kinds.get(element)
+        chars = held.get(element, 0) if kind in alone else alike.get(kind, 0)
+        if chars and chars >= MOST * whole and outer < BESIDE * chars:
             continue
         dropped.add(element)
     return dropped
@@ -291,12 +297,12 @@ def path_ratios(blocks: list[_Block]) -> list[float]:
     return out
 
 
-def _is_content(blocks: list[_Block], ratios: list[float]) -> tuple[list[bool], float]:
-    """Which blocks are above the threshold and no menu (all, if none is), and the threshold."""
+def _is_content(blocks: list[_Block], ratios: list[float]) -> list[bool]:
+    """Which blocks are above the threshold and no menu; all, if none is."""
     mean = sum(ratios) / len(ratios)
     limit = STRICTNESS * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
     content = [r >= limit and b.linked < LINKED * len(b.text) for b, r in zip(blocks, ratios)]
-    return content if any(content) else [True] * len(blocks), limit
+    return content if any(content) else [True] * len(blocks)
 
 
 def main_text(source: str | None) -> str:
@@ -305,28 +311,67 @@ def main_text(source: str | None) -> str:
     if not blocks:
         return ""
     ratios = path_ratios(blocks)
-    content, limit = _is_content(blocks, ratios)
-    # the deepest element with most of the content; an article or main element is left only for one inside it
+    content = _is_content(blocks, ratios)
+    return "\n".join(block.text for block, keep in zip(blocks, _chosen(blocks, content)) if keep)
+
+
+def _chosen(blocks: list[_Block], content: list[bool]) -> list[bool]:
+    """All content blocks, and what stands with them: lines of the content's elements and between content blocks.
+
+    The content's elements are each article or main element with content, and the deepest element with most of the
+    content. Of the other blocks there, only menus are left out: elements of several lines that are nearly all links,
+    above the content of an element that is no article, or beside content right in the body. Outside these elements,
+    blocks between content blocks are kept, without menus.
+    """
     held: dict[int, int] = {}
+    first: dict[int, int] = {}
     named: dict[int, tuple[str, int]] = {}
-    for block, good in zip(blocks, content):
+    for i, (block, good) in enumerate(zip(blocks, content)):
         if good:
             for depth, (name, element) in enumerate(zip(block.path, block.chain)):
                 held[element] = held.get(element, 0) + len(block.text)
+                first.setdefault(element, i)
                 named[element] = (name, depth)
     whole = sum(len(b.text) for b, good in zip(blocks, content) if good)
     wide = [e for e, chars in held.items() if chars >= COVERAGE * whole and named[e][0] not in ("p", "li", "td", "tr", "h1", "h2", "h3")]
-    articles = [e for e, chars in held.items() if chars >= ARTICLE_COVERAGE * whole and named[e][0] in ("article", "main")]
-    # of several article elements the one with most text, of nested ones the inner one
-    root = max(articles, key=lambda e: (held[e], named[e][1])) if articles else max(wide, key=lambda e: named[e][1], default=None)
-    chosen = []
-    for block, ratio in zip(blocks, ratios):
-        if root is not None and root not in block.chain:
+    root = max(wide, key=lambda e: named[e][1], default=None)
+    articles = {e for e, (name, _) in named.items() if name in ("article", "main")}
+    begin, end = content.index(True), len(content) - content[::-1].index(True)
+
+    # other blocks by the deepest element with content around them and the branch of it that they are in
+    places: list[tuple[int, object] | None] = []
+    branches: dict[object, list[int]] = {}
+    for i, (block, good) in enumerate(zip(blocks, content)):
+        if good:
+            places.append(None)
             continue
-        if ratio < limit and block.linked >= LINKED * len(block.text):
+        depth = next((d for d in range(len(block.chain) - 1, -1, -1) if block.chain[d] in held), -1)
+        branch = block.chain[depth + 1] if depth + 1 < len(block.chain) else ("line", i)
+        places.append((depth, branch))
+        seen = branches.setdefault(branch, [0, 0, 0])
+        seen[0] += 1
+        seen[1] += len(block.text)
+        seen[2] += min(block.linked, len(block.text))
+
+    chosen = []
+    for i, (block, place) in enumerate(zip(blocks, places)):
+        if place is None:
+            chosen.append(True)
             continue
-        chosen.append(block.text)
-    return "\n".join(chosen)
+        depth, branch = place
+        lines, chars, linked = branches[branch]
+        menu = lines > 1 and linked >= LINKED * chars
+        between = begin < i < end
+        around = block.chain[: depth + 1]
+        if articles.intersection(around):
+            chosen.append(True)
+        elif root is None or root in around:
+            nearest = named[around[-1]][0] if around else "body"
+            above = i < first[around[-1]] if around else i < begin
+            chosen.append(not menu or not above and (between or nearest not in ("html", "body")))
+        else:
+            chosen.append(between and not menu)
+    return chosen
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,9 +393,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Text nodes are put together into blocks (a block element ends one; line breaks and runs of white space become one
     space). Each root-to-leaf path of block elements gets a ratio of text length, punctuation and link text; ratios
-    are smoothed over neighbouring blocks and fused, and paths above a threshold are content. The element that holds
-    most of the content gives the text, with its short blocks (titles, single lines) but without menus, notices,
-    adverts, forms and reader comments, which are known by element or by class, id and role, or by their link text. Class, id
+    are smoothed over neighbouring blocks and fused, and paths above a threshold are content. All content gives the
+    text, with the short blocks of its elements and between them (titles, single lines) but without menus, notices, adverts, forms and reader comments, which are known by element or by class, id and role, or by their link text. Class, id
     and role drop no element that holds the article or most of the content.
 
     Null or empty HTML and pages without text give an empty text. Broken HTML (missing end tags, stray brackets) is

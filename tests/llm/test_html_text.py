@@ -55,3 +55,31 @@ def test_long_comments_beside_an_article():
     reader = "".join(f'<li><article class="comment"><p>Reader {i}: {LONG}</p></article></li>' for i in range(9))
     page = f'<div class="has-sidebar">{article}<div id="comments"><ol>{reader}</ol></div></div>'
     assert main_text(page) == f"Head\n{LONG}\n{LONG}"
+
+
+def test_no_part_of_the_content_is_dropped():
+    two = f"<body><nav><a>Menu</a></nav><article><h2>One</h2><p>{LONG} {LONG}</p></article><article><h2>Two</h2><p>{LONG}</p></article></body>"
+    assert main_text(two) == f"One\n{LONG} {LONG}\nTwo\n{LONG}"
+    body = "".join(f"<p>{i} {LONG}</p>" for i in range(8))
+    lines = "\n".join(f"{i} {LONG}" for i in range(8))
+    page = f'<body><div class="lead"><h1>Title</h1><p>Lead: {LONG}</p></div><div class="text">{body}</div><div class="end"><p>End: {LONG}</p></div></body>'
+    assert main_text(page) == f"Title\nLead: {LONG}\n{lines}\nEnd: {LONG}"
+    assert main_text(f"<body><div><h1>Title</h1></div><div>{body}</div></body>") == f"Title\n{lines}"
+
+
+def test_link_lines_of_the_article_stay_and_menus_go():
+    body = "".join(f"<p>{i} {LONG}</p>" for i in range(8))
+    lines = "\n".join(f"{i} {LONG}" for i in range(8))
+    sources = "<ul>" + "".join(f'<li><a href="/{i}">Source {i}</a></li>' for i in range(12)) + "</ul>"
+    listed = "\n".join(f"Source {i}" for i in range(12))
+    for outer in ("article", "div"):
+        assert main_text(f"<body>{sources}<{outer}>{body}{sources}</{outer}>{sources}</body>") == f"{lines}\n{listed}"
+    assert main_text(f"<body>{sources}{body}{sources}</body>") == lines
+
+
+def test_a_sidebar_beside_a_wrapper_named_after_it():
+    body = "".join(f"<p>{i} {LONG}</p>" for i in range(4))
+    lines = "\n".join(f"{i} {LONG}" for i in range(4))
+    side = f'<div class="sidebar"><p>Side: {LONG}</p></div>'
+    for page in (f'<div class="has-sidebar">{body}{side}</div>', f'<div class="has-sidebar">{body}</div>{side}'):
+        assert main_text(f"<body>{page}</body>") == lines
