@@ -145,14 +145,11 @@ def _candidates(index: ItemIndex, hashes: np.ndarray, first: np.ndarray) -> Iter
         of_length = lengths[entry]
         for length in np.unique(of_length).tolist():
             mine = of_length == length
-            place, run = at[mine], runs[entry[mine]]
+            place = at[mine]
             needed = seeds_needed(length, index.edits)
-            # texts with enough different runs
-            order = np.lexsort((run, text[place]))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (run[order][1:] != run[order][:-1]) | (text[place][order][1:] != text[place][order][:-1])
-            different = np.bincount(text[place][order][new], minlength=len(first) - 1)
-            place = place[different[text[place]] >= needed]
+            # texts with enough places of runs; a run that an item repeats counts each time
+            places = np.bincount(text[place], minlength=len(first) - 1)
+            place = place[places[text[place]] >= needed]
             if not len(place):
                 continue
             # windows of the length with enough runs inside; a short text is one window
@@ -230,7 +227,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS,
     Windows as long as an item are embedded by CGK random walks, which turn edits into few changed positions;
     repeated samples of positions are the keys under which windows meet items, and pairs that meet are verified by
     their exact edit distance. Only windows are embedded that can be within the limit: every edit breaks at most three of an
-    item's three-word runs, so a window without the rest of them is none.
+    item's three-word runs (repeated runs counted each time), so a window with fewer places of such runs than the rest is none.
 
     The items of one block of at most about ``block_bytes`` go to all tasks; a larger benchmark takes more passes.
     Null, empty and wordless texts and items give no row. Repeated rows and repeated items are answered each. An

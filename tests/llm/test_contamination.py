@@ -69,3 +69,28 @@ def test_empty_tables(spark):
     none = frame(spark, [], "item_id bigint, text string")
     assert find_benchmark(docs, none).count() == 0
     assert find_benchmark(frame(spark, [], "doc_id bigint, text string"), frame(spark, [(1, "a b c")], "item_id bigint, text string")).count() == 0
+
+
+def test_items_with_repeated_runs(spark):
+    random.seed(8)
+    texts = ["yes no " * 10, "la " * 10, "1 2 3 4 " * 8, "ring a ring o roses " * 3, "a b " * 5 + "c d " * 6, "x " * 25]
+    items = [(i, t) for i, t in enumerate(texts)]
+    docs, copies = [], []
+    for i in range(180):
+        passage = texts[i % 6].split()
+        if i < 12:
+            copies.append((i, i % 6))
+        else:
+            for _ in range(random.randrange(1, 1 + edit_limit(len(passage)))):
+                k = random.randrange(len(passage))
+                random.choice([lambda: passage.insert(k, f"v{i}"), lambda: passage.pop(k), lambda: passage.__setitem__(k, f"u{i}")])()
+        around = [f"w{random.randrange(300)}" for _ in range(random.randrange(40))] if i >= 6 else []
+        at = random.randrange(len(around) + 1)
+        docs.append((i, " ".join([*around[:at], *passage, *around[at:]])))
+    wanted = plain(docs, items)
+    assert wanted >= set(copies)
+    rows = find_benchmark(frame(spark, docs, "doc_id bigint, text string"), frame(spark, items, "item_id bigint, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert {(r.doc_id, r.item_id) for r in rows if r.edits == 0} >= set(copies)
+    assert got <= wanted
+    assert len(got) >= 0.97 * len(wanted), (len(got), len(wanted))
