@@ -27,6 +27,8 @@ EMPTY_TAIL = 1e-6
 HOT_SETS, HOT_BLOCKS = 64, 3
 #: Sets of a family that are compared with each other in one task, at most twice as many.
 FAMILY_PART = 512
+#: Shingles of a family's part, about.
+FAMILY_SHINGLES = 1 << 20
 #: Nodes of which a list is broadcast to pick their texts; a longer one is joined by shuffle.
 BROADCAST_NODES = 500_000
 #: Low bits of a block's key that tell its band.
@@ -289,18 +291,13 @@ COLUMNS = 2048
 
 def _sets(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
         for batch in by_bytes(batches, "_text"):
-            names, lists = [], []
-            for name, items in zip(batch.column("_set").to_pylist(), shingle_sets(batch.column("_text"), n)):
-                if name not in done:  # a repeated row
-                    done.add(name)
-                    names.append(name)
-                    lists.append(items.view(np.int64))
-            if names:
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            if batch.num_rows:
+                lists = [items.view(np.int64) for items in shingle_sets(batch.column("_text"), n)]
+                sizes = np.array([len(x) for x in lists])
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), items], names=["_set", "_items"])
+                yield pa.RecordBatch.from_arrays([batch.column("_set"), pa.array(sizes, pa.int64()), items], names=["_set", "_size", "_items"])
 
     return sets
 
@@ -344,6 +341,7 @@ def near_duplicates(
     keys: bool = False,
     hot_sets: int = HOT_SETS,
     family_part: int = FAMILY_PART,
+    family_shingles: int = FAMILY_SHINGLES,
 ) -> DataFrame:
     r"""``doc_id, n_shingles, component_id`` of every row of ``docs``; with ``keys`` also ``text_key`` (a hash of the text)
     and ``group_key`` (the same for all rows of a component, null without shingles).
@@ -360,8 +358,8 @@ def near_duplicates(
 
     A block with more than ``hot_sets`` sets is hot. It brings together only sets with more hot blocks than a sketch
     can spare, which two linked sets either both have or need not meet there. Such sets form families (many near copies of one text); a
-    family is compared whole, in parts of about ``family_part`` sets, by multiplying the incidence of its shingles,
-    so no pairs are written out. All links between different components are found either way.
+    family is compared whole, in parts of about ``family_part`` sets and ``family_shingles`` shingles at most, by multiplying
+    the incidence of its shingles, so no pairs are written out. All links between different components are found either way.
 
     Null and empty texts and texts without words have no shingles and no link. Rows that repeat a ``doc_id`` are
     answered each. A null ``doc_id`` is linked as any other and is the smallest only where no other is there. An
@@ -394,19 +392,21 @@ def near_duplicates(
     )
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        """Shingle sets of the nodes, from one text each."""
+        """Shingle sets of the nodes, one row each, from one text each: copies in many partitions are made one first."""
         texts = durable(profiles.join(nodes, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key")))
         if within(texts, BROADCAST_NODES):
             texts = F.broadcast(texts)
-        chosen = rows.select("_key", "_text").join(texts, "_key").select("_set", "_text")
-        return durable(chosen.mapInArrow(_sets(n), "_set bigint, _items array<bigint>"))
+        chosen = rows.select("_key", "_text").join(texts, "_key").select("_set", "_text").dropDuplicates(["_set"])
+        return durable(chosen.mapInArrow(_sets(n), "_set bigint, _size bigint, _items array<bigint>"))
 
     # each family whole, part by part: links come out as one edge for each set
     least = close.groupBy("_block").agg(F.min("_set").alias("v"))
     families = durable(components(close.join(least, "_block").select(F.col("_set").alias("u"), "v").distinct()))
     families = families.select(F.col("node").alias("_set"), F.col("component").alias("_family"))
-    size = families.groupBy("_family").agg(F.ceil(F.count(F.lit(1)) / F.lit(family_part)).cast("int").alias("_parts"))
-    placed = families.join(size, "_family").join(sets_of(families.select("_set")), "_set")
+    sets = sets_of(families.select("_set"))
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(family_part), F.sum("_size") / F.lit(family_shingles))).cast("int")
+    size = families.join(sets.select("_set", "_size"), "_set").groupBy("_family").agg(parts.alias("_parts"))
+    placed = families.join(size, "_family").join(sets, "_set")
     own = F.pmod(F.xxhash64("_set"), F.col("_parts")).cast("int")
     placed = placed.select("_set", "_items", "_family", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other"))
     met = placed.groupBy("_family", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from matchweave.llm import shingle_join
 from matchweave.llm.components import components
 from matchweave.llm.shingle_join import bits_apart, near_duplicates, parity_bits
 from tests.llm.data import frame
@@ -74,3 +75,42 @@ def test_sketch_distance_is_no_more_than_the_difference():
         items = rng.integers(1, 1 << 63, n + m - common, dtype=np.uint64)
         a, b = items[:n], items[n - common :]
         assert bits_apart(parity_bits(a), parity_bits(b)) <= n + m - 2 * common
+
+
+def test_copies_in_many_partitions_meet_once(spark, monkeypatch):
+    compare, verify = shingle_join._compare, shingle_join._verify
+
+    def compare_once(threshold):
+        inner = compare(threshold)
+
+        def once(table):
+            names = table.column("_set").to_pylist()
+            assert len(names) == len(set(names)), "a set came twice"
+            return inner(table)
+
+        return once
+
+    def verify_once(threshold):
+        inner = verify(threshold)
+
+        def once(batches):
+            seen = set()
+
+            def checked():
+                for batch in batches:
+                    for pair in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                        assert pair not in seen, "a pair came twice"
+                        seen.add(pair)
+                    yield batch
+
+            return inner(checked())
+
+        return once
+
+    monkeypatch.setattr(shingle_join, "_compare", compare_once)
+    monkeypatch.setattr(shingle_join, "_verify", verify_once)
+    rows = [(1000 * k + i, t) for k in range(6) for i, (_, t) in enumerate(sample(1)[6:])]
+    docs = frame(spark, rows, "doc_id bigint, text string").repartition(9)
+    for options in ({}, {"hot_sets": 3, "family_part": 5}, {"hot_sets": 3, "family_shingles": 300}):
+        got = near_duplicates(docs, 4, (85, 100), **options).collect()
+        assert sorted(map(tuple, got), key=str) == plain(rows, 4, 85, 100)
