@@ -10,7 +10,8 @@ from matchweave.llm.queries import table, tokenizer_path
 from matchweave.operators.scale import within
 from matchweave.session import durable
 
-#: SQL cannot express the trained stages; tests compare each stage with a plain version of its operator.
+#: SQL cannot express the trained stages. Tests compare the near-duplicate stage with its expected rows, and the benchmark and
+#: personal-data stages by columns and row counts only; packing has an empty table, the quality stage and run() have no test here.
 ORACLE_SQL = None
 
 
