@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchweave.llm.block_topk import top_k
 from matchweave.llm.contamination import find_benchmark
+from matchweave.llm.hard_negatives import hard_negatives
 from matchweave.llm.html_text import extract_text
 from matchweave.llm.packing import pack_documents
 from matchweave.llm.pii import find_pii
@@ -16,6 +17,7 @@ from matchweave.llm.pii import train as train_tagger
 from matchweave.llm.quality import held_out, score_quality, train
 from matchweave.llm.sharding import assign_shards
 from matchweave.llm.shingle_join import near_duplicates
+from matchweave.llm.spelling import spelling_variants
 from matchweave.llm.substring_dedup import remove_repeats
 from matchweave.llm.url_filter import judge_urls
 
@@ -100,3 +102,16 @@ def op9_html_text(spark, folder):
 def op10_url_rules(spark, folder):
     """Every page with its host, path, deciding site rule and verdict."""
     return judge_urls(table(spark, folder, "pages"))
+
+
+@query
+def op12_spelling_variants(spark, folder):
+    """Every frequent word with the words one edit away, its form and its root."""
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    """Hard negatives of every hundredth vector, with a seventh of the labels moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, moved)
