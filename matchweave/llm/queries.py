@@ -11,6 +11,7 @@ from matchweave.llm.block_topk import top_k
 from matchweave.llm.contamination import find_benchmark
 from matchweave.llm.hard_negatives import hard_negatives
 from matchweave.llm.html_text import extract_text
+from matchweave.llm.language_model import score_texts
 from matchweave.llm.packing import pack_documents
 from matchweave.llm.pii import find_pii
 from matchweave.llm.pii import train as train_tagger
@@ -104,6 +105,12 @@ def op10_url_rules(spark, folder):
     return judge_urls(table(spark, folder, "pages"))
 
 
+@query
+def op11_pitman_yor(spark, folder):
+    """Every document with its log10 probability by a model learnt from six sevenths of them."""
+    return score_texts(table(spark, folder, "documents"))
+
+
 @query
 def op12_spelling_variants(spark, folder):
     """Every frequent word with the words one edit away, its form and its root."""
