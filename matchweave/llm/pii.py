@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from matchweave.llm.tagger import PADDING, Tagger, symbols
 from matchweave.llm.words import by_bytes
+from matchweave.operators.scale import top_per_key
 
 KINDS = ("email", "ip", "card", "phone")
 #: Code points of a window, and from one window to the next.
@@ -126,18 +127,17 @@ def tags_of(spans: list[tuple[str, int, int]], start: int) -> np.ndarray:
 
 def _varied(text: str, spans: list[tuple[str, int, int]], rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
     """The same window with telephone numbers written in other ways."""
-    out, made, at = [], [], 0
+    out, made, at, moved = [], [], 0, 0
     for kind, a, b in sorted(spans, key=lambda s: s[1]):
-        if a < at:
-            continue
+        whole = kind == "phone" and a >= at and b <= len(text)
         body = text[a:b]
-        if kind == "phone":
+        if whole:
             body = rng.choice([body, body.lstrip("+"), re.sub(r"^\+[0-9]+ ?", "", body), body.replace("-", rng.choice([" ", "."]))])
-        out.append(text[at:a])
-        begin = sum(map(len, out))
-        out.append(body)
-        made.append((kind, begin, begin + len(body)))
-        at = b
+            out += [text[at:a], body]
+            at = b
+        begin = a + moved
+        moved += len(body) - (b - a) if whole else 0
+        made.append((kind, begin, b + moved))
     out.append(text[at:])
     return "".join(out), made
 
@@ -149,16 +149,15 @@ def _doubtful(window: str) -> bool:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window with a trigger, its base spans, and a hash to choose by."""
+    """Every window with a trigger and the base spans in it, counted from its begin; spans may begin before it or end after it."""
     for batch in by_bytes(batches, "_text"):
         texts, labels = [], []
         for text in batch.column("_text").to_pylist():
             spans = base_spans(text)
             for start in window_starts(text):
                 window = text[start : start + WINDOW]
-                inside = [s for s in spans if s[1] >= start and s[2] <= start + WINDOW]
-                whole = len(inside) == sum(s[2] > start and s[1] < start + WINDOW for s in spans)  # none is cut
-                if whole and (inside or not _doubtful(window)):
+                inside = [(kind, a - start, b - start) for kind, a, b in spans if b > start and a < start + WINDOW]
+                if inside or not _doubtful(window):
                     texts.append(window)
                     labels.append(joined(inside))
         if texts:
@@ -170,19 +169,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Tagger | None:
 
     The labelled spans are those of the fixed patterns in the documents. Half of the sample are windows with spans, half windows
     with digits or at signs, no span and nothing in the shape of one, each those with the smallest hash of their text, so
-    the sample does not depend on the partitioning. Windows with a telephone number come a second time with it written in another way.
+    the sample does not depend on the partitioning. Windows may cut spans. Windows with a telephone number come a second time with it written in another way.
     """
     texts = docs.select(F.col("text").alias("_text")).filter(F.col("_text").rlike("[0-9@]"))
-    windows = texts.mapInArrow(_windows, "_window string, _spans string")
-
-    def smallest(of: DataFrame) -> list:
-        ranked = of.groupBy("_window").agg(F.min("_spans").alias("_spans"))
-        return ranked.orderBy(F.xxhash64("_window"), "_window").limit(sample // 2).collect()
-
-    found = smallest(windows.filter("_spans <> ''"))
-    if not found:
+    windows = texts.mapInArrow(_windows, "_window string, _spans string").groupBy("_window").agg(F.min("_spans").alias("_spans"))
+    order = [F.xxhash64("_window"), F.col("_window")]
+    found = top_per_key(windows.withColumn("_some", F.col("_spans") != ""), "_some", order, sample // 2).collect()
+    if not any(row._some for row in found):
         return None
-    found += smallest(windows.filter("_spans = ''"))
+    found.sort(key=lambda row: (not row._some, row.rank))
     rng = random.Random(5)
     x, y = [], []
     for row in found:
@@ -199,19 +194,48 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Tagger | None:
 
 
 def _spans_in(tags: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Kind number, begin and end of the tagged spans of one window."""
+    """Kind number, begin and end of the tagged spans of one window; one that goes on at its begin counts from there."""
     place = 0
     while place < len(tags):
-        if tags[place] and tags[place] % 2:
-            inside, end = tags[place] + 1, place + 1
+        if tags[place] and (tags[place] % 2 or not place):
+            inside, end = tags[place] + tags[place] % 2, place + 1
             while end < len(tags) and tags[end] == inside:
                 end += 1
-            yield (int(tags[place]) - 1) // 2, place, end
+            yield (int(inside) - 2) // 2, place, end
             place = end
         else:
             place += 1
 
 
+def _joined_over(parts: list[tuple[int, int, int, bool, bool]]) -> Iterator[tuple[int, int, int]]:
+    """Margin, begin and end of the spans that parts of one kind (margin, begin, end, cut on the left, cut on the right) make.
+
+    A part that a window's border cuts is continued by any part of a neighbouring window that overlaps it.
+    """
+    for margin, a, b, left, right in parts:
+        grown = True
+        while grown and (left or right):
+            grown = False
+            for other, c, d, cut_left, cut_right in parts:
+                if right and c < b < d:
+                    b, right, margin, grown = d, cut_right, max(margin, other), True
+                if left and c < a < d:
+                    a, left, margin, grown = c, cut_left, max(margin, other), True
+        yield margin, a, b
+
+
+def _fits(kind: str, body: str) -> bool:
+    """Has a tagged span the shape of its kind?"""
+    digits = _digits(body)
+    if not _SHAPES[kind].fullmatch(body):
+        return False
+    if kind == "phone":
+        return 9 <= len(digits) <= 15
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    return kind == "email" or all(int(p) <= 255 for p in body.split("."))
+
+
 def _reconciled(found: list[tuple[int, str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Of spans from overlapping windows, those furthest from a window's border first; none may overlap another."""
     taken = [(a, b) for _, a, b in base]
@@ -223,34 +247,42 @@ def _reconciled(found: list[tuple[int, str, int, int]], base: list[tuple[str, in
     return kept
 
 
+def _tagged(text: str, parts: list[list[tuple[int, int, int, bool, bool]]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    found = []
+    for kind, own in zip(KINDS, parts):
+        for margin, a, b in _joined_over(own):
+            body = text[a:b]
+            a, body = a + len(body) - len(body.lstrip()), body.strip()
+            if _fits(kind, body):
+                found.append((margin, kind, a, a + len(body)))
+    return _reconciled(found, base)
+
+
 def tagged_spans(texts: list[str], base: list[list[tuple[str, int, int]]], tagger: Tagger) -> list[list[tuple[str, int, int]]]:
     """Spans that the tagger adds to the ``base`` spans of each text."""
     places = [(i, start) for i, text in enumerate(texts) for start in window_starts(text)]
-    found: list[list[tuple[int, str, int, int]]] = [[] for _ in texts]
-    codes: dict[int, np.ndarray] = {}
-    for i in range(0, len(places), DECODED):
-        part = places[i : i + DECODED]
-        codes = {k: codes[k] if k in codes else symbols(texts[k]) for k in {k for k, _ in part}}
-        decoded = tagger.decode(np.stack([_cut(codes[k], start) for k, start in part]), _ALLOWED)
-        for (k, start), tags in zip(part, decoded):
-            text = texts[k]
-            for number, a, b in _spans_in(tags) if tags.any() else ():
-                kind, body = KINDS[number], text[start + a : start + b]
-                shape = _SHAPES[kind].fullmatch(body.strip())
-                if not shape or (kind == "phone" and not 9 <= len(_digits(body)) <= 15):
-                    continue
-                if kind == "card" and not (13 <= len(_digits(body)) <= 19 and _luhn(_digits(body))):
-                    continue
-                if kind == "ip" and any(int(p) > 255 for p in body.strip().split(".")):
-                    continue
-                left = a + len(body) - len(body.lstrip())
-                right = left + len(body.strip())
-                inner = start == 0 or a >= STRIDE // 4
-                inner &= start + WINDOW >= len(text) or b <= WINDOW - STRIDE // 4
-                if inner:
-                    margin = min(a if start else WINDOW, WINDOW - b if start + WINDOW < len(text) else WINDOW)
-                    found[k].append((margin, kind, start + left, start + right))
-    return [_reconciled(f, b) for f, b in zip(found, base)]
+    parts: dict[int, list[list]] = {}
+    done: set[tuple[int, int]] = set()
+    while places:
+        done.update(places)
+        further = set()
+        for i in range(0, len(places), DECODED):
+            chunk = places[i : i + DECODED]
+            codes = {k: symbols(texts[k]) for k in {k for k, _ in chunk}}
+            decoded = tagger.decode(np.stack([_cut(codes[k], start) for k, start in chunk]), _ALLOWED)
+            some = decoded.any(axis=1)
+            for (k, start), tags in zip([p for p, hit in zip(chunk, some) if hit], decoded[some]):
+                # at the text's own begin and end nothing is cut
+                first, last = start == 0, start + WINDOW >= len(texts[k])
+                for number, a, b in _spans_in(tags[: len(texts[k]) - start]):
+                    margin = min(WINDOW if first else a, WINDOW if last else WINDOW - b)
+                    left, right = a == 0 and not first, b == WINDOW and not last
+                    parts.setdefault(k, [[] for _ in KINDS])[number].append((margin, start + a, start + b, left, right))
+                    further |= {(k, start - STRIDE)} if left else set()
+                    further |= {(k, start + STRIDE)} if right else set()
+        # spans that go on where no trigger is
+        places = sorted(further - done)
+    return [_tagged(text, parts[k], b) if k in parts else [] for k, (text, b) in enumerate(zip(texts, base))]
 
 
 def all_spans(texts: list[str], tagger: Tagger | None) -> tuple[list, list]:
@@ -284,8 +316,8 @@ def find_pii(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
 
     The counts and the digest are those of the fixed patterns; ``spans`` holds these and what the tagger adds
     (telephone numbers without a plus sign, say). Places are code points, the end is exclusive. The tagger reads overlapping
-    windows of the whole text wherever there is a digit or an at sign; the same span from two windows counts once, a span
-    near a window's border is left to the next window, and an added span overlaps no other.
+    windows of the whole text wherever there is a digit or an at sign; parts of a span that a window's border cuts are joined with
+    those of the next window, of spans that overlap the one furthest from a border counts, and an added span overlaps no other.
 
     Null and empty texts have no spans. Rows that repeat an id are answered each; an empty table gives no rows; other columns
     are not read.

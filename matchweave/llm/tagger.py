@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-EMBEDDED, HIDDEN, EPOCHS, BATCH, RATE, SEED = 12, 16, 6, 64, 0.015, 11
+EMBEDDED, HIDDEN, EPOCHS, STEPS, BATCH, RATE, SEED = 12, 16, 6, 300, 64, 0.015, 11
 #: Code points below 128 stand for themselves; then other letters, other code points and padding.
 OTHER_LETTER, OTHER, PADDING, SYMBOLS = 128, 129, 130, 131
 
@@ -134,15 +134,15 @@ class Tagger:
         return float((whole - gold).mean()), grads
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Fit by Adam with clipped gradients; the same windows give the same weights."""
+        """Fit by Adam with clipped gradients, for ``EPOCHS`` and at least ``STEPS`` steps; the same windows give the same weights."""
         self.start()
         rng = np.random.default_rng(SEED)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step = 0
-        for epoch in range(EPOCHS):
+        step, epochs = 0, max(EPOCHS, -(-STEPS // -(-len(x) // BATCH)))
+        for epoch in range(epochs):
             order = rng.permutation(len(x))
-            rate = RATE * (1 - 0.9 * epoch / EPOCHS)
+            rate = RATE * (1 - 0.9 * epoch / epochs)
             for i in range(0, len(order), BATCH):
                 _, grads = self.gradients(x[order[i : i + BATCH]], y[order[i : i + BATCH]])
                 norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))

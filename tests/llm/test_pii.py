@@ -1,7 +1,10 @@
 import hashlib
+import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from matchweave.llm import pii
 from matchweave.llm.tagger import Tagger
@@ -60,6 +63,56 @@ def test_tagger_learns_and_adds(spark):
     assert texts[0] is None and "[EMAIL]" in texts[6] and "[PHONE]" in texts[7] and "555" not in texts[7]
 
 
+class Runs:
+    """Tags every run of ASCII as an address, also where a window cuts it."""
+
+    def decode(self, windows, allowed):
+        tags = np.zeros(windows.shape, dtype=np.int64)
+        inside = windows < 128
+        tags[inside] = 2
+        begin = inside.copy()
+        begin[:, 1:] &= ~inside[:, :-1]
+        tags[begin] = 1
+        tags[:, 0][inside[:, 0]] = 2  # begins or goes on: a window does not tell
+        return tags
+
+
+def test_long_spans_at_every_offset():
+    for length in (20, 34, 40, 64, 65, 96, 100, 128, 150, 300):
+        for offset in range(0, 140, 1 if length < 101 else 7):
+            body = "a" * (length // 3) + "@" + "b" * (length - length // 3 - 1)
+            text = "é" * offset + body + "é" * 150 + "x@y"
+            (found,) = pii.tagged_spans([text], [[]], Runs())
+            expected = [("email", offset, offset + length), ("email", len(text) - 3, len(text))]
+            assert sorted(found) == expected, (length, offset)
+
+
+def test_labels_are_counted_from_the_window():
+    text = "word " * 40 + "mail me@home.example now " + "word " * 40 + "10.0.0.1"
+    batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["_text"])
+    seen = 0
+    for out in pii._windows(iter([batch])):
+        for window, label in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            for kind, a, b in (s.split(":") for s in label.split(",")):
+                a, b = int(a), int(b)
+                body = window[max(a, 0) : b]
+                assert body in {"email": "me@home.example", "ip": "10.0.0.1"}[kind] and len(body) >= min(b, len(window)) - max(a, 0)
+                seen += a >= 0 and b <= len(window)
+    assert seen >= 3
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_tagger_alone_finds_most_base_spans(spark, folder):
+    if not os.path.isdir(folder):
+        pytest.skip("no tables")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = [r.text for r in docs.filter("text is not null").select("text").collect()]
+    base = [pii.base_spans(t) for t in texts]
+    alone = pii.tagged_spans(texts, [[] for _ in texts], pii.train(docs))
+    found = sum(len(set(a) & set(b)) for a, b in zip(alone, base))
+    assert found >= 0.9 * sum(map(len, base)) and sum(map(len, alone)) <= 1.1 * sum(map(len, base))
+
+
 def test_gradients():
     rng = np.random.default_rng(3)
     tagger = Tagger(3)
