@@ -1,7 +1,8 @@
-"""Approximate search over cluster cells: build, store, probe, exact re-rank.
+"""Search over cluster cells: build, store, probe, exact re-rank.
 
-Vectors are normalised and grouped into k-means cells; a query visits only its ``nprobe`` nearest
-cells. Probing every cell gives the exact result. Exact search stays the default elsewhere.
+Vectors are normalised and grouped into k-means cells. ``ann_search`` visits only the ``nprobe`` nearest cells of a query;
+``cell_search`` visits as many as its exact result needs: each cell has a radius, and one whose nearest possible vector
+is beyond the ``k``-th hit is left out. Exact search stays the default elsewhere.
 """
 
 from __future__ import annotations
@@ -19,26 +20,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchweave.operators.vector_search import (
-    CORPUS_BLOCK,
-    QUERY_BLOCK,
+    DECIMALS,
     arrow_matrix,
     blocked_topk,
+    kth_distances,
     ranked_hits,
     unit_rows,
     valid_vectors,
     vector_search,
 )
+from matchweave.session import durable
 
+#: Cells that are probed before a query's bound is known.
+FIRST_CELLS = 2
 #: Queries whose exact hits tell how many cells have to be probed, if there are more than that.
 PROBE_QUERIES = 500
 
 
 @dataclass(frozen=True)
 class CellIndex:
-    """Fitted centres and the corpus with its cell number."""
+    """Fitted centres, the corpus with its cell number, and the largest angle between a centre and its vectors."""
 
     centers: np.ndarray
     cells: DataFrame
+    radii: np.ndarray
 
     @property
     def n_cells(self) -> int:
@@ -99,24 +104,54 @@ def assign_cells(df: DataFrame, key: str, centers: np.ndarray, dim: int, nprobe:
     return rows.mapInArrow(nearest, schema)
 
 
+def _angles(closeness: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(closeness, -1.0, 1.0))
+
+
+def cell_radii(cells: DataFrame, centers: np.ndarray, dim: int) -> np.ndarray:
+    """The largest angle between each centre and a vector of its cell; all-zero vectors have none, empty cells a negative one."""
+    shared = cells.sparkSession.sparkContext.broadcast(centers)
+
+    def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = np.full(len(shared.value), -1.0)
+        for batch in batches:
+            cell = batch.column("cell").to_numpy(zero_copy_only=False)
+            unit = unit_rows(arrow_matrix(batch.column("embedding"), dim)) if batch.num_rows else np.empty((0, dim))
+            np.fmax.at(most, cell, _angles(np.einsum("ij,ij->i", unit, shared.value[cell])))
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(range(len(most)), pa.int32()), "radius": most})
+
+    found = cells.select("embedding", "cell").mapInArrow(widest, "cell int, radius double").groupBy("cell").agg(F.max("radius").alias("radius"))
+    radii = np.full(len(centers), -1.0)
+    for row in found.collect():
+        radii[row.cell] = row.radius
+    return radii
+
+
 def build_index(corpus: DataFrame, n_cells: int | None, dim: int, seed: int = 7, fraction: float = 1.0) -> CellIndex:
     centers = fit_centers(corpus, n_cells, dim, seed, fraction)
-    return CellIndex(centers, assign_cells(corpus, "id", centers, dim))
+    cells = durable(assign_cells(corpus, "id", centers, dim))
+    return CellIndex(centers, cells, cell_radii(cells, centers, dim))
 
 
 def write_index(index: CellIndex, path: str) -> None:
     """Store vectors by cell, so that a probe reads only the folders it needs."""
     index.cells.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
     spark = index.cells.sparkSession
-    centers = pd.DataFrame({"cell": range(index.n_cells), "center": [c.tolist() for c in index.centers]})
-    spark.createDataFrame(centers, "cell int, center array<double>").coalesce(1).write.mode("overwrite").parquet(
+    centers = pd.DataFrame({"cell": range(index.n_cells), "center": [c.tolist() for c in index.centers], "radius": index.radii})
+    spark.createDataFrame(centers, "cell int, center array<double>, radius double").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/centers"
     )
 
 
 def read_index(spark: SparkSession, path: str) -> CellIndex:
     centers = spark.read.parquet(f"{path}/centers").toPandas().sort_values("cell")
-    return CellIndex(np.stack(centers["center"].to_numpy()), spark.read.parquet(f"{path}/cells"))
+    return CellIndex(np.stack(centers["center"].to_numpy()), spark.read.parquet(f"{path}/cells"), centers["radius"].to_numpy())
+
+
+def _only_probed(index: CellIndex, probes: DataFrame) -> DataFrame:
+    # The list of cells is no longer than the list of centres, hence the broadcast; on a stored
+    # index this becomes dynamic partition pruning.
+    return index.cells.join(F.broadcast(probes.select("cell").distinct()), "cell", "left_semi")
 
 
 def ann_search(
@@ -125,16 +160,73 @@ def ann_search(
     k: int,
     dim: int,
     nprobe: int,
-    corpus_block: int = CORPUS_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    corpus_block: int | None = None,
+    query_block: int | None = None,
 ) -> DataFrame:
     """As ``vector_search``, over the ``nprobe`` nearest cells of each query only."""
     probes = assign_cells(queries, "query_id", index.centers, dim, nprobe)
-    wanted = probes.select("cell").distinct()
-    # The list of cells is no longer than the list of centres, hence the broadcast; on a stored
-    # index this becomes dynamic partition pruning.
-    cells = index.cells.join(F.broadcast(wanted), "cell", "left_semi")
-    return ranked_hits(blocked_topk(probes, cells, k, dim, "cell", corpus_block, query_block), k)
+    return ranked_hits(blocked_topk(probes, _only_probed(index, probes), k, dim, "cell", corpus_block, query_block), k)
+
+
+def cells_within(queries: DataFrame, index: CellIndex, dim: int, first: int = FIRST_CELLS) -> DataFrame:
+    """``query_id, embedding, limit, cell``: the cells that may hold a vector within each query's ``limit``.
+
+    No vector of a cell is nearer to the query than the angle to its centre less its radius. The ``first`` nearest cells are not
+    returned; a query without a limit gets all others.
+    """
+    shared = queries.sparkSession.sparkContext.broadcast((index.centers, index.radii))
+    schema = T.StructType([queries.schema["query_id"], queries.schema["embedding"], T.StructField("limit", T.DoubleType()), T.StructField("cell", T.IntegerType())])
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centers, radii = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            closeness = np.nan_to_num(unit_rows(arrow_matrix(batch.column("embedding"), dim)) @ centers.T)
+            limit = batch.column("limit").to_numpy(zero_copy_only=False)
+            nearest = 1.0 - np.cos(np.maximum(_angles(closeness) - radii[None, :], 0.0))
+            # distances are rounded, and angles are less exact than they are
+            wanted = (nearest <= limit[:, None] + 1e-6 + 10.0**-DECIMALS) & ((radii >= 0)[None, :] | np.isinf(limit)[:, None])
+            np.put_along_axis(wanted, _nearest(closeness, min(first, len(centers))), False, 1)
+            row, cell = np.nonzero(wanted)
+            out = batch.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cell, pa.int32())], names=[*batch.schema.names, "cell"])
+
+    return queries.select("query_id", "embedding", "limit").mapInArrow(within, schema)
+
+
+@dataclass(frozen=True)
+class CellHits:
+    """Ranked hits, and ``query_id, cell`` of every cell that was read for them."""
+
+    hits: DataFrame
+    read: DataFrame
+
+
+def cell_search(
+    queries: DataFrame,
+    index: CellIndex,
+    k: int,
+    dim: int,
+    first: int = FIRST_CELLS,
+    corpus_block: int | None = None,
+    query_block: int | None = None,
+) -> CellHits:
+    """The hits of ``vector_search``, from the cells that can hold one of them.
+
+    The ``first`` nearest cells of each query give its ``k``-th distance so far; then all cells are read whose
+    bound, from centre and radius, is not beyond that. With fewer than ``k`` hits in the first cells, all are read.
+    """
+    probes = durable(assign_cells(queries, "query_id", index.centers, dim, first))
+    near = durable(blocked_topk(probes, _only_probed(index, probes), k, dim, "cell", corpus_block, query_block))
+    limits = kth_distances(near, k, "_of")
+    asked = valid_vectors(queries.select("query_id", "embedding"), dim)
+    asked = asked.join(limits, F.col("query_id").eqNullSafe(F.col("_of")), "left")
+    asked = asked.select("query_id", "embedding", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
+    further = durable(cells_within(asked, index, dim, first))
+    rest = blocked_topk(further, _only_probed(index, further), k, dim, "cell", corpus_block, query_block)
+    read = probes.select("query_id", "cell").unionByName(further.select("query_id", "cell"))
+    return CellHits(ranked_hits(near.unionByName(rest), k), read)
 
 
 def probes_needed(

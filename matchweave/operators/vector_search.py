@@ -2,7 +2,9 @@
 
 Corpus vectors stream through Arrow batches and are multiplied with a block of query vectors;
 only the best ``k`` per query leave a task. Query sets that fit ``QUERY_BYTES`` are broadcast,
-larger ones are cut into blocks on both sides and paired block by block.
+larger ones are cut into blocks on both sides and paired block by block. With more than ``TASKS`` tasks, a
+small share of the corpus is searched first: its ``k``-th distance bounds what may leave the tasks that
+search the rest, so that the number of hits does not grow with the number of tasks.
 """
 
 from __future__ import annotations
@@ -17,14 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchweave.functions import vectors as V
-from matchweave.operators.scale import dense_index, top_per_key, union_all, within
+from matchweave.operators.scale import dense_index, top_per_key, union_all
+from matchweave.session import durable
 
 #: Query matrix that may be broadcast.
 QUERY_BYTES = 64 << 20
-#: Query rows multiplied at once, and block sizes of the two-sided form.
+#: Query rows multiplied at once, and bytes of a block's vectors in the two-sided form.
 TILE = 512
-CORPUS_BLOCK = 50_000
-QUERY_BLOCK = 32_768
+BLOCK_BYTES = 32 << 20
+#: Tasks whose best ``k`` are merged without a bound. The share that bounds more tasks than that is one in as many of the
+#: corpus; where there are more than the square of it, a share of that share bounds the share.
+TASKS = 16
 #: Distances are compared at this many decimals, so copies of one vector tie and fall to the id.
 DECIMALS = 12
 
@@ -63,9 +68,9 @@ class BestK:
     Hits are kept tile by tile: a new block of distances is merged with the hits of its own tile only.
     """
 
-    def __init__(self, n_queries: int, k: int):
+    def __init__(self, n_queries: int, k: int, limit: np.ndarray | None = None):
         self.k = k
-        self.limit = np.full(n_queries, np.inf)
+        self.limit = np.full(n_queries, np.inf) if limit is None else limit.astype(np.float64)
         self.tiles: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def add(self, first_row: int, dist: np.ndarray, ids: np.ndarray) -> None:
@@ -103,14 +108,16 @@ def _hit_schema(query_type: T.DataType) -> T.StructType:
     )
 
 
-def _broadcast_topk(queries: pd.DataFrame, query_type: T.DataType, corpus: DataFrame, k: int, dim: int) -> DataFrame:
+def _broadcast_topk(
+    queries: pd.DataFrame, query_type: T.DataType, corpus: DataFrame, k: int, dim: int, limits: np.ndarray | None = None
+) -> DataFrame:
     matrix = unit_rows(np.stack(queries["embedding"].to_numpy())) if len(queries) else np.empty((0, dim))
-    shared = corpus.sparkSession.sparkContext.broadcast((queries["query_id"].to_numpy(), matrix))
+    shared = corpus.sparkSession.sparkContext.broadcast((queries["query_id"].to_numpy(), matrix, limits))
     schema = _hit_schema(query_type)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, unit_queries = shared.value
-        best = BestK(len(query_ids), k)
+        query_ids, unit_queries, limits = shared.value
+        best = BestK(len(query_ids), k, limits)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -130,32 +137,39 @@ def _fresh(side: str, *columns: str) -> list[F.Column]:
     return [F.col(c).alias(f"{side}{c}") for c in columns]
 
 
+def block_rows(dim: int, block: int | None = None) -> int:
+    """Rows of a block: as asked, or as many as fit ``BLOCK_BYTES``."""
+    return block or max(TILE, BLOCK_BYTES // (8 * dim))
+
+
 def blocked_topk(
     queries: DataFrame,
     corpus: DataFrame,
     k: int,
     dim: int,
     cell: str | None = None,
-    corpus_block: int = CORPUS_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    corpus_block: int | None = None,
+    query_block: int | None = None,
 ) -> DataFrame:
     """Nearest ``k`` per query with both sides cut into bounded blocks.
 
     Rows meet only within equal ``cell`` values (everywhere, if no cell is given). A cell with
-    more rows than a block is sliced on either side, so one crowded cell becomes many tasks.
+    more rows than a block is sliced on either side, so one crowded cell becomes many tasks. A column
+    ``limit`` of the queries keeps hits beyond that distance inside the task.
     """
     left = queries.withColumn("_cell", F.col(cell) if cell else F.lit(0))
     right = corpus.withColumn("_cell", F.col(cell) if cell else F.lit(0))
+    limit = F.col("limit") if "limit" in queries.columns else F.lit(float("inf"))
 
     def slices(df: DataFrame, block: int, out: str) -> DataFrame:
         return df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(out))
 
-    sizes = slices(left, query_block, "_qn").join(slices(right, corpus_block, "_cn"), "_cell")
+    sizes = slices(left, block_rows(dim, query_block), "_qn").join(slices(right, block_rows(dim, corpus_block), "_cn"), "_cell")
     left = (
         left.join(F.broadcast(sizes), "_cell")
         .withColumn("_q", F.pmod(F.xxhash64("query_id"), F.col("_qn")).cast("int"))
         .withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_cn") - 1)))
-        .select(*_fresh("l", "_cell", "_q", "_c"), "query_id", F.col("embedding").alias("q_vec"))
+        .select(*_fresh("l", "_cell", "_q", "_c"), "query_id", F.col("embedding").alias("q_vec"), limit.alias("q_limit"))
     )
     right = (
         right.join(F.broadcast(sizes), "_cell")
@@ -165,7 +179,7 @@ def blocked_topk(
     )
 
     def nearest(query_rows: pd.DataFrame, corpus_rows: pd.DataFrame) -> pd.DataFrame:
-        best = BestK(len(query_rows), k)
+        best = BestK(len(query_rows), k, query_rows["q_limit"].to_numpy())
         if len(query_rows) and len(corpus_rows):
             unit_queries = unit_rows(np.stack(query_rows["q_vec"].to_numpy()))
             unit_corpus = unit_rows(np.stack(corpus_rows["c_vec"].to_numpy()))
@@ -178,7 +192,64 @@ def blocked_topk(
 
     schema = _hit_schema(queries.schema["query_id"].dataType)
     paired = left.groupBy("l_cell", "l_q", "l_c").cogroup(right.groupBy("r_cell", "r_q", "r_c"))
-    return paired.applyInPandas(nearest, schema)
+    # pandas gives NaN, the distance of a vector without length, as null
+    return paired.applyInPandas(nearest, schema).withColumn("distance", F.coalesce("distance", F.lit(float("nan"))))
+
+
+def kth_distances(hits: DataFrame, k: int, name: str = "query_id") -> DataFrame:
+    """``name, limit``: the distance of the ``k``-th hit of each query that has so many."""
+    ranked = ranked_hits(hits, k).filter(F.col("rank") == k).filter(~F.isnan("distance"))
+    return ranked.select(F.col("query_id").alias(name), F.col("distance").alias("limit"))
+
+
+def bounding_shares(tasks: int) -> list[int]:
+    """One in how many corpus rows is searched ahead of the others, the smallest share first."""
+    shares, share = [], TASKS
+    while tasks > share:
+        shares.insert(0, share)
+        share *= TASKS
+    return shares
+
+
+def _share(corpus: DataFrame, share: int, first: bool) -> DataFrame:
+    """A share of the corpus by a hash of the id; the first one in few tasks, so that not each sends its best ``k``."""
+    rows = corpus.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
+    return rows.repartition(TASKS) if first else rows
+
+
+def search_hits(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    dim: int,
+    query_bytes: int = QUERY_BYTES,
+    corpus_block: int | None = None,
+    query_block: int | None = None,
+) -> DataFrame:
+    """``query_id, id, distance`` that leave the tasks of ``vector_search``: the ``k`` nearest of each query, and some more.
+
+    A bound is the distance of a query's ``k``-th hit in a share of the corpus, so about ``k * TASKS`` rows of the whole lie
+    within it, however many tasks look for them.
+    """
+    max_rows = max(1, query_bytes // (8 * dim))
+    head = queries.limit(max_rows + 1).toPandas()
+    kind = queries.schema["query_id"].dataType
+    if len(head) <= max_rows:
+        limits = None
+        for i, share in enumerate(bounding_shares(corpus.rdd.getNumPartitions())):
+            hits = _broadcast_topk(head, kind, _share(corpus, share, not i), k, dim, limits)
+            known = kth_distances(hits, k).toPandas().set_index("query_id")["limit"]
+            limits = head["query_id"].map(known).fillna(np.inf).to_numpy()
+        return _broadcast_topk(head, kind, corpus, k, dim, limits)
+    blocks = -(-corpus.count() // block_rows(dim, corpus_block))
+    bounded = queries
+    for share in bounding_shares(blocks):
+        near = blocked_topk(bounded, _share(corpus, share, False), k, dim, None, corpus_block, query_block)
+        # written, so that each share is searched once
+        limits = durable(kth_distances(near, k, "_of"))
+        bounded = queries.join(limits, F.col("query_id").eqNullSafe(F.col("_of")), "left").drop("_of")
+        bounded = bounded.withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+    return blocked_topk(bounded, corpus, k, dim, None, corpus_block, query_block)
 
 
 def vector_search(
@@ -187,23 +258,18 @@ def vector_search(
     k: int,
     dim: int,
     query_bytes: int = QUERY_BYTES,
-    corpus_block: int = CORPUS_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    corpus_block: int | None = None,
+    query_block: int | None = None,
 ) -> DataFrame:
     """The ``k`` corpus vectors nearest to each query: ``query_id, id, score, distance, rank``.
 
     ``queries`` holds ``query_id, embedding`` and ``corpus`` holds ``id, embedding``. Rows without
-    a valid vector take no part. Swap the arguments to search in the other direction.
+    a valid vector take no part. Swap the arguments to search in the other direction. Blocks of the two-sided
+    form have as many rows as the caller asks for, or as fit ``BLOCK_BYTES``.
     """
     queries = valid_vectors(queries.select("query_id", "embedding"), dim)
     corpus = valid_vectors(corpus.select("id", "embedding"), dim)
-    max_rows = max(1, query_bytes // (8 * dim))
-    head = queries.limit(max_rows + 1).toPandas()
-    if len(head) <= max_rows:
-        hits = _broadcast_topk(head, queries.schema["query_id"].dataType, corpus, k, dim)
-    else:
-        hits = blocked_topk(queries, corpus, k, dim, None, corpus_block, query_block)
-    return ranked_hits(hits, k)
+    return ranked_hits(search_hits(queries, corpus, k, dim, query_bytes, corpus_block, query_block), k)
 
 
 def ranked_hits(hits: DataFrame, k: int) -> DataFrame:

@@ -276,7 +276,7 @@ def oracle() -> dict[str, str]:
       UNION ALL
       SELECT (SELECT max(id) + 1 FROM docs) + row_number() OVER (ORDER BY first, filename), filename, title, md5(raw_text), '2024-06-01' FROM fresh"""
 
-    for name in ("vector_topk", "vector_topk_blocked", "ann_topk_all_cells"):
+    for name in ("vector_topk", "vector_topk_blocked", "ann_topk", "ann_topk_all_cells"):
         sql[name] = EXACT_HITS
     sql["vector_topk_reverse"] = f"""WITH {VECS}, {OFFERS},
       wanted AS (SELECT id AS query_id, v FROM vecs), items AS (SELECT query_id AS id, v FROM offers WHERE v IS NOT NULL)

@@ -206,10 +206,9 @@ def embedding_max_diff(spark, folder):
 
 @query
 def ann_topk(spark, folder):
-    """As many cells are probed as the measured recall asks for."""
-    index, wanted = _index(spark, folder), I.offers(spark, folder)
-    nprobe = ann.probes_needed(index, wanted, LIST_DEPTH, I.DIM, ANN_RECALL)
-    return rounded(ann.ann_search(wanted, index, LIST_DEPTH, I.DIM, nprobe).drop("distance"), 6, "score")
+    """Cells are read in the order of their bounds until the next one is beyond the last hit."""
+    found = ann.cell_search(I.offers(spark, folder), _index(spark, folder), LIST_DEPTH, I.DIM)
+    return rounded(found.hits.drop("distance"), 6, "score")
 
 
 @query

@@ -57,6 +57,27 @@ def test_search_forms_equal_brute_force(spark, data):
         assert {(r.query_id, r.id, r["rank"]) for r in hits} == want
 
 
+def test_rows_leaving_the_tasks_do_not_grow_with_them(spark):
+    rng = np.random.default_rng(4)
+    corpus = frame(spark, [(i, v) for i, v in enumerate(rng.normal(size=(4_000, 3)).tolist())])
+    queries = frame(spark, [(i, v) for i, v in enumerate(rng.normal(size=(100_000, 3)).tolist())], "query_id")
+    few, many = (VS.search_hits(queries, corpus.repartition(n), 2, 3).count() for n in (50, 200))
+    assert many < 1.2 * few and many < 1.1 * 100_000 * 2 * VS.TASKS  # unbounded, 200 tasks send 400 rows a query
+    assert VS.bounding_shares(16) == [] and VS.bounding_shares(17) == [16] and VS.bounding_shares(5_000) == [4096, 256, 16]
+
+
+def test_bounded_search_equals_brute_force(spark, data):
+    queries, corpus = data
+    corpus = corpus + [(900, [0.0] * 6), (901, None)]
+    q, c = frame(spark, [*queries, (50, [0.0] * 6)], "query_id"), frame(spark, corpus)
+    for options in ({}, {"query_bytes": 0, "corpus_block": 7, "query_block": 3}):
+        hits = VS.vector_search(q, c.repartition(40), 5, 6, **options).collect()
+        got = {(r.query_id, r.id, r["rank"]) for r in hits if r.query_id != 50}
+        assert got == brute(queries, corpus[:-2], 5)
+        # a vector without length is at no distance from any: ties by id
+        assert sorted((r.id, r["rank"]) for r in hits if r.query_id == 50) == [(i, i + 1) for i in range(5)]
+
+
 def test_search_skips_invalid_and_sorts_zero_vectors_last(spark):
     corpus = frame(spark, [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [1.0]), (5, [-1.0, 0.0])])
     hits = VS.vector_search(frame(spark, [(7, [2.0, 0.0])], "query_id"), corpus, 9, 2).orderBy("rank").collect()
@@ -83,6 +104,26 @@ def test_cells(spark, data, tmp_path):
         assert r.n == 5 and 0.2 <= r.recall <= 1.0
 
 
+def test_cells_are_left_out_only_where_no_hit_can_be(spark, data, tmp_path):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 6))
+    corpus = [(i, (centres[i % 20] + rng.normal(size=6) * 0.05).astype("float32").tolist()) for i in range(600)]
+    odd = [(700, [0.0] * 6), (701, None), (702, [1.0])]
+    queries = [(i, corpus[i * 7][1]) for i in range(40)] + [(90, [0.0] * 6), (91, None)]
+    q, c = frame(spark, queries, "query_id"), frame(spark, corpus + odd)
+    for index in (ann.build_index(c, 20, 6), ann.build_index(frame(spark, data[1]), None, 6)):
+        ann.write_index(index, str(tmp_path / str(index.n_cells)))
+        index = ann.read_index(spark, str(tmp_path / str(index.n_cells)))
+        for k in (3, 50):
+            exact = VS.vector_search(q, index.cells.select("id", "embedding"), k, 6)
+            found = ann.cell_search(q, index, k, 6)
+            assert found.hits.exceptAll(exact).count() == 0 and exact.exceptAll(found.hits).count() == 0
+            if k == 3 and index.n_cells == 20:
+                read = found.read.filter("query_id < 90").groupBy("query_id").count().collect()
+                assert len(read) == 40 and np.mean([r["count"] for r in read]) < 10
+            assert found.read.distinct().count() == found.read.count()
+
+
 def test_matrix_rank_and_diff(spark):
     docs = frame(spark, [(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0])])
     offers = frame(spark, [(8, [0.0, 1.0]), (9, [1.0, 0.0])], "query_id")
