@@ -35,6 +35,18 @@ def padding(length: int, size: int = LENGTH) -> int:
     return 0 if length & (length - 1) == 0 else size - length
 
 
+def _whole_places(places: list[int]) -> dict[int, list[int]]:
+    """The places from which a sequence without padding ends at a place, where there are any."""
+    at = np.array(places)
+    found: dict[int, list[int]] = {}
+    for whole in WHOLE:
+        j = np.searchsorted(at, at - whole)
+        ends = np.flatnonzero(at[j] == at - whole)
+        for k, begin in zip(ends.tolist(), j[ends].tolist()):
+            found.setdefault(k, []).append(begin)
+    return found
+
+
 def best_cuts(places: list[int], costs: list[int], size: int = LENGTH) -> tuple[list[float], list[int]]:
     """Least cost up to each place where a cut may be, and the place before it.
 
@@ -42,7 +54,7 @@ def best_cuts(places: list[int], costs: list[int], size: int = LENGTH) -> tuple[
     ``size - (place k - place i)``; so apart from powers of two the best ``i`` has the least ``cost + place`` among
     those in reach, which a queue of rising values gives in constant time.
     """
-    at = {p: i for i, p in enumerate(places)}
+    whole = _whole_places(places)
     cost, before = [0.0] * len(places), [0] * len(places)
     queue: deque[tuple[float, int, int]] = deque()
     for k in range(1, len(places)):
@@ -54,10 +66,10 @@ def best_cuts(places: list[int], costs: list[int], size: int = LENGTH) -> tuple[
         while here - queue[0][2] > size:
             queue.popleft()
         least, i = queue[0][0] + size - here, queue[0][1]
-        for whole in WHOLE:
-            j = at.get(here - whole)
-            if j is not None and cost[j] < least:
-                least, i = cost[j], j
+        if k in whole:
+            for j in whole[k]:
+                if cost[j] < least:
+                    least, i = cost[j], j
         cost[k], before[k] = least + costs[k] + SEQUENCE_COST, i
     return cost, before
 
@@ -139,23 +151,32 @@ def _documents(batch: pa.RecordBatch, path: str):
     """Id, token ids, cut places and costs of every document of a batch."""
     ids, counts, words = load(path).encode(batch.column("_text"))
     stops = np.concatenate([[0], np.cumsum(counts)])
-    data = words.data
+    data, n = words.data, batch.num_rows
+    # all documents one after another, each with its end
+    ends = stops[words.first[1:]]
+    tokens = np.insert(ids, ends, END_ID).astype("<u4")
+    begins, ends = stops[words.first[:-1]] + np.arange(n), ends + np.arange(n) + 1
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     after = np.concatenate([words.starts[1:], [len(data)]])
     ending = _SENTENCE[data[words.ends - 1]] | (lines[after] > lines[words.ends]) if len(counts) else np.empty(0, dtype=bool)
-    for i, doc in enumerate(batch.column("_doc").to_pylist()):
-        a, b = int(words.first[i]), int(words.first[i + 1])
-        base = stops[a]
-        own = np.append(ids[base : stops[b]], np.uint32(END_ID)).astype("<u4")
-        places = np.unique(stops[a + 1 : b + 1][ending[a:b]] - base)
-        places = places[(places > 0) & (places < len(own))]
-        edges = np.concatenate([[0], places, [len(own)]])
-        long = np.flatnonzero(np.diff(edges) > LONG_SENTENCE)
-        extra = [np.arange(edges[j] + LONG_STEP, edges[j + 1], LONG_STEP) for j in long]
-        inner = np.concatenate([places, *extra])
-        cost = np.concatenate([np.full(len(places), SENTENCE_COST), np.full(len(inner) - len(places), WORD_COST)])
-        order = np.argsort(inner, kind="stable")
-        yield doc, own, np.append(inner[order], len(own)).astype(np.int64), np.append(cost[order], 0)
+    text = words.text[ending]
+    places = (stops[1:][ending] + text)[stops[1:][ending] + text > begins[text]]
+    places = np.unique(places)
+    # sentences that are too long may be cut every so many tokens
+    edges = np.unique(np.concatenate([places, begins, ends]))
+    gaps = np.diff(edges)
+    long = gaps > LONG_SENTENCE
+    inner = np.where(long, (gaps - 1) // LONG_STEP, 0)
+    nth = np.arange(inner.sum()) - np.repeat(np.cumsum(inner) - inner, inner) + 1
+    extra = np.repeat(edges[:-1], inner) + nth * LONG_STEP
+    every = np.concatenate([places, extra, ends])
+    cost = np.repeat([SENTENCE_COST, WORD_COST, 0], [len(places), len(extra), n])
+    order = np.argsort(every, kind="stable")
+    every, cost = every[order], cost[order]
+    first = np.searchsorted(every, begins, side="right")
+    last = np.searchsorted(every, ends, side="right")
+    for doc, begin, end, a, b in zip(batch.column("_doc").to_pylist(), begins.tolist(), ends.tolist(), first.tolist(), last.tolist()):
+        yield doc, tokens[begin:end], every[a:b] - begin, cost[a:b]
 
 
 def _pack(path: str, size: int):

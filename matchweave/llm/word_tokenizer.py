@@ -8,8 +8,8 @@ import pyarrow as pa
 from matchweave.llm.words import Words, hash_ranges, split_words
 
 #: Slots of the table of known pieces (a power of two), and token ids kept for them before it is emptied.
-SLOTS = 1 << 20
-POOL = 1 << 23
+SLOTS = 1 << 22
+POOL = 1 << 24
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -36,42 +36,45 @@ class PieceTokenizer:
 
     def _reset(self) -> None:
         self.keys = np.zeros(SLOTS, dtype=np.uint64)
-        self.begin = np.zeros(SLOTS, dtype=np.int64)
-        self.size = np.zeros(SLOTS, dtype=np.int64)
+        self.begin = np.zeros(SLOTS, dtype=np.int32)
+        self.size = np.zeros(SLOTS, dtype=np.int32)
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
 
-    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece; pieces of ASCII letters go through in one text, told apart by a digit between them."""
-        plain = [i for i, p in enumerate(pieces) if p.isalpha()]
-        other = [i for i, p in enumerate(pieces) if not p.isalpha()]
-        out: list[list[int]] = [[]] * len(pieces)
-        if plain:
-            joined = " 0 ".join(pieces[i].decode() for i in plain)
-            ids = np.array(self.encoder.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
-            cuts = np.flatnonzero(ids == self.between[0])
-            if len(cuts) == len(plain) - 1:
-                for i, part in zip(plain, np.split(ids, cuts)):
-                    out[i] = part[part != self.between[0]].tolist()
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has; letters go through in one text, told apart by a digit between them."""
+        letters = np.fromiter((p.isalpha() for p in pieces), dtype=bool, count=len(pieces))
+        sizes, plain = np.zeros(len(pieces), dtype=np.int64), np.flatnonzero(letters)
+        flat = np.empty(0, dtype=np.uint32)
+        if len(plain):
+            joined = b" 0 ".join([pieces[i] for i in plain.tolist()]).decode()
+            flat = np.array(self.encoder.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            between = np.flatnonzero(flat == self.between[0])
+            if len(between) == len(plain) - 1:
+                sizes[plain] = np.diff(np.concatenate([[-1], between, [len(flat)]])) - 1
+                flat = np.delete(flat, between)
             else:
-                other += plain
-        for i, encoded in zip(other, self.encoder.encode_batch_fast([pieces[i].decode() for i in other], add_special_tokens=False)):
-            out[i] = encoded.ids
-        return out
+                letters[:], plain, flat = False, plain[:0], flat[:0]
+        rest = np.flatnonzero(~letters).tolist()
+        encoded = [e.ids for e in self.encoder.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)]
+        sizes[rest] = [len(e) for e in encoded]
+        out = np.empty(int(sizes.sum()), dtype=np.uint32)
+        of_letters = np.repeat(letters, sizes)
+        out[of_letters] = flat
+        out[~of_letters] = np.fromiter((i for e in encoded for i in e), dtype=np.uint32, count=len(out) - len(flat))
+        return out, sizes
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, lower: bool) -> None:
         pieces = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
-        encoded = self._encode([p.lower() for p in pieces] if lower else pieces)
-        sizes = np.array([len(e) for e in encoded], dtype=np.int64)
-        total = int(sizes.sum())
-        while self.used + total > len(self.pool):
+        ids, sizes = self._encode([p.lower() for p in pieces] if lower else pieces)
+        while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + total] = np.fromiter((i for e in encoded for i in e), dtype=np.uint32, count=total)
+        self.pool[self.used : self.used + len(ids)] = ids
         slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
         self.keys[slot] = hashes
-        self.begin[slot] = self.used + np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        self.begin[slot] = self.used + np.cumsum(sizes) - sizes
         self.size[slot] = sizes
-        self.used += total
+        self.used += len(ids)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, Words]:
         """Ids of all texts in a row, the number of ids of each word, and the words."""
@@ -95,7 +98,7 @@ class PieceTokenizer:
         slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
         ids = None
         missing = np.flatnonzero(self.keys[slot] != hashes)
-        begin, size = self.begin[slot], self.size[slot]
+        begin, size = self.begin[slot].astype(np.int64), self.size[slot].astype(np.int64)
         while len(missing):
             # of pieces that share a slot one is learnt and read at a time
             _, first = np.unique(slot[missing], return_index=True)
