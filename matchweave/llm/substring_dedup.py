@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchweave.llm.fm_index import FMIndex
-from matchweave.llm.words import by_bytes, grams, mix, sliding_min, split_words, valid_runs
+from matchweave.llm.words import by_bytes, grams, mix, sequence_hashes, sliding_min, split_words, valid_runs
 from matchweave.operators.scale import union_all
 from matchweave.session import durable
 
@@ -28,24 +28,12 @@ SHARD_TEXTS = 4_000
 
 LAST_ID = (1 << 63) - 1
 _RADIX = 0xD6E8FEB86659FD93
-_INVERSE = pow(_RADIX, -1, 1 << 64)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the words in each range, whatever its place; ranges may overlap."""
-    n = len(hashes)
-    factors = np.full(n + 1, _RADIX, dtype=np.uint64)
-    factors[0] = 1
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(hashes * np.cumprod(factors, dtype=np.uint64)[:n], out=sums[1:])
-    factors[1:] = _INVERSE
-    return mix((sums[ends] - sums[starts]) * np.cumprod(factors, dtype=np.uint64)[starts] + (ends - starts).astype(np.uint64))
-
-
 def _runs(window: int, anchor: int):
     """Runs of neighbouring windows with the same anchor: the smallest hash of ``anchor`` words inside the window."""
 
@@ -67,7 +55,7 @@ def _runs(window: int, anchor: int):
             count = np.diff(np.concatenate([begin, [len(at)]]))
             start = at[begin]
             of = owner[begin]
-            whole = _range_hashes(words.hashes, start, start + count + window - 1)
+            whole = sequence_hashes(words.hashes, start, start + count + window - 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id").take(pa.array(of)),
@@ -116,7 +104,7 @@ def _split(window: int, anchor: int, grain: int):
                     rows += [(run["_anchor"], run["_whole"], int(c), *source, run["_first"] + int(c)) for c in cut]
             if rows:
                 begins, sizes = np.concatenate(starts), np.concatenate(counts)
-                whole = _range_hashes(words.hashes, begins, begins + sizes + window - 1)
+                whole = sequence_hashes(words.hashes, begins, begins + sizes + window - 1)
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]

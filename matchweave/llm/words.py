@@ -17,21 +17,17 @@ SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 
 _RADIX = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_RADIX, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
-_POWERS: dict[int, np.ndarray] = {}
+_PLACES: list[np.ndarray] = []
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)`` modulo 2**64; kept for the next call."""
-    known = _POWERS.get(base)
-    if known is None or len(known) < n:
-        factors = np.full(max(n, HASH_BYTES + 1), base, dtype=np.uint64)
-        factors[0] = 1
-        known = _POWERS[base] = np.cumprod(factors, dtype=np.uint64)
-    return known
+def _places(n: int) -> np.ndarray:
+    """A fixed odd random number for each of ``n`` places in a word; kept for the next call."""
+    if not _PLACES or len(_PLACES[0]) < n:
+        _PLACES[:] = [mix(np.arange(1, max(n, HASH_BYTES) + 1, dtype=np.uint64) * np.uint64(_RADIX)) | np.uint64(1)]
+    return _PLACES[0]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -105,21 +101,44 @@ def split_words(column: pa.Array, lower: bool = False, separator: np.ndarray = S
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit polynomial hash of each byte range; ranges are in order and do not overlap."""
+    """A 64-bit hash of each byte range; ranges are in order and do not overlap.
+
+    Each byte has a random number by its value and one by its place in the range, and a range has the sum of their products, so
+    that no pattern of bytes makes two ranges alike.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
     table = _BYTE_LOWER if lower else _BYTE
     i = 0
     while i < len(starts):
         j = max(int(np.searchsorted(ends, starts[i] + HASH_BYTES, side="right")), i + 1)
         lo, hi = int(starts[i]), int(ends[j - 1])
+        begin, end = starts[i:j] - lo, ends[i:j] - lo
+        place = np.arange(hi - lo) - np.repeat(begin, np.diff(begin, append=hi - lo))
         sums = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum(table[data[lo:hi]] * _powers(_RADIX, hi - lo)[: hi - lo], out=sums[1:])
-        begin = starts[i:j] - lo
-        out[i:j] = (sums[ends[i:j] - lo] - sums[begin]) * _powers(_INVERSE, hi - lo + 1)[begin]
+        np.cumsum(table[data[lo:hi]] * _places(hi - lo)[place], out=sums[1:])
+        out[i:j] = sums[end] - sums[begin]
         i = j
     return mix(out + np.uint64(0x2545F4914F6CDD1D))
 
 
+def sequence_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the run of hashes in each range, whatever its place; ranges may overlap, none is empty.
+
+    A range has the hashes of the two runs of the largest power of two that begin and end with it, which are mixed at
+    every doubling.
+    """
+    size = ends - starts
+    level = np.frexp(size)[1] - 1
+    out, part, step = np.empty(len(starts), dtype=np.uint64), hashes, 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        own = np.flatnonzero(level == k)
+        out[own] = mix(part[starts[own]] * np.uint64(_RADIX) + part[ends[own] - step]) + size[own].astype(np.uint64)
+        if len(part) > step:
+            part = mix(part[:-step] * np.uint64(0xD1342543DE82EF95 + 2 * step) + part[step:])
+        step *= 2
+    return mix(out)
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` hashes (across text borders too), by doubling."""
     count = len(hashes) - n + 1
