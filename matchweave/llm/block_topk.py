@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchweave.llm.integers import matrix, products, width_of
 from matchweave.operators.scale import top_per_key
 from matchweave.session import durable
 
@@ -20,6 +21,7 @@ BLOCK = 256
 GROUP, QUERIES = 16_384, 1_024
 #: Hits of a query.
 TOP = 5
+LOWEST, NOBODY = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 def quantised(column: str = "embedding", scale: int = SCALE) -> F.Column:
@@ -29,18 +31,6 @@ def quantised(column: str = "embedding", scale: int = SCALE) -> F.Column:
     return F.when(~bad, F.transform(values, lambda x: F.floor(x * scale).cast("bigint")))
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    """Rows of equal width; shorter vectors are filled up with zeros."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    lengths = np.asarray(column.value_lengths())
-    out = np.zeros((len(column), width))
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(column)), lengths)
-    out[rows, np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = values
-    return out
-
-
 def prune_and_score(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block: int = BLOCK
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -55,10 +45,13 @@ def prune_and_score(
     ids, vectors = ids[order], vectors[order]
     begins = np.arange(0, len(ids), block)
     largest, smallest = np.maximum.reduceat(vectors, begins), np.minimum.reduceat(vectors, begins)
-    bounds = np.maximum(queries, 0) @ largest.T + np.minimum(queries, 0) @ smallest.T
+    # bounds may be rounded, so they give way by more than that
+    positive, negative = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+    bounds = positive @ largest.T + negative @ smallest.T
+    bounds += 1e-9 * (positive @ np.abs(largest).T.astype(np.float64) - negative @ np.abs(smallest).T.astype(np.float64))
     turns = np.argsort(-bounds, axis=1, kind="stable")
-    best_scores = np.full((len(queries), k), -np.inf)
-    best_ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+    best_scores = np.full((len(queries), k), LOWEST)
+    best_ids = np.full((len(queries), k), NOBODY)
     live, scored = np.arange(len(queries)), 0
     for turn in range(len(begins)):
         chosen = turns[live, turn]
@@ -69,19 +62,20 @@ def prune_and_score(
         for number in np.unique(chosen).tolist():
             rows = live[chosen == number]
             part = slice(begins[number], begins[number] + block)
-            scores = queries[rows] @ vectors[part].T
-            scores[ids[part][None, :] == query_ids[rows][:, None]] = -np.inf
+            scores = products(queries[rows], vectors[part])
+            own = ids[part][None, :] == query_ids[rows][:, None]
             scored += len(rows)
-            # a stable order puts smaller ids first among equals
-            pick = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            scores, found = np.take_along_axis(scores, pick, 1), ids[part][pick]
+            # a stable order puts smaller ids first among equals; the smallest integer has no opposite
+            pick = np.lexsort((np.broadcast_to(ids[part], scores.shape), ~scores, own), axis=1)[:, :k]
+            out = np.take_along_axis(own, pick, 1)
+            scores, found = np.where(out, LOWEST, np.take_along_axis(scores, pick, 1)), np.where(out, NOBODY, ids[part][pick])
             all_scores = np.concatenate([best_scores[rows], scores], axis=1)
             all_ids = np.concatenate([best_ids[rows], found], axis=1)
-            keep = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
+            keep = np.lexsort((all_ids, ~all_scores), axis=1)[:, :k]
             best_scores[rows] = np.take_along_axis(all_scores, keep, 1)
             best_ids[rows] = np.take_along_axis(all_ids, keep, 1)
-    row, column = np.nonzero(np.isfinite(best_scores))
-    return row, best_ids[row, column], best_scores[row, column].astype(np.int64), scored
+    row, column = np.nonzero(best_ids < NOBODY)
+    return row, best_ids[row, column], best_scores[row, column], scored
 
 
 HITS = "query_id bigint, vec_id bigint, score bigint"
@@ -92,10 +86,10 @@ def _search(k: int, block: int):
         kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
         if not queries.num_rows or not vectors.num_rows:
             return kinds.empty_table()
-        width = max(int(np.max(np.asarray(t.column("_v").combine_chunks().value_lengths()), initial=0)) for t in (queries, vectors))
+        width = width_of(queries.column("_v"), vectors.column("_v"))
         query_ids = queries.column("_id").to_numpy()
         row, ids, scores, _ = prune_and_score(
-            query_ids, _matrix(queries.column("_v"), width), vectors.column("_id").to_numpy(), _matrix(vectors.column("_v"), width), k, block
+            query_ids, matrix(queries.column("_v"), width), vectors.column("_id").to_numpy(), matrix(vectors.column("_v"), width), k, block
         )
         return pa.Table.from_arrays([pa.array(query_ids[row]), pa.array(ids), pa.array(scores)], schema=kinds)
 
@@ -119,8 +113,8 @@ def top_k(
     pair of groups is one task, which prunes block by block, and only its ``k`` best hits per query leave it.
 
     Null vectors, vectors with null or non-finite components and rows without an id take no part; shorter vectors
-    count as ending in zeros. Rows that repeat an id are candidates each, and as queries they are answered once, by
-    the row with the smallest vector. An empty table gives no rows; other columns are not read.
+    count as ending in zeros. Scores are exact integers; beyond 64 bits they are held at the end of that range. Rows that
+    repeat an id are candidates each, and as queries they are answered once, by the row with the smallest vector. An empty table gives no rows; other columns are not read.
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), quantised().alias("_v")).filter("vec_id is not null and _v is not null")
     rows = durable(rows.select(F.col("vec_id").alias("_id"), "_v", is_query.alias("_query")))

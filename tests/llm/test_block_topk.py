@@ -48,6 +48,16 @@ def test_few_rows(spark):
 
 
 def test_blocks_below_the_kth_score_are_left_out():
-    vectors = np.repeat(np.eye(4)[[0, 1, 2, 3]], 10, axis=0) * 100
-    row, ids, scores, scored = prune_and_score(np.array([-1]), np.array([[3.0, 0, 0, 0]]), np.arange(40), vectors, 5, block=10)
+    vectors = np.repeat(np.eye(4, dtype=np.int64), 10, axis=0) * 100
+    row, ids, scores, scored = prune_and_score(np.array([-1]), np.array([[3, 0, 0, 0]]), np.arange(40), vectors, 5, block=10)
     assert ids.tolist() == [0, 1, 2, 3, 4] and scored == 1
+
+
+def test_scores_beyond_floats_are_exact(spark):
+    rows = [(0, [2.0**30, 1.0]), (1, [2.0**30, 0.0]), (4, [1e30, 1.0]), (5, [-1e30, 0.0]), (7, [0.0, 1.0])]
+    got = top_k(frame(spark, rows, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 50 == 0, 5).collect()
+    # beyond 64 bits the ends of the range
+    assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(1, 1, 2**63 - 1), (2, 4, 2**63 - 1), (3, 7, 2**16), (4, 5, -(2**63))]
+    rows = [(0, [2.0**20, 1.0]), (1, [2.0**20, 0.0]), (2, [2.0**20, 0.00390625]), (3, [2.0**20, 0.0078125])]
+    got = top_k(frame(spark, rows, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 50 == 0, 5).collect()
+    assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(1, 3, 2**56 + 512), (2, 2, 2**56 + 256), (3, 1, 2**56)]
