@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a batch of rows that goes to Python, where the session sets no limit.
+BATCH_BYTES = 4 << 20
+
 
 def local_session(cpus: int = 8, app: str = "matchweave", shuffle_partitions: int | None = None) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
@@ -59,6 +62,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def batches_by_bytes(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """From now on rows go to Python in batches of about ``limit`` bytes, unless the session has a limit already.
+
+    Without one a batch has as many rows as the session says, however long their texts are.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    named = spark.conf.get(name, None)
+    if named is None or not named.isdigit() or int(named) >= 1 << 31:
+        spark.conf.set(name, str(limit))
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str):
     """Use another value of a runtime setting inside the block."""

@@ -1,7 +1,12 @@
+import os
 import sys
 from pathlib import Path
 
-import pytest
+# eight tasks multiply small matrices side by side: one thread each
+for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
+    os.environ.setdefault(name, "1")
+
+import pytest  # noqa: E402
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
