@@ -242,6 +242,20 @@ def _score(model: AttentionModel):
     return score
 
 
+def _accept(model: AttentionModel):
+    def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text"):
+            scores = model.score(*passage_features(batch.column(batch.schema.get_field_index("text"))))
+            yield batch.filter(pa.array(scores >= ACCEPT))
+
+    return accept
+
+
+def accepted(docs: DataFrame, model: AttentionModel) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``score_quality`` predicts to be good."""
+    return docs.mapInArrow(_accept(model), docs.schema)
+
+
 def score_quality(docs: DataFrame, model: AttentionModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``score, predicted`` of every row of ``docs``.
 
