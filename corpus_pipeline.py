@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchweave.llm import contamination, packing, pii, quality, shingle_join
 from matchweave.llm.queries import table, tokenizer_path
 from matchweave.operators.scale import within
-from matchweave.session import durable
+from matchweave.session import batches_by_bytes, durable
 
 #: SQL cannot express the trained stages. Tests compare the near-duplicate stage with its expected rows, and the benchmark and
 #: personal-data stages by columns and row counts only; packing has an empty table, the quality stage and run() have no test here.
@@ -17,8 +17,8 @@ ORACLE_SQL = None
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model, keep=tuple(docs.columns)).filter("predicted = 1").select(docs.columns)
+    batches_by_bytes(spark)
+    return quality.accepted(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Documents without words are in no group. Of rows that repeat an id and are in one group, one stays. A row without
     an id stays only if no document with one is in its group.
     """
+    batches_by_bytes(spark)
     members = shingle_join.near_duplicates(docs, keys=True).filter("group_key is not null")
     members = durable(members.select("doc_id", F.col("text_key").alias("_key"), "group_key"))
     smallest = F.min(F.struct(F.isnull("doc_id"), "doc_id", "_key")).alias("_first")
@@ -34,16 +35,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = members.groupBy("doc_id", "_key").agg(F.count(F.lit(1)).alias("_n"))
     dropped = durable(rows.join(first, _same(rows, first), "left_anti").select("doc_id", "_key"))
     repeated = durable(rows.filter("_n > 1").join(first, _same(rows, first), "left_semi").select("doc_id", "_key"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = keyed.join(_small(dropped), _same(keyed, dropped), "left_anti")
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = keyed.join(_small(dropped), _same(keyed, dropped, key), "left_anti")
     if not repeated.isEmpty():
-        once = kept.join(_small(repeated), _same(kept, repeated), "left_semi").dropDuplicates(["doc_id", "_key"])
-        kept = kept.join(_small(repeated), _same(kept, repeated), "left_anti").unionByName(once)
+        once = kept.join(_small(repeated), _same(kept, repeated, key), "left_semi").dropDuplicates(["doc_id", key])
+        kept = kept.join(_small(repeated), _same(kept, repeated, key), "left_anti").unionByName(once)
     return kept.select(docs.columns)
 
 
-def _same(left: DataFrame, right: DataFrame) -> Column:
-    return (left["_key"] == right["_key"]) & left["doc_id"].eqNullSafe(right["doc_id"])
+def _same(left: DataFrame, right: DataFrame, key: str = "_key") -> Column:
+    return (left[key] == right["_key"]) & left["doc_id"].eqNullSafe(right["doc_id"])
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -53,17 +57,20 @@ def _small(rows: DataFrame) -> DataFrame:
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    batches_by_bytes(spark)
     return contamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by its kind; ``n_chars`` follows the text."""
+    batches_by_bytes(spark)
     clean = pii.redact(docs, pii.train(docs))
     return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
+    batches_by_bytes(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 
