@@ -50,6 +50,21 @@ def test_random_texts(spark, options):
     assert got == pytest.approx(want)
 
 
+def test_a_rare_word_leads_whatever_its_length(spark):
+    rng = random.Random(2)
+    docs = [(i, "extraordinarily common " + " ".join(rng.choices("a b c d".split(), k=6)) + (" q" if i % 100 == 0 else "")) for i in range(1_000)]
+    d, q = frames(spark, docs, [(1, "extraordinarily q"), (2, "common extraordinarily"), (3, "q nowhere"), (4, "")])
+    terms, posts = T.query_terms(q), T.postings(d)
+    places = T.term_places(terms, posts, True)
+    leads = T.leading_terms(terms, places)
+    assert {r.query_id: r.lead for r in leads.collect()} == {1: "q", 2: "common"}
+    met = {r.query_id: r["count"] for r in T.candidate_pairs(leads, places, True).groupBy("query_id").count().collect()}
+    assert met == {1: 10, 2: 1_000}  # of the common long word nothing but the rare word's documents
+    thin = [f.name for f in T.candidate_pairs(leads, places, False, 50).schema.fields]
+    assert sorted(thin) == ["id", "lead", "query_id", "terms"]  # no places
+    assert T.fulltext_match(terms, posts).count() == 1_010
+
+
 def test_reciprocal_rank_goldens(spark):
     hit = "query_id long, id long, score double, rank long"
     vec = spark.createDataFrame([(1, 10, 0.9, 1), (1, 11, 0.8, 2)], hit)
