@@ -244,6 +244,13 @@ def hashed(name: str, source: str, column: str, task: str) -> str:
       SELECT *, sum(x * x) OVER (PARTITION BY key) AS total FROM {name}_raw))"""
 
 
+def listed_vectors(name: str, key: str) -> str:
+    """The vectors of ``hashed`` as one list per key."""
+    return f"""SELECT k.key AS {key}, list(coalesce(h.x, 0) ORDER BY s.slot) AS v
+      FROM (SELECT DISTINCT key FROM {name}) k CROSS JOIN (SELECT unnest(range({I.DIM})) AS slot) s
+      LEFT JOIN {name} h ON h.key = k.key AND h.slot = s.slot GROUP BY k.key"""
+
+
 def oracle() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -426,6 +433,28 @@ def oracle() -> dict[str, str]:
         WHEN 1 THEN lang || ' ' || text || ' ' || source ELSE text END AS raw_text FROM documents),
       {text_scores('offers', 'stored')}
       SELECT query_id, id, round(score, 8) AS score, rank FROM ({text_hits(10)})"""
+    sql["ingest_text_files"] = f"""SELECT 'doc_' || doc_id AS filename, {head_name('text')} AS title, length(text) AS n_chars, md5(text) AS digest
+      FROM documents WHERE text <> ''"""
+    sql["ingest_update"] = f"""WITH now AS (
+        SELECT doc_id, CASE doc_id % 3 WHEN 1 THEN lang || ': ' || text ELSE text END AS t FROM documents WHERE text <> '')
+      SELECT 'doc_' || doc_id AS filename, {head_name('t')} AS title, md5(t) AS digest,
+             (SELECT count(*) FROM now WHERE doc_id % 3 < 2) AS taken_1, (SELECT count(*) FROM now WHERE doc_id % 3 > 0) AS taken_2,
+             0::BIGINT AS taken_3 FROM now"""
+    sql["bootstrap_stats"] = """SELECT 'cvs' AS table_name, count(nullif(text, '')) AS n FROM documents
+      UNION ALL SELECT 'job_offers', count(nullif(text, '')) FROM benchmark"""
+    own_words = """CASE WHEN query_id % 3 > 0 THEN keywords ELSE 'offer ' || query_id END AS keywords"""
+    stored = (
+        ANALYSED_HITS.replace(VECS, f"{hashed('dv', 'docs', 'id', 'search_document')}, vecs AS ({listed_vectors('dv', 'id')})")
+        .replace(
+            OFFERS,
+            f"""{OFFERS.replace("offers AS", "items AS")}, {hashed('ov', 'items', 'query_id', 'search_document')},
+            ovecs AS ({listed_vectors('ov', 'query_id')}),
+            offers AS (SELECT query_id, raw_text, ovecs.v, {own_words} FROM items JOIN ovecs USING (query_id))""",
+        )
+    )
+    sql["match_offers_report"] = sql["match_report"].replace(ANALYSED_HITS, stored).replace(
+        "SELECT query_id, string_agg", "SELECT 'offer_' || query_id AS query_id, string_agg"
+    ) + " UNION ALL SELECT 'offer_unknown', NULL"
     sql["ann_recall"] = f"WITH {OFFERS} SELECT count(*) AS n_queries, true AS enough FROM offers WHERE v IS NOT NULL"
     sql["stream_ingest"] = f"""SELECT row_number() OVER (ORDER BY doc_id) AS id, 'doc_' || doc_id AS filename, md5(text) AS digest,
       {I.DIM}::BIGINT AS dim FROM documents"""

@@ -18,7 +18,7 @@ from matchweave.operators import conversations as K
 from matchweave.operators import vector_search as VS
 from matchweave.operators.scale import within
 from matchweave.plans import inputs as I
-from matchweave.plans.matching import with_keywords
+from matchweave.plans.matching import match_offers, with_keywords
 from matchweave.schemas import KEEP_LAST, LIST_DEPTH, MATCH_TOP_K, QUERY_TASK, TOP_K
 from matchweave.session import durable, scratch_path
 from matchweave.sources import files, tables
@@ -131,6 +131,65 @@ def upsert_latest(spark, folder):
     )
 
 
+def _as_files(spark, texts: DataFrame, path: str) -> str:
+    """Write ``filename, raw_text`` to text files."""
+    files.write_text_files(texts, path).agg(F.sum("n_files")).collect()
+    return path
+
+
+@query
+def ingest_text_files(spark, folder):
+    """Every document written to a text file of its own and read again with its title."""
+    path = _as_files(spark, I.documents(spark, folder), scratch_path(spark, "text-files"))
+    read = files.with_title(files.read_text_files(spark, path), "cvs")
+    return read.select("filename", "title", F.length("raw_text").cast("bigint").alias("n_chars"), F.md5("raw_text").alias("digest"))
+
+
+@query
+def ingest_update(spark, folder):
+    """Text files taken into a table: two thirds first; then a third has changed and the last third is new; then nothing is."""
+    path = scratch_path(spark, "changed-files")
+    name = "changed_" + path[-32:]
+    tables.create_tables(spark, (name,), location=f"{path}/table", buckets=8)
+    docs = I.documents(spark, folder).select("filename", "raw_text", "lang", (F.col("id") % 3).alias("third"))
+    changed = F.when(F.col("third") == 1, F.concat("lang", F.lit(": "), "raw_text")).otherwise(F.col("raw_text"))
+    model, taken = inference.hashed_embedding(I.DIM), []
+    for batch in (docs.filter("third < 2"), docs.filter("third > 0").withColumn("raw_text", changed), docs.limit(0)):
+        _as_files(spark, batch, f"{path}/files")
+        taken.append(ingest.ingest_changed_files(spark, f"{path}/files", name, model, I.DIM, f"{path}/ledger", "cvs", created_at=CREATED))
+    counts = [F.lit(n).cast("bigint").alias(f"taken_{i}") for i, n in enumerate(taken, 1)]
+    return spark.table(name).select("filename", "title", F.md5("raw_text").alias("digest"), *counts)
+
+
+@query
+def bootstrap_stats(spark, folder):
+    """Tables created and loaded from folders of text files; a second start finds them filled and loads nothing."""
+    path = scratch_path(spark, "bootstrap")
+    docs = I.documents(spark, folder)
+    folders = {
+        "cvs": _as_files(spark, docs, f"{path}/cvs"),
+        "job_offers": _as_files(spark, I.offers(spark, folder), f"{path}/job_offers"),
+    }
+    model, suffix = inference.hashed_embedding(I.DIM), "_" + path[-32:]
+    tables.bootstrap(spark, folders, model, I.DIM, suffix, f"{path}/tables", buckets=8)
+    _as_files(spark, docs.select(F.concat(F.lit("late_"), "filename").alias("filename"), "raw_text"), f"{path}/cvs")
+    return tables.bootstrap(spark, folders, model, I.DIM, suffix, f"{path}/tables")
+
+
+@query
+def match_offers_report(spark, folder):
+    """The whole job for all offers and a name without one; every third offer goes by its name for want of keywords."""
+    model = inference.hashed_embedding(I.DIM)
+    docs = I.documents(spark, folder).select("id", "filename", F.col("lang").alias("title"), "raw_text")
+    stored = durable(inference.embed(docs, model, I.DIM))
+    items = durable(I.keyword_offers(spark, folder))
+    requested = items.select("filename").unionByName(spark.range(1).select(F.lit("offer_unknown").alias("filename")))
+    words = items.filter("query_id % 3 > 0").select("filename", "keywords")
+    found = match_offers(requested, items, stored, words, model, inference.shared_word_scorer, I.DIM)
+    missing = found.unmatched.select(F.col("filename").alias("query_id"), F.lit(None).cast("string").alias("report"))
+    return found.reports.select("query_id", "report").unionByName(missing)
+
+
 # Vectors -----------------------------------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from matchweave.operators.inference import hashed_embedding, shared_word_scorer
 from matchweave.plans.matching import keyword_map, match_offers
 from matchweave.session import scratch_path
 from matchweave.sources import files, tables
+from matchweave.streaming import ingest
 from matchweave.streaming.ingest import ingest_new_files
 
 DIM = 16
@@ -93,6 +94,34 @@ def test_new_files_arrive(stored, tmp_path):
     assert rows(spark.table("cvs")) == [(1, "a", "A", "A - x"), (2, "b", "B", "B - y")]
 
 
+def test_changed_files_are_taken_again(stored, tmp_path):
+    spark, folder, ledger = stored, tmp_path / "files", str(tmp_path / "ledger")
+    folder.mkdir()
+
+    def run(**options):
+        return ingest.ingest_changed_files(spark, str(folder), "cvs", MODEL, DIM, ledger, **options)
+
+    assert run() == 0
+    for name in ("a", "b", "c"):
+        (folder / f"{name}.txt").write_text(f"{name.upper()} - x")
+    (folder / "d.md").write_text("no")
+    assert run(files_per_batch=2) == 3 and run() == 0
+    assert rows(spark.table("cvs"))[0] == (1, "a", "A", "A - x") and spark.table("cvs").count() == 3
+    (folder / "b.txt").write_text("Ben — changed")
+    (folder / "e.txt").write_text("Eva\n- new")
+    (folder / "c.txt").unlink()
+    assert run() == 2 and run() == 0
+    assert {r.filename: r.title for r in spark.table("cvs").collect()} == {"a": "A", "b": "Ben", "c": "C", "e": "Eva"}
+
+
+def test_text_files_are_written_as_they_are(spark, tmp_path):
+    texts = [("a b+ó", "Zeile\r\nzwei ✓ "), ("empty", ""), ("none", None), ("a%20x", "x")]
+    df = spark.createDataFrame(texts, "filename string, raw_text string").repartition(3)
+    assert files.write_text_files(df, str(tmp_path / "new")).agg(F.sum("n_files")).first()[0] == 3
+    got = {r.filename: r.raw_text for r in files.read_text_files(spark, str(tmp_path / "new")).collect()}
+    assert got == {k: v for k, v in texts if v}  # Spark's readers skip empty files
+
+
 def test_emptied_texts_leave_the_index(stored):
     spark = stored
     vector = F.lit(None).cast("array<float>").alias("embedding")
