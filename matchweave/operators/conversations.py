@@ -113,7 +113,8 @@ def _fold(messages: Column, system: Column, max_tokens: int) -> Column:
         return F.when(due, compacted(state)).otherwise(state)
 
     def step(state: Column, m: Column) -> Column:
-        return F.element_at(F.transform(F.array(appended(state, m)), lambda s: checked(s, m)), 1)
+        grown = F.element_at(F.transform(F.array(appended(state, m)), lambda s: checked(s, m)), 1)
+        return F.when((m["role"] == "user") & is_reset(m["content"]), start).otherwise(grown)
 
     return F.aggregate(messages, start, step)
 
@@ -149,30 +150,43 @@ def compact_history(
     summarizer: CompleteFn | None = None,
     fold_rows: int = FOLD_ROWS,
     span: int = BLOCK_SPAN,
+    part_chars: int = long_chats.PART_CHARS,
 ) -> DataFrame:
     """State of each conversation after compaction: the summary and where the kept history starts.
 
     ``check`` is ``each_user_turn`` (the budget is tested whenever a user message arrives, as in a
     running chat) or ``end`` (once, over the whole history). With a ``summarizer`` a model writes
-    the summaries; without one, or when it fails, the fallback sentence is used.
+    the summaries; without one, or when it fails, the fallback sentence is used. A model is sent about ``part_chars``
+    characters at once; of longer histories it summarises parts, then their summaries.
+
+    A user message ``/reset`` empties a conversation but for its system prompt, as in a stream; it is no message itself.
     """
     if check not in ("each_user_turn", "end"):
         raise ValueError(f"unknown check {check}")
     messages = messages.filter(F.col("role").isin("system", "user", "assistant"))
     if summarizer is not None or check == "end":
         once = check == "end"
-        return long_chats.compacted(messages, max_tokens, default_system, summarizer, span, once=once)
+        states = long_chats.compacted(after_reset(messages), max_tokens, default_system, summarizer, span, once, part_chars)
+        return _with_emptied(states, messages.select("conv_id").distinct(), default_system)
     sizes = messages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > fold_rows)
     long_ids = sizes.select("conv_id")
     if long_ids.limit(1).isEmpty():
         return _folded(messages, max_tokens, default_system).select(*STATE_COLUMNS)
     ordinary = messages.join(long_ids, "conv_id", "left_anti")
     lengthy = messages.join(long_ids, "conv_id", "left_semi")
+    states = long_chats.compacted(after_reset(lengthy), max_tokens, default_system, None, span)
     return _folded(ordinary, max_tokens, default_system).select(*STATE_COLUMNS).unionByName(
-        long_chats.compacted(lengthy, max_tokens, default_system, None, span)
+        _with_emptied(states, long_ids, default_system)
     )
 
 
+def _with_emptied(states: DataFrame, ids: DataFrame, default_system: str) -> DataFrame:
+    """States of all ``ids``: of a conversation without anything after its last reset, an empty one."""
+    empty = {"system": default_system, "summary": "", "n_compactions": 0, "n_messages": 0, "chars": 0}
+    every = ids.join(states, "conv_id", "left")
+    return every.select(*[F.coalesce(c, F.lit(empty[c])).alias(c) if c in empty else F.col(c) for c in STATE_COLUMNS])
+
+
 def state_usage(states: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Budget figures of compacted conversations."""
     chars = F.length("system") + C.label_chars(F.col("summary")) + F.col("chars")

@@ -21,19 +21,26 @@ from pyspark.sql import functions as F
 
 from matchweave.functions import chat as C
 from matchweave.operators.inference import CompleteFn, complete
-from matchweave.operators.scale import BLOCK_SPAN, running_sum, sliced_join, top_per_key
+from matchweave.operators.scale import BLOCK_SPAN, running_sum, sliced_join, top_per_key, union_all
 from matchweave.schemas import KEEP_LAST, SUMMARY_CAP, SUMMARY_TAIL
 from matchweave.session import durable
 
 _CHAIN = "conv_id long, idx long, s long, base long, at long, hops long, start_turn long, prev double, last long, need long"
 #: Levels of blocks below the one group per conversation.
 LEVELS = 2
+#: Characters of the transcript that a model summarises at once.
+PART_CHARS = 20_000
 
 
 def _joined_lines(lines: str) -> Column:
     return F.array_join(F.transform(F.sort_array(F.collect_list(lines)), lambda x: x["line"]), "\n")
 
 
+def _joined_lines_of(turn: str, line: str) -> Column:
+    lines = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(line).alias("line"))))
+    return F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
+
+
 def transcript_tails(history: DataFrame, order: Column) -> DataFrame:
     """``conv_id, tail``: enough of the end of each transcript for a fallback summary."""
     lines = history.select(
@@ -44,19 +51,39 @@ def transcript_tails(history: DataFrame, order: Column) -> DataFrame:
     return last.groupBy("conv_id").agg(_joined_lines("_line").alias("tail"))
 
 
-def _summaries(parts: DataFrame, summarizer: CompleteFn | None) -> DataFrame:
+def _summaries(parts: DataFrame, summarizer: CompleteFn | None, part_chars: int) -> DataFrame:
     """``conv_id, fresh``: summary of the messages that leave each history."""
-    tails = transcript_tails(parts, F.col("turn").desc()).select(
-        "conv_id", C.fallback_summary(F.col("tail")).alias("_fallback")
-    )
-    if summarizer is None:
-        return tails.withColumnRenamed("_fallback", "fresh")
-    # What leaves a history had fitted the budget before, so it can be sent as one text.
-    lines = parts.select("conv_id", F.struct("turn", C.line(F.col("role"), F.col("content")).alias("line")).alias("_line"))
-    asked = lines.groupBy("conv_id").agg(_joined_lines("_line").alias("_text"))
-    chat = F.array(F.struct(F.lit("user").alias("role"), F.concat(F.lit(C.SUMMARY_REQUEST), "_text").alias("content")))
-    said = complete(asked.withColumn("messages", chat), summarizer, ["conv_id"])
-    return said.join(tails, "conv_id").select("conv_id", F.coalesce("raw", "_fallback").alias("fresh"))
+    if summarizer is not None:
+        return _model_summaries(parts, summarizer, part_chars)
+    tails = transcript_tails(parts, F.col("turn").desc())
+    return tails.select("conv_id", C.fallback_summary(F.col("tail")).alias("fresh"))
+
+
+def _model_summaries(parts: DataFrame, summarizer: CompleteFn, part_chars: int) -> DataFrame:
+    """Summaries by a model, as a tree where a history is long.
+
+    Transcript lines are cut into parts of about ``part_chars`` characters (a longer line is one by itself), each is summarised,
+    and of a history with several parts the capped summaries are lines again, until one is left. A part whose call
+    fails has the fallback sentence. So no row holds more than a part.
+    """
+    lines = parts.select("conv_id", F.col("turn").cast("bigint").alias("turn"), C.line(F.col("role"), F.col("content")).alias("line"))
+    finished = []
+    while True:
+        size = F.length("line").cast("bigint") + 1
+        placed = running_sum(lines, "conv_id", "turn", {"_end": size})
+        part = F.floor((F.col("_end") - size) / part_chars).cast("bigint").alias("_part")
+        texts = placed.groupBy("conv_id", part).agg(_joined_lines_of("turn", "line").alias("_text"))
+        chat = F.array(F.struct(F.lit("user").alias("role"), F.concat(F.lit(C.SUMMARY_REQUEST), "_text").alias("content")))
+        asked = texts.select("conv_id", "_part", C.fallback_summary(F.col("_text")).alias("_fallback"), chat.alias("messages"))
+        said = complete(asked, summarizer, ["conv_id", "_part", "_fallback"])
+        # each call is paid for once
+        said = durable(said.select("conv_id", "_part", F.coalesce("raw", "_fallback").alias("fresh")))
+        several = said.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("conv_id")
+        finished.append(said.join(several, "conv_id", "left_anti").select("conv_id", "fresh"))
+        if several.limit(1).isEmpty():
+            return union_all(finished)
+        rest = said.join(several, "conv_id", "left_semi")
+        lines = rest.select("conv_id", F.col("_part").alias("turn"), F.left(F.col("fresh"), F.lit(SUMMARY_CAP)).alias("line"))
 
 
 def _indexed(history: DataFrame, span: int) -> DataFrame:
@@ -89,6 +116,7 @@ def _rounds(
     states: DataFrame,
     max_tokens: int,
     summarizer: CompleteFn | None,
+    part_chars: int,
 ) -> DataFrame:
     """Compact round by round until nothing triggers, or until fallback summaries are full."""
     spare = C.spare_chars(max_tokens)
@@ -112,7 +140,7 @@ def _rounds(
         leaving = history.join(bounds, "conv_id").filter(
             (F.col("turn") < F.col("_to")) & (F.col("_from").isNull() | (F.col("turn") >= F.col("_from")))
         )
-        fresh = _summaries(leaving.drop("_from", "_to"), summarizer)
+        fresh = _summaries(leaving.drop("_from", "_to"), summarizer, part_chars)
         updated = durable(
             fired.join(fresh, "conv_id").select(
                 "conv_id",
@@ -203,6 +231,7 @@ def compacted(
     summarizer: CompleteFn | None = None,
     span: int = BLOCK_SPAN,
     once: bool = False,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """Compaction states, as ``compact_history`` gives them, for conversations of any length.
 
@@ -222,7 +251,7 @@ def compacted(
         )
     )
     if once:
-        return _compacted_once(history, totals, max_tokens, summarizer)
+        return _compacted_once(history, totals, max_tokens, summarizer, part_chars)
 
     triggers = durable(_triggers(durable(_indexed(history, span))))
     states = totals.select(
@@ -234,7 +263,7 @@ def compacted(
         F.lit(0).cast("bigint").alias("base"),
         "start_turn",
     )
-    states = durable(_rounds(triggers, history, states, max_tokens, summarizer))
+    states = durable(_rounds(triggers, history, states, max_tokens, summarizer, part_chars))
     full = (F.length("summary") >= SUMMARY_CAP) & (F.col("n_compactions") > 1)
     states = states.filter(~full).unionByName(_chained(triggers, states.filter(full), max_tokens, span))
     kept = F.when(F.col("n_compactions") > 0, F.col("total") - F.col("at") + KEEP_LAST).otherwise(F.col("total"))
@@ -250,7 +279,7 @@ def compacted(
 
 
 def _compacted_once(
-    history: DataFrame, totals: DataFrame, max_tokens: int, summarizer: CompleteFn | None
+    history: DataFrame, totals: DataFrame, max_tokens: int, summarizer: CompleteFn | None, part_chars: int
 ) -> DataFrame:
     due = (F.length("system") + F.col("all_chars") >= C.spare_chars(max_tokens)) & (F.col("total") > KEEP_LAST)
     last = top_per_key(
@@ -261,7 +290,7 @@ def _compacted_once(
     )
     over = durable(totals.filter(due).join(recent, "conv_id"))
     leaving = history.join(over.select("conv_id", "_from"), "conv_id").filter(F.col("turn") < F.col("_from"))
-    fresh = _summaries(leaving.drop("_from"), summarizer)
+    fresh = _summaries(leaving.drop("_from"), summarizer, part_chars)
     done = over.join(fresh, "conv_id").select(
         "conv_id",
         "system",

@@ -11,6 +11,8 @@ from matchweave.operators.scale import spread
 
 DIM = 64
 CHAT_BUDGET = 800
+#: Characters of a chat that a model summarises at once.
+PART_CHARS = 400
 KEYWORDS = 3
 
 

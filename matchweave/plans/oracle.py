@@ -413,6 +413,28 @@ def oracle() -> dict[str, str]:
           due::BIGINT AS n, CASE WHEN due THEN h[-{KEEP_LAST}:] ELSE h END AS hist FROM d)
       SELECT conv_id, summary, n AS n_compactions, hist[1].turn AS start_turn, coalesce(len(hist), 0)::BIGINT AS n_messages,
           {CHARS.format('hist')}::BIGINT AS chars FROM f"""
+    turned = """CASE WHEN role = 'user' AND (conv_id * 7 + turn) % 11 = 0 THEN ' /Reset ' ELSE text END"""
+    reset = "lower(trim(content)) = '/reset' AND role = 'user'"
+    cut = f"""FROM chats LEFT JOIN (SELECT conv_id, max(turn) AS r FROM chats WHERE {reset} GROUP BY conv_id) USING (conv_id)
+      WHERE role <> 'system' AND turn > coalesce(r, -1)"""
+    for name in ("compact_history_reset", "compact_history_reset_long"):
+        sql[name] = STATES.replace("text AS content", f"{turned} AS content").replace("FROM chats WHERE role <> 'system'", cut, 1)
+    levels = "".join(
+        f""",
+      p{k} AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY turn) - length(line) - 1 AS off FROM l{k}),
+      t{k} AS (SELECT conv_id, (off // {I.PART_CHARS})::BIGINT AS part, string_agg(line, chr(10) ORDER BY turn) AS t FROM p{k} GROUP BY ALL),
+      s{k} AS (SELECT conv_id, part, length(t) || ' characters, ' || left(md5(t), 8) AS line, count(*) OVER (PARTITION BY conv_id) AS n FROM t{k}),
+      l{k + 1} AS (SELECT conv_id, part AS turn, line FROM s{k} WHERE n > 1)"""
+        for k in range(1, 6)
+    )
+    said = " UNION ALL ".join(f"SELECT conv_id, line FROM s{k} WHERE n = 1" for k in range(1, 6))
+    sql["compact_history_model"] = sql["compact_history_once"].replace(
+        "d AS (SELECT *,",
+        f"""gone AS (SELECT conv_id, unnest(h[:len(h) - {KEEP_LAST}]) AS m FROM s),
+      l1 AS (SELECT conv_id, m.turn AS turn, upper(m.role) || ': ' || m.content AS line FROM gone){levels},
+      said AS ({said}),
+      d AS (SELECT *,""",
+    ).replace(summary_of("array_to_string(" + LINES.format(f'h[:len(h) - {KEEP_LAST}]') + ", chr(10))"), "(SELECT line FROM said WHERE said.conv_id = d.conv_id)")
     sql["compacted_usage"] = f"""WITH RECURSIVE {COMPACTED},
       u AS (SELECT *, ((length(system) + {LABEL} + {CHARS.format('hist')}) // 4)::BIGINT AS used FROM finals)
       SELECT conv_id, n AS n_compactions, used, {I.CHAT_BUDGET}::BIGINT AS budget, {I.CHAT_BUDGET - RESPONSE_BUDGET} - used AS remaining,

@@ -514,6 +514,32 @@ def compact_history_once(spark, folder):
     return _state_view(K.compact_history(I.messages(spark, folder), I.CHAT_BUDGET, check="end"))
 
 
+def _with_resets(spark, folder):
+    """The given chats with some questions turned into resets."""
+    due = (F.col("role") == "user") & ((F.col("conv_id") * 7 + F.col("turn")) % 11 == 0)
+    return I.messages(spark, folder).withColumn("content", F.when(due, F.lit(" /Reset ")).otherwise(F.col("content")))
+
+
+@query
+def compact_history_reset(spark, folder):
+    return _state_view(K.compact_history(_with_resets(spark, folder), I.CHAT_BUDGET))
+
+
+@query
+def compact_history_reset_long(spark, folder):
+    """The form for conversations of any length begins after the last reset."""
+    return _state_view(K.compact_history(_with_resets(spark, folder), I.CHAT_BUDGET, fold_rows=0))
+
+
+@query
+def compact_history_model(spark, folder):
+    """Summaries by a model, in parts and parts of their summaries."""
+    states = K.compact_history(
+        I.messages(spark, folder), I.CHAT_BUDGET, check="end", summarizer=inference.sized_summary, part_chars=I.PART_CHARS
+    )
+    return _state_view(states)
+
+
 @query
 def compacted_usage(spark, folder):
     return K.state_usage(K.compact_history(I.messages(spark, folder), I.CHAT_BUDGET), I.CHAT_BUDGET)
