@@ -21,10 +21,16 @@ STRICTNESS = 0.5
 COVERAGE = 0.8
 #: Share of link text from which a block below the threshold counts as a menu.
 LINKED = 0.8
-#: Share of a page's content from which elements with the same marks are the content.
+#: What the ratio of a path counts for whose elements say by a word that they are no content, and by their kind.
+MARK_WEIGHT, KIND_WEIGHT = 0.2, 0.05
+#: Share of a page's text from which a marked element is graded by itself.
 MOST = 0.5
-#: Article text beside such elements, as a share of theirs, from which they are dropped all the same.
-BESIDE = 0.1
+#: The ratio of a sentence, which kinds of elements have to beat where nothing is beside them.
+SENTENCE = math.log1p(80) * math.log(4)
+#: What the text of an article or main element counts for at least, beside marked elements.
+ARTICLE = math.log1p(2_000) * math.log(100)
+#: Open elements whose path is told apart; deeper ones count to the path of the last.
+DEPTH = 128
 
 # HTML elements by kind.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -34,8 +40,9 @@ BLOCK = set(
     " footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search"
     " section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that are never content.
-OUTSIDE = set("head nav footer aside button select datalist dialog menu search svg math canvas object audio video".split())
+#: Elements that are not shown as text, and kinds that stand beside the content.
+UNSEEN = set("head button select datalist svg math canvas object audio video".split())
+OUTSIDE = set("nav footer aside dialog menu search".split())
 #: An element whose start ends an open one of these kinds, up to the next of the second kinds.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -89,10 +96,12 @@ class _Block:
 
 
 def _marked(name: str, attributes: str, inside_article: bool) -> bool | frozenset[str]:
-    """True if the element is never content, else the words by which it says that it is none."""
-    if name in OUTSIDE or (name == "header" and not inside_article):
+    """True if the element is not shown, else the words (and, in angle brackets, the kind) by which it says that it is no content."""
+    if name in UNSEEN:
         return True
-    marks = {"form"} if name == "form" else set()
+    marks = {f"<{name}>"} if name in OUTSIDE or (name == "header" and not inside_article) else set()
+    if name == "form":
+        marks.add("form")
     if not attributes or name in ("html", "body"):
         return frozenset(marks)
     for key, *values in _ATTRIBUTE.findall(attributes):
@@ -111,10 +120,10 @@ def _marked(name: str, attributes: str, inside_article: bool) -> bool | frozense
     return frozenset(marks)
 
 
-def blocks_of(source: str) -> list[_Block]:
+def blocks_of(source: str, strictness: float = STRICTNESS) -> list[_Block]:
     """Text blocks in page order, each with the path of block elements from the root; what is no content left out."""
     blocks, marks = _all_blocks(source)
-    dropped = _no_content(blocks, marks) if marks else set()
+    dropped = _no_content(blocks, marks, strictness) if marks else set()
     return [block for block in blocks if block.settle(dropped)]
 
 
@@ -126,6 +135,7 @@ def _all_blocks(source: str) -> tuple[list[_Block], dict[int, frozenset[str]]]:
     stack: list[tuple[str, int, bool]] = []
     open_marks: list[int] = []
     number, skipped, links, articles, current, at = 0, 0, 0, 0, None, 0
+    deeper: dict[str, int] = {}
 
     def pop_to(index: int) -> None:
         nonlocal skipped, links, articles, current
@@ -167,6 +177,10 @@ def _all_blocks(source: str) -> tuple[list[_Block], dict[int, frozenset[str]]]:
         if token[1] or token[4]:  # an end tag
             if name == "br":
                 add(" ")
+            if deeper.get(name):
+                deeper[name] -= 1
+                current = None if name in BLOCK else current
+                continue
             for index in range(len(stack) - 1, -1, -1):
                 if stack[index][0] == name:
                     pop_to(index)
@@ -208,6 +222,9 @@ def _all_blocks(source: str) -> tuple[list[_Block], dict[int, frozenset[str]]]:
             continue
         if attributes.rstrip().endswith("/") and name not in BLOCK:
             continue
+        if len(stack) >= DEPTH:
+            deeper[name] = deeper.get(name, 0) + 1
+            continue
         number += 1
         marked = _marked(name, attributes, articles > 0)
         stack.append((name, number, marked is True))
@@ -221,61 +238,82 @@ def _all_blocks(source: str) -> tuple[list[_Block], dict[int, frozenset[str]]]:
     return blocks, marks
 
 
-def _no_content(blocks: list[_Block], marks: dict[int, frozenset[str]]) -> set[int]:
-    """The marked elements to drop, decided by the ratios of the whole page.
+def _no_content(blocks: list[_Block], marks: dict[int, frozenset[str]], strictness: float) -> set[int]:
+    """The marked elements to drop, decided by the path ratios of the whole page.
 
-    A mark can be part of a layout's name. So an element stays that holds an article or main element (no comment) of at least
-    half the text of any beside it. An element that holds most of the page's content stays, and if none with its marks does, so
-    do all with these marks that hold most of it together, unless there is an article beside them.
+    Elements with the same marks, as deep among their like, are graded together, one with most of the page's text by itself. Marks only lower the ratio of what is in them; the
+    elements go if that is less than ``strictness`` times the ratio beside them: the best of the blocks that are in no marked
+    element, in one that stays, or in one around them. So a mark in a layout's name drops nothing, and
+    comments longer than the text go. The most text is graded first. An element stays that holds an article or main
+    element (no comment) of at least half the text of any beside it.
     """
     blocks = [block for block in blocks if block.settle(set())]
-    content = _is_content(blocks, path_ratios(blocks)) if blocks else []
-    # text of each element, and of those with the same marks that are in as many of their kind
-    held: dict[int, int] = {}
-    alike: dict[tuple[frozenset[str], int], int] = {}
-    kinds: dict[int, tuple[frozenset[str], int]] = {}
+    ratios = path_ratios(blocks, marks) if blocks else []
     # text of each article outside the marked elements in it, and the marked elements around it
     sizes: dict[int, int] = {}
     around: dict[int, tuple[int, ...]] = {}
-    whole = 0
-    for block, good in zip(blocks, content):
+    # groups of elements, and for each distinct chain of marked elements its text and best ratio
+    kinds: dict[int, tuple[frozenset[str], int]] = {}
+    chains: dict[tuple[int, ...], list[float]] = {}
+    for block, ratio in zip(blocks, ratios):
         articles = [e for name, e in zip(block.path, block.chain) if name in ("article", "main") and not marks.get(e, frozenset()) & COMMENT_MARKS]
-        for text, _, inside in block.parts if good else ():
+        share = 1 - min(block.linked / max(len(block.text), 1), 1)
+        for text, _, inside in block.parts:
             chars = len(text.strip())
-            whole += chars
+            if not chars:
+                continue
             for n, e in enumerate(inside):
                 if e not in kinds:
                     kinds[e] = marks[e], sum(marks[outer] == marks[e] for outer in inside[:n])
-                held[e] = held.get(e, 0) + chars
-                alike[kinds[e]] = alike.get(kinds[e], 0) + chars
-            for article in articles:
+            seen = chains.setdefault(inside, [0, 0.0])
+            seen[0] += chars
+            seen[1] = max(seen[1], ratio)
+            for article in articles if share else ():
                 if not inside or inside[-1] < article:
                     sizes[article] = sizes.get(article, 0) + chars
                     around[article] = inside
-    alone = {kinds[e] for e, chars in held.items() if chars >= MOST * whole}
-    dropped = set()
+    stays = {None}  # and the groups that hold an article
     for element in marks:
         inner = max((n for a, n in sizes.items() if element in around[a]), default=0)
         outer = max((n for a, n in sizes.items() if element not in around[a]), default=0)
         if inner and 2 * inner >= outer:
-            continue
-        kind = kinds.get(element)
-        chars = held.get(element, 0) if kind in alone else alike.get(kind, 0)
-        if chars and chars >= MOST * whole and outer < BESIDE * chars:
-            continue
-        dropped.add(element)
+            stays.add(element)
+    whole = sum(chars for chars, _ in chains.values())
+    size: dict[int, float] = {}
+    for inside, (chars, _) in chains.items():
+        for element in inside:
+            size[element] = size.get(element, 0) + chars
+    groups: dict[tuple, set[int]] = {}
+    for element, kind in kinds.items():
+        if element not in stays:
+            groups.setdefault((*kind, element if size[element] >= MOST * whole else 0), set()).add(element)
+    held = {kind: sum(chars for inside, (chars, _) in chains.items() if own.intersection(inside)) for kind, own in groups.items()}
+    dropped: set[int] = set()
+    for kind in sorted(groups, key=lambda k: (-held[k], k[1], sorted(k[0]), k[2])):
+        own = groups[kind]
+        inner = [(inside, best) for inside, (_, best) in chains.items() if own.intersection(inside)]
+        above = {e for inside, _ in inner for e in inside[: min(inside.index(e) for e in own.intersection(inside))]}
+        beside = [best for inside, (_, best) in chains.items() if not own.intersection(inside) and all(e in stays or e in above for e in inside)]
+        weight, least = (KIND_WEIGHT, SENTENCE) if any(m[0] == "<" for m in kind[0]) else (MARK_WEIGHT, 0)
+        if any(size > 0 and not own.intersection(around[a]) and all(e in stays or e in above for e in around[a]) for a, size in sizes.items()):
+            beside.append(ARTICLE)
+        if weight * max(best for _, best in inner) < strictness * max(beside, default=least):
+            dropped |= own
+        else:
+            stays |= own
     return dropped
 
 
-def path_ratios(blocks: list[_Block]) -> list[float]:
-    """The fused, smoothed ratio of each block's path.
+def path_ratios(blocks: list[_Block], marks: dict[int, frozenset[str]] | None = None) -> list[float]:
+    """The fused, smoothed ratio of each block's path; with ``marks`` paths through differently marked elements are apart.
 
     A path's ratio is its mean text length times its mean punctuation count (both plus one, in logarithms, so that
     one long node does not drown the others), lowered by its share of link text.
     """
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for block in blocks:
-        seen = sums.setdefault(block.path, [0, 0, 0, 0])
+    sums: dict[tuple, list[float]] = {}
+    paths = [(block.path, tuple(marks[e] for e in block.parts[0][2]) if marks and block.parts else ()) for block in blocks]
+    for block, path in zip(blocks, paths):
+        seen = sums.setdefault(path, [0, 0, 0, 0])
         seen[0] += 1
         seen[1] += len(block.text)
         seen[2] += sum(c in PUNCTUATION for c in block.text)
@@ -283,7 +321,9 @@ def path_ratios(blocks: list[_Block]) -> list[float]:
     fused = {
         path: math.log1p(chars / n) * math.log(2 + marks / n) * (1 - linked / chars) for path, (n, chars, marks, linked) in sums.items()
     }
-    raw = [fused[block.path] for block in blocks]
+    raw = [fused[path] for path in paths]
+    if marks is not None:
+        return raw
     reach = max(1, math.ceil(3 * SMOOTHING))
     weights = [math.exp(-(d * d) / (2 * SMOOTHING * SMOOTHING)) for d in range(reach + 1)]
     out = []
@@ -297,21 +337,21 @@ def path_ratios(blocks: list[_Block]) -> list[float]:
     return out
 
 
-def _is_content(blocks: list[_Block], ratios: list[float]) -> list[bool]:
+def _is_content(blocks: list[_Block], ratios: list[float], strictness: float = STRICTNESS) -> list[bool]:
     """Which blocks are above the threshold and no menu; all, if none is."""
     mean = sum(ratios) / len(ratios)
-    limit = STRICTNESS * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
+    limit = strictness * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
     content = [r >= limit and b.linked < LINKED * len(b.text) for b, r in zip(blocks, ratios)]
     return content if any(content) else [True] * len(blocks)
 
 
-def main_text(source: str | None) -> str:
-    """The content blocks of a page, one per line; empty if there are none."""
-    blocks = blocks_of(source or "")
+def main_text(source: str | None, strictness: float = STRICTNESS) -> str:
+    """The content blocks of a page, one per line; empty if there are none. ``strictness`` scales both thresholds."""
+    blocks = blocks_of(source or "", strictness)
     if not blocks:
         return ""
     ratios = path_ratios(blocks)
-    content = _is_content(blocks, ratios)
+    content = _is_content(blocks, ratios, strictness)
     return "\n".join(block.text for block, keep in zip(blocks, _chosen(blocks, content)) if keep)
 
 
@@ -394,8 +434,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
     Text nodes are put together into blocks (a block element ends one; line breaks and runs of white space become one
     space). Each root-to-leaf path of block elements gets a ratio of text length, punctuation and link text; ratios
     are smoothed over neighbouring blocks and fused, and paths above a threshold are content. All content gives the
-    text, with the short blocks of its elements and between them (titles, single lines) but without menus, notices, adverts, forms and reader comments, which are known by element or by class, id and role, or by their link text. Class, id
-    and role drop no element that holds the article or most of the content.
+    text, with the short blocks of its elements and between them (titles, single lines). Menus, notices, adverts, forms and reader
+    comments go by their ratios: kind, class, id and role of an element only weigh what its paths' ratio counts for against that of
+    the text beside it, so they drop no element without better text beside it. Elements nested more than ``DEPTH`` deep count to the path of the last.
 
     Null or empty HTML and pages without text give an empty text. Broken HTML (missing end tags, stray brackets) is
     read as far as it goes. Every row is answered by itself, repeated ids too; an empty table gives no rows; other columns are

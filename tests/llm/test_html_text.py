@@ -1,3 +1,8 @@
+import os
+import time
+
+import pytest
+
 from matchweave.llm.html_text import extract_text, main_text
 from tests.llm.data import frame
 
@@ -83,3 +88,46 @@ def test_a_sidebar_beside_a_wrapper_named_after_it():
     side = f'<div class="sidebar"><p>Side: {LONG}</p></div>'
     for page in (f'<div class="has-sidebar">{body}{side}</div>', f'<div class="has-sidebar">{body}</div>{side}'):
         assert main_text(f"<body>{page}</body>") == lines
+
+
+TEMPLATES = {
+    "story": '<nav><a>Home</a></nav><div class="story"><h1>T</h1>{body}</div><div class="comments">{reader}</div><footer>F {long}</footer>',
+    "column": '<div id="top-menu"><a>A</a><a>B</a></div><div class="cols"><div class="c1">{body}</div><div class="widget-area"><p>Side {long}</p></div></div>{reader_ol}',
+    "table": '<table><tr><td class="sidebar">Links {long}</td><td>{body}</td></tr></table><div class="cookie-banner">{long}</div>',
+    "main": '<main>{body}<div class="promo"><p>Buy {long}</p></div></main><section id="respond"><form><p>Write {long}</p></form></section>',
+    "wiki": '<div id="content" class="mw-body"><div id="toc" class="toc"><ul><li><a>1</a></li><li><a>2</a></li></ul></div>{body}</div><div class="notice">{long}</div>',
+    "flat": '<div class="newsletter-signup">Sign up. {long}</div><h1>T</h1>{body}<div class="related-posts"><p>More {long}</p></div><div class="disqus_thread">{reader}</div>',
+}
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_templates_without_article_elements(name):
+    """What surrounds the text is longer than it."""
+    body = "".join(f"<p>{i} {LONG}</p>" for i in range(3))
+    reader = "".join(f'<div class="c"><b>Reader {i}</b><p>I think: {LONG} {LONG}</p></div>' for i in range(12))
+    ordered = "<ol class='commentlist'>" + "".join(f"<li><p>Reader: {LONG} {LONG}</p></li>" for i in range(12)) + "</ol>"
+    page = TEMPLATES[name].format(body=body, reader=reader, reader_ol=ordered, long=f"{LONG} {LONG}")
+    title = "T\n" if "<h1>" in page else ""
+    wanted = title + "\n".join(f"{i} {LONG}" for i in range(3))
+    assert main_text(f"<body>{page}</body>") == wanted
+    assert main_text(f"<body>{page}</body>", strictness=0) != wanted  # the thresholds decide
+
+
+def test_thresholds_decide_on_given_pages(spark):
+    folder = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(folder):
+        pytest.skip("no tables")
+    pages = [r.html for r in spark.read.parquet(folder).select("html").collect() if r.html]
+    changed = sum(main_text(p) != main_text(p, strictness=0) for p in pages)
+    assert changed > 0.9 * len(pages)
+
+
+def test_nesting_costs_no_more_than_its_length():
+    start = time.process_time()
+    assert main_text("<div>x" * 50_000 + "<p>deep</p>").endswith("x\ndeep")
+    assert main_text("<div>" * 600 + "in" + "</div>" * 600 + f"<p>{LONG}</p>") == f"in\n{LONG}"
+    assert time.process_time() - start < 20
+
+
+def test_a_short_article_beside_a_long_advert():
+    assert main_text(f'<body><div class="ad">{LONG} {LONG} {LONG}</div><article><h1>Short.</h1></article></body>') == "Short."
