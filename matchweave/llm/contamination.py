@@ -21,8 +21,8 @@ WALKS, SAMPLES, SAMPLED = 8, 6, 3
 SEED_WORDS = 3
 #: Item text held by the tasks at once; a larger benchmark is looked for block by block.
 BLOCK_BYTES = 8 << 20
-#: Windows embedded at once.
-WINDOWS = 20_000
+#: Words of the windows that are embedded, or compared, at once.
+WINDOW_WORDS = 1 << 20
 
 #: Everything of ASCII but letters and digits stands between words.
 _BETWEEN = np.ones(256, dtype=bool)
@@ -117,10 +117,11 @@ def sample_keys(windows: np.ndarray) -> np.ndarray:
 def edit_distances(windows: np.ndarray, items: np.ndarray) -> np.ndarray:
     """Levenshtein distances of pairs of equally long word sequences, row by row of the table for all pairs at once."""
     count, length = windows.shape
-    above = np.broadcast_to(np.arange(length + 1, dtype=np.int16), (count, length + 1))
-    ramp = np.arange(length + 1, dtype=np.int16)
+    kind = np.int16 if length < 1 << 14 else np.int32
+    above = np.broadcast_to(np.arange(length + 1, dtype=kind), (count, length + 1))
+    ramp = np.arange(length + 1, dtype=kind)
     for i in range(length):
-        row = np.empty((count, length + 1), dtype=np.int16)
+        row = np.empty((count, length + 1), dtype=kind)
         row[:, 0] = i + 1
         row[:, 1:] = np.minimum(above[:, :-1] + (windows[:, i : i + 1] != items), above[:, 1:] + 1)
         # steps to the right: the least value to the left plus the distance
@@ -154,8 +155,9 @@ def _candidates(index: ItemIndex, hashes: np.ndarray, first: np.ndarray) -> Iter
                 continue
             # windows of the length with enough runs inside; a short text is one window
             reach = length - q + 1
-            starts = np.unique((place[:, None] - np.arange(reach)[None, :]).ravel())
-            starts = starts[starts >= 0]
+            begin = np.maximum(place - reach + 1, np.append(0, place[:-1] + 1))
+            size = np.maximum(place - begin + 1, 0)
+            starts = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
             owner = text[starts]
             inside = np.searchsorted(place, starts + reach, side="left") - np.searchsorted(place, starts, side="left")
             fits = (starts + length <= first[owner + 1]) & (inside >= needed)
@@ -166,6 +168,55 @@ def _candidates(index: ItemIndex, hashes: np.ndarray, first: np.ndarray) -> Iter
             yield length, ends, begin
 
 
+def _least(index: ItemIndex, pairs: np.ndarray, windows: np.ndarray, limit: int, at_once: int) -> Iterator[tuple[int, int, int, int]]:
+    """Text, item, start and edits of the best window within ``limit`` of each text and item (of equal ones the first).
+
+    ``pairs`` are text, item, start and row of ``windows``, in order. Windows that begin ``d`` words apart differ by at most
+    ``2 * d`` edits, so from a window with many edits the search goes on behind all that cannot be better; half as many words on
+    is where the item would be that it runs into, which is looked at next.
+    """
+    if not len(pairs):
+        return
+    begins = np.flatnonzero(np.concatenate([[True], (np.diff(pairs[:, :2], axis=0) != 0).any(axis=1)]))
+    ends = np.append(begins[1:], len(pairs))
+    # the best edits of each group and their row, and the next row to look at
+    best, where = np.full(len(begins), limit + 1), np.full(len(begins), -1)
+    place = begins.copy()
+    # starts in one rising row over all groups
+    apart = int(pairs[:, 2].max()) + int(windows.shape[1]) * 2 + 2
+    number = np.repeat(np.arange(len(begins)), ends - begins)
+    line = number * apart + pairs[:, 2]
+
+    def further(groups: np.ndarray, rows: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The first row of each group that begins at least so many words behind a row."""
+        return np.minimum(np.searchsorted(line, line[rows] + words), ends[groups])
+
+    def look(groups: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        edits = np.empty(len(rows), dtype=np.int64)
+        for j in range(0, len(rows), at_once):
+            part = rows[j : j + at_once]
+            edits[j : j + at_once] = edit_distances(windows[pairs[part, 3]], np.stack([index.words[k] for k in pairs[part, 1]]))
+        better = (edits < best[groups]) | ((edits == best[groups]) & (edits <= limit) & (rows < where[groups]))
+        best[groups[better]], where[groups[better]] = edits[better], rows[better]
+        return edits
+
+    while True:
+        live = np.flatnonzero(place < ends)
+        if not len(live):
+            break
+        rows = place[live]
+        edits = look(live, rows)
+        ahead = further(live, rows, edits // 2)
+        near = (ahead > rows) & (ahead < ends[live])
+        if near.any():
+            look(live[near], ahead[near])
+        step = np.maximum((edits - np.minimum(best[live], limit) - 1) // 2, 0) + 1
+        place[live] = further(live, rows, step)
+    for group in np.flatnonzero(where >= 0).tolist():
+        text, item, begin, _ = pairs[where[group]].tolist()
+        yield text, item, begin, int(best[group])
+
+
 def _search(index: ItemIndex, hashes: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
     """For each pair of text and item the best window: edits, start in the text, words."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -173,8 +224,9 @@ def _search(index: ItemIndex, hashes: np.ndarray, first: np.ndarray) -> dict[tup
     for length, owners, starts in _candidates(index, hashes, first):
         keys, items = index.buckets[length]
         limit = edit_limit(length, index.edits)
-        for i in range(0, len(starts), WINDOWS):
-            owner, start = owners[i : i + WINDOWS], starts[i : i + WINDOWS]
+        at_once = max(1, WINDOW_WORDS // length)
+        for i in range(0, len(starts), at_once):
+            owner, start = owners[i : i + at_once], starts[i : i + at_once]
             cells = start[:, None] + np.arange(length)[None, :]
             windows = padded[cells]
             windows[cells >= first[owner + 1][:, None]] = 0  # behind the text
@@ -183,17 +235,11 @@ def _search(index: ItemIndex, hashes: np.ndarray, first: np.ndarray) -> dict[tup
             times = np.searchsorted(keys, sampled.ravel(), side="right") - low
             window = np.repeat(np.repeat(np.arange(len(start)), sampled.shape[1]), times)
             entry = np.repeat(low, times) + np.arange(len(window)) - np.repeat(np.cumsum(times) - times, times)
-            pairs = np.unique(np.stack([window, items[entry]], axis=1), axis=0) if len(window) else np.empty((0, 2), dtype=np.int64)
-            for j in range(0, len(pairs), WINDOWS):
-                w, item = pairs[j : j + WINDOWS, 0], pairs[j : j + WINDOWS, 1]
-                distance = edit_distances(windows[w], np.stack([index.words[k] for k in item]))
-                for k in np.flatnonzero(distance <= limit).tolist():
-                    key = (int(owner[w[k]]), int(item[k]))
-                    text_start = int(start[w[k]] - first[owner[w[k]]])
-                    words = int(min(length, first[owner[w[k]] + 1] - start[w[k]]))
-                    found = (int(distance[k]), text_start, words)
-                    if key not in best or found < best[key]:
-                        best[key] = found
+            pairs = np.unique(np.stack([owner[window], items[entry], start[window], window], axis=1), axis=0) if len(window) else np.empty((0, 4), dtype=np.int64)
+            for text, item, begin, edits in _least(index, pairs, windows, limit, at_once):
+                found = (edits, int(begin - first[text]), int(min(length, first[text + 1] - begin)))
+                if (text, item) not in best or found < best[text, item]:
+                    best[text, item] = found
     return best
 
 

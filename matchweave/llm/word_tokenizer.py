@@ -9,7 +9,9 @@ from matchweave.llm.words import Words, hash_ranges, split_words
 
 #: Slots of the table of known pieces (a power of two), and token ids kept for them before it is emptied.
 SLOTS = 1 << 22
-POOL = 1 << 24
+POOL = 1 << 23
+#: Pieces encoded at once.
+ENCODED = 8_192
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -65,6 +67,11 @@ class PieceTokenizer:
         return out, sizes
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, lower: bool) -> None:
+        for i in range(0, len(starts), ENCODED):
+            part = slice(i, i + ENCODED)
+            self._learn_some(data, starts[part], ends[part], hashes[part], lower)
+
+    def _learn_some(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, lower: bool) -> None:
         pieces = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
         ids, sizes = self._encode([p.lower() for p in pieces] if lower else pieces)
         while self.used + len(ids) > len(self.pool):
