@@ -10,7 +10,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of a batch of rows that goes to Python, where the session sets no limit.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Bytes of a row group that a task gathers before it writes, where the session sets no size.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def local_session(cpus: int = 8, app: str = "matchweave", shuffle_partitions: int | None = None) -> SparkSession:
@@ -62,15 +64,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def batches_by_bytes(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
-    """From now on rows go to Python in batches of about ``limit`` bytes, unless the session has a limit already.
+def bounded_memory(spark: SparkSession, batch: int = BATCH_BYTES, row_group: int = ROW_GROUP_BYTES) -> None:
+    """From now on rows go to Python, and into the row groups of written tables, in parts of about so many bytes.
 
-    Without one a batch has as many rows as the session says, however long their texts are.
+    Without that a batch has as many rows as the session says, however long their texts are, and a task that writes texts holds
+    a row group of the writer's default size. Limits that the session has already stay.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     named = spark.conf.get(name, None)
     if named is None or not named.isdigit() or int(named) >= 1 << 31:
-        spark.conf.set(name, str(limit))
+        spark.conf.set(name, str(batch))
+    if spark.conf.get("parquet.block.size", None) is None:
+        spark.conf.set("parquet.block.size", str(row_group))
 
 
 @contextmanager
