@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from matchweave.llm import contamination, packing, pii, quality, shingle_join
 from matchweave.llm.queries import table, tokenizer_path
 from matchweave.operators.scale import within
-from matchweave.session import batches_by_bytes, durable
+from matchweave.session import bounded_memory, durable
 
-#: SQL cannot express the trained stages. Tests compare the near-duplicate stage with its expected rows, and the benchmark and
-#: personal-data stages by columns and row counts only; packing has an empty table, the quality stage and run() have no test here.
+#: SQL cannot express the trained stages. A test holds every stage and run() against plain versions on a small corpus.
 ORACLE_SQL = None
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    batches_by_bytes(spark)
+    bounded_memory(spark)
     return quality.accepted(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -27,7 +26,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Documents without words are in no group. Of rows that repeat an id and are in one group, one stays. A row without
     an id stays only if no document with one is in its group.
     """
-    batches_by_bytes(spark)
+    bounded_memory(spark)
     members = shingle_join.near_duplicates(docs, keys=True).filter("group_key is not null")
     members = durable(members.select("doc_id", F.col("text_key").alias("_key"), "group_key"))
     smallest = F.min(F.struct(F.isnull("doc_id"), "doc_id", "_key")).alias("_first")
@@ -57,20 +56,20 @@ def _small(rows: DataFrame) -> DataFrame:
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    batches_by_bytes(spark)
+    bounded_memory(spark)
     return contamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by its kind; ``n_chars`` follows the text."""
-    batches_by_bytes(spark)
+    bounded_memory(spark)
     clean = pii.redact(docs, pii.train(docs))
     return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
-    batches_by_bytes(spark)
+    bounded_memory(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 
