@@ -90,57 +90,6 @@ near as (
   select a.word, a.n, b.word, b.n from cut a join words b on a.rest = b.word
   union
   select b.word, b.n, a.word, a.n from cut a join words b on a.rest = b.word),
-best as (
-  select page_id, url, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
-  from parts join site on (host = rhost or host like '%.' || rhost) and starts_with(path, rpath)
-  group by page_id, url)
-select p.page_id, p.host, p.path, b.rule,
-       coalesce(b.verdict, case when regexp_matches(lower(p.host || p.path), '(^|[^a-z0-9])({"|".join(UNWANTED)})([^a-z0-9]|$)')
-                           then 'block' else 'allow' end) as verdict
-from parts p left join best b on p.page_id = b.page_id and p.url is not distinct from b.url
-"""
-
-OP6 = """
-with usable as (
-  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
-  where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-scored as (
-  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
-  from usable q join usable c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
-ranked as (
-  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored)
-select * from ranked where rank <= 5
-"""
-
-#: CRC-32 of the UTF-8 bytes of code points below 2048, from the table that its polynomial gives.
-OP12 = r"""
-with recursive crc(t) as (
-  select list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
-         lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end))),
-runs as (
-  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k
-  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents)
-  group by all),
-bytes as (
-  select run, k, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
-         lambda c: case when unicode(c) < 128 then [unicode(c)::bigint]
-                   else [192 + (unicode(c)::bigint >> 6), 128 + (unicode(c)::bigint & 63)] end)) as b
-  from runs),
-checked as (
-  select run, k, xor(list_reduce([4294967295::bigint] || b, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) as h
-  from bytes, crc),
-words as (
-  select case when h % 97 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word,
-         sum(k)::bigint as n
-  from checked group by 1 having length(word) >= 5 and sum(k) >= 3),
-shown as (
-  select word, n, word as rest from words
-  union
-  select word, n, substr(word, 1, i - 1) || substr(word, i + 1) from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
-near as (
-  select distinct a.word, a.n, b.word as other, b.n as other_n
-  from shown a join shown b on a.rest = b.rest and a.word <> b.word where levenshtein(a.word, b.word) = 1),
 best as (
   select word, n, count(*) as n_near, first(other order by other_n desc, other) as other, max(other_n) as other_n from near group by word, n),
 forms as (
