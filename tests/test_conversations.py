@@ -145,6 +145,54 @@ def test_running_compaction(spark, rows):
     assert states(got) == plain_states(chats, 500)
 
 
+def test_resets_inside_compaction(spark, rows):
+    rng = random.Random(5)
+    chats = [r for r in rows if r[0] != 3] + [(6, t, "user", "m") for t in range(3)] + [(7, 0, "system", "S"), (7, 1, "user", "/reset")]
+    chats += [(8, t, "user" if t % 2 else "assistant", "w" * 90) for t in range(400)]
+    chats = [(c, t, role, " /RESET\n" if role == "user" and c in (1, 2, 6, 8) and rng.random() < (1 if (c, t) == (6, 2) else 0.02) else text) for c, t, role, text in chats]
+    expected = {}
+    for conv in sorted({c[0] for c in chats}):
+        chat = running.Chat(None, "")
+        for _, turn, role, text in sorted(c for c in chats if c[0] == conv):
+            chat.add(turn, role, text, 500, running.fallback)
+        kept = chat.history
+        expected[conv] = (chat.system, chat.summary, chat.n, kept[0][0] if kept else None, len(kept), sum(len(m[2]) for m in kept))
+    assert expected[6][4] == 0 and any("RESET" in c[3] for c in chats if c[0] == 8)
+    df = spark.createDataFrame(chats, SCHEMA)
+    assert states(K.compact_history(df, 500)) == expected
+    assert states(K.compact_history(df, 500, fold_rows=0, span=16)) == expected
+
+
+def test_model_summaries_of_long_histories(spark):
+    rng = random.Random(6)
+    chats = [(1, t, "user" if t % 2 else "assistant", f"{t} " + "x" * rng.randrange(60)) for t in range(1_200)]
+    chats += [(2, t, "user", "short") for t in range(6)] + [(2, 9, "user", "y" * 2_000)]
+
+    def summarize(chat):
+        text = chat[-1]["content"].split("\n\n", 1)[1]
+        if len(text) > 1_000 + 80 or "7 " in text[:8]:
+            raise RuntimeError("too long")
+        return f"{len(text)} {text[:3]}"
+
+    def tree(lines):
+        parts, at = {}, 0
+        for line in lines:
+            parts.setdefault(at // 1_000, []).append(line)
+            at += len(line) + 1
+        said = []
+        for _, part in sorted(parts.items()):
+            text = "\n".join(part)
+            try:
+                said.append(summarize([{"content": "r\n\n" + text}]).strip())
+            except RuntimeError:
+                said.append(f"[Previous conversation truncated. Last topics: {text[-300:]}]")
+        return said[0] if len(said) == 1 else tree([s[:600] for s in said])
+
+    df = spark.createDataFrame(chats, SCHEMA)
+    got = states(K.compact_history(df, 500, check="end", summarizer=summarize, part_chars=1_000))
+    assert got == plain_states(chats, 500, "end", lambda text: tree(text.split("\n")))
+
+
 def test_reset_in_a_stream():
     chat = running.Chat(None, "S")
     for turn, (role, text) in enumerate([("user", "a"), ("assistant", "b"), ("user", " /RESET "), ("user", "c")]):
