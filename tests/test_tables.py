@@ -130,3 +130,23 @@ def test_emptied_texts_leave_the_index(stored):
     assert sorted(r.term for r in tables.read_postings(spark, "cvs").collect()) == ["kubernetes", "terraform"]
     tables.upsert(spark, "cvs", batch.withColumn("raw_text", F.lit("---")).withColumn("embedding", vector), DIM)
     assert tables.read_postings(spark, "cvs").count() == 0
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path):
+    texts = spark.range(3_000).selectExpr("concat('a b+%20_', id) AS filename", "concat('Jan ', id, ' - x') AS raw_text")
+    files.write_text_files(texts, str(tmp_path / "in")).collect()
+    read = files.read_text_files(spark, str(tmp_path / "in"))
+    listed = files.list_text_files(spark, str(tmp_path / "in"))
+    assert max(read.rdd.getNumPartitions(), listed.rdd.getNumPartitions()) <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, read.select("filename", "raw_text").collect())) == sorted(map(tuple, texts.collect()))
+    again = files.read_listed_files(spark, str(tmp_path / "in"), listed)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, read.collect()))
+
+
+def test_a_run_upserts_once(stored, tmp_path, monkeypatch):
+    calls, whole = [], ingest.upsert
+    monkeypatch.setattr(ingest, "upsert", lambda *args: calls.append(1) or whole(*args))
+    texts = stored.range(10_050).selectExpr("concat('f', id) AS filename", "concat('Jan ', id) AS raw_text")
+    files.write_text_files(texts, str(tmp_path / "in")).collect()
+    assert ingest.ingest_changed_files(stored, str(tmp_path / "in"), "cvs", MODEL, DIM, str(tmp_path / "ledger")) == 10_050
+    assert len(calls) == 1 and stored.table("cvs").count() == 10_050
