@@ -1,3 +1,6 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from matchweave.functions import text as X
@@ -35,3 +38,23 @@ def test_keywords(spark):
     got = {r.filename: r.keywords for r in with_keywords(offers, keyword_map(spark, {"devops_engineer": "Kubernetes Terraform"})).collect()}
     assert got["data_lead"] == "data lead"
     assert got["devops_engineer"].startswith("Kubernetes Terraform")
+
+
+def test_names_of_texts_with_blanks_and_line_ends_of_any_kind(spark):
+    rng, pieces = random.Random(3), ["", " ", "\t", "\n", "\r\n", "\x0b", "\x1f", "\x85", "\xa0", " ", "a", "Bo é", "-", " — ", "Stanowisko:", "x😀"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 7))) for _ in range(3_000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = df.select("t", X.extract_name(F.col("t")).alias("name"), X.extract_title(F.col("t")).alias("title")).collect()
+
+    def head(text, pattern):
+        lines = text.strip().splitlines()
+        if not lines:
+            return None
+        found = re.search(pattern, lines[0])
+        return (found[1] if found else lines[0]).strip()
+
+    for r in got:
+        name = None if r.t is None else head(r.t, r"^(.+?)\s*[—–-]")
+        title = None if r.t is None else head(r.t, r"^Stanowisko:\s*(.+)")
+        assert (r.name, r.title) == (name, title or name), repr(r.t)
+
