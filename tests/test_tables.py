@@ -150,3 +150,17 @@ def test_a_run_upserts_once(stored, tmp_path, monkeypatch):
     files.write_text_files(texts, str(tmp_path / "in")).collect()
     assert ingest.ingest_changed_files(stored, str(tmp_path / "in"), "cvs", MODEL, DIM, str(tmp_path / "ledger")) == 10_050
     assert len(calls) == 1 and stored.table("cvs").count() == 10_050
+
+
+def test_postings_are_sorted_where_the_texts_are_read(stored, monkeypatch):
+    plans, whole = {}, tables._replace
+
+    def replace(rows, table, order):
+        plans[table] = rows._jdf.queryExecution().optimizedPlan().toString()
+        whole(rows, table, order)
+
+    monkeypatch.setattr(tables, "_replace", replace)
+    batch = stored.range(40).selectExpr("concat('f', id) AS filename", "'t' AS title", "concat('word', id, ' same') AS raw_text", "CAST(NULL AS array<float>) AS embedding", "id AS seq")
+    tables.upsert(stored, "cvs", batch, DIM)
+    assert "Rebalance" in plans["cvs"] and "Rebalance" not in plans["cvs_postings"]
+    assert tables.read_postings(stored, "cvs").count() == 80
