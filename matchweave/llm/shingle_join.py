@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,9 @@ from matchweave.session import durable
 #: Words of a shingle and the least similarity, as numerator and denominator.
 SHINGLE = 5
 THRESHOLD = (80, 100)
-#: Bits of one block of a sketch.
-BLOCK_BITS = 4096
+#: Bits of one block of a sketch, as a power of two: so many that different shingles hardly ever flip the same one. With 4,096 of
+#: them blocks of one shingle agreed by chance, in a number of pairs that grew with the square of the texts.
+BLOCK_BITS = 32
 #: Chance that a document has more empty blocks than its band allows for.
 EMPTY_TAIL = 1e-6
 #: Sets in one block from which it is hot, and hot blocks that a sketch may have without being in a family.
@@ -34,7 +36,8 @@ BROADCAST_NODES = 500_000
 #: Low bits of a block's key that tell its band.
 BAND_BITS = 10
 
-_BIT = np.random.default_rng(20240402).integers(1, 1 << 63, BLOCK_BITS, dtype=np.uint64)
+#: Sets the numbers of bits apart from other mixed numbers.
+_BIT = np.uint64(0x7B1FA5D3C96E2481)
 
 
 @dataclass(frozen=True)
@@ -148,6 +151,7 @@ def sketch_keys(items: np.ndarray, bands: Bands) -> np.ndarray:
     """
     found = []
     own = bands.of(len(items))
+    flipped = mix((items & np.uint64((1 << BLOCK_BITS) - 1)) + _BIT)
     for number in (own, own - 1):
         if number < 0:
             continue
@@ -156,7 +160,7 @@ def sketch_keys(items: np.ndarray, bands: Bands) -> np.ndarray:
             continue
         block = ((items >> np.uint64(32)) * np.uint64(band.blocks)) >> np.uint64(32)
         begins = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        parity = np.bitwise_xor.reduceat(_BIT[(items & np.uint64(BLOCK_BITS - 1)).astype(np.int64)], begins)
+        parity = np.bitwise_xor.reduceat(flipped, begins)
         named = block[begins][parity != 0]
         parity = parity[parity != 0]
         if band.blocks - len(named) > band.empty:
@@ -211,23 +215,71 @@ def _file(n: int, threshold: tuple[int, int]):
     return file
 
 
-def _first_of_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of block and set, the further sets of each block next to its first one."""
-    block, set_, lead = None, None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        blocks, sets = batch.column("_block").to_numpy(), batch.column("_set").to_numpy()
-        new = np.concatenate([[blocks[0] != block], blocks[1:] != blocks[:-1]])
-        again = ~new & np.concatenate([[sets[0] == set_], sets[1:] == sets[:-1]])
-        begins = np.flatnonzero(new)
-        leads = np.concatenate([[0 if lead is None else lead], sets[begins]])[np.cumsum(new)]
-        keep = ~new & ~again
-        block, set_, lead = blocks[-1], sets[-1], leads[-1]
-        if keep.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks[keep]), pa.array(leads[keep]), pa.array(sets[keep])], names=["_block", "_lead", "_set"]
-            )
+def _first_of_block(hot_sets: int):
+    """Of rows in order of block and set, the further sets of each block next to its first one, and whether the block is hot.
+
+    Of hot blocks, those with more than ``hot_sets`` sets, the first one comes too. No more rows are held back than tell that.
+    """
+
+    def out(blocks: np.ndarray, leads: np.ndarray, sets: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (blocks, leads, sets, hot)], names=["_block", "_lead", "_set", "_hot"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((2, 0), dtype=np.int64)  # the last block's sets, while they are too few to tell
+        known = None  # block, first and last set of the last block, if it is known to be hot
+        for batch in chain(batches, [None]):
+            rows = held if batch is None else np.concatenate([held, [batch.column(c).to_numpy() for c in ("_block", "_set")]], axis=1)
+            if known is not None and rows.shape[1]:
+                more = int(np.searchsorted(rows[0] != known[0], True))
+                sets = rows[1, :more]
+                sets = sets[np.concatenate([[known[2]], sets[:-1]]) != sets] if more else sets
+                if len(sets):
+                    yield out(np.full(len(sets), known[0]), np.full(len(sets), known[1]), sets, np.full(len(sets), True))
+                known = (known[0], known[1], rows[1, more - 1]) if more == rows.shape[1] else None
+                rows = rows[:, more:]
+            if not rows.shape[1]:
+                held = rows
+                continue
+            again = np.concatenate([[False], (rows[:, 1:] == rows[:, :-1]).all(axis=0)])
+            blocks, sets = rows[:, ~again]
+            begins = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]]))
+            counts = np.diff(begins, append=len(blocks))
+            hot, ready = np.repeat(counts > hot_sets, counts), len(blocks)
+            held = rows[:, :0]
+            if batch is not None and hot[-1]:
+                known = (blocks[-1], sets[begins[-1]], sets[-1])
+            elif batch is not None:
+                ready = begins[-1]
+                held = np.stack([blocks[ready:], sets[ready:]])
+            leads, keep = np.repeat(sets[begins], counts), hot.copy()
+            keep |= ~np.isin(np.arange(len(blocks)), begins)
+            keep[ready:] = False
+            if keep.any():
+                yield out(blocks[keep], leads[keep], sets[keep], hot[keep])
+
+    return first
+
+
+def _family_edges(hot: DataFrame, spared: list[int]) -> DataFrame:
+    """Edges ``u, v`` between the sets that share a hot block, for sets with more of them than a sketch of their band can spare.
+
+    ``hot`` has the sets of each hot block next to its first one, that one included. Blocks with one first set are counted and not listed:
+    a set is tied to the first sets of its blocks, of which a family has few. Only where a first set is in no family itself
+    are the blocks gone through.
+    """
+    hot = hot.withColumn("_band", F.col("_block").bitwiseAND((1 << BAND_BITS) - 1))
+    tied = durable(hot.groupBy("_lead", "_set", "_band").agg(F.count(F.lit(1)).alias("_n")))
+    most = F.element_at(F.array(*[F.lit(n) for n in spared]), F.col("_band").cast("int") + 1)
+    many = tied.groupBy("_set", "_band").agg(F.sum("_n").alias("_n")).filter(F.col("_n") > most).select("_set", "_band")
+    many = durable(many.withColumn("_in", F.lit(True)))
+    leads = many.select(F.col("_set").alias("_lead"), "_band", F.col("_in").alias("_led"))
+    close = durable(tied.join(many, ["_set", "_band"], "left_semi").join(leads, ["_lead", "_band"], "left"))
+    loose = close.filter("_led is null").select("_lead", "_band").distinct()
+    rows = hot.join(loose, ["_lead", "_band"], "left_semi").join(many, ["_set", "_band"], "left_semi").select("_block", "_set")
+    rows = durable(rows)
+    least = rows.groupBy("_block").agg(F.min("_set").alias("v"))
+    edges = rows.join(least, "_block").select(F.col("_set").alias("u"), "v")
+    return edges.unionByName(close.filter("_led").select(F.col("_set").alias("u"), F.col("_lead").alias("v"))).distinct()
 
 
 def _pairs_of_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,19 +423,13 @@ def near_duplicates(
 
     filed = rows.select("_text").mapInArrow(_file(n, threshold), "_block bigint, _set bigint")
     in_order = filed.repartition("_block").sortWithinPartitions("_block", "_set")
-    members = durable(in_order.mapInArrow(_first_of_block, "_block bigint, _lead bigint, _set bigint"))
+    members = durable(in_order.mapInArrow(_first_of_block(hot_sets), "_block bigint, _lead bigint, _set bigint, _hot boolean"))
 
     # hot blocks count only for sets that have more of them than their band can spare: families of near copies
-    counted = members.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_lead").alias("_set"))
-    hot = durable(counted.filter(F.col("_n") >= hot_sets).select("_block", "_set"))
-    hot_rows = members.join(hot.select("_block"), "_block", "left_semi").select("_block", "_set").unionByName(hot)
-    hot_rows = hot_rows.withColumn("_band", F.col("_block").bitwiseAND((1 << BAND_BITS) - 1))
     bands = Bands(threshold)
     bands.of(1 << 40)
-    spared = F.element_at(F.array(*[F.lit(band.hot) for band in bands.list]), F.col("_band").cast("int") + 1)
-    many = hot_rows.groupBy("_set", "_band").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > spared)
-    close = durable(hot_rows.join(many.select("_set", "_band"), ["_set", "_band"], "left_semi").select("_block", "_set"))
-    members = durable(members.join(hot.select("_block"), "_block", "left_anti"))
+    ties = _family_edges(members.filter("_hot").drop("_hot"), [band.hot for band in bands.list])
+    members = members.filter("not _hot")
     pairs = durable(members.groupBy("_lead", "_set").agg(F.count(F.lit(1)).alias("_agree")))
 
     nodes = pairs.select(F.explode(F.array("_lead", "_set")).alias("_set")).distinct()
@@ -400,8 +446,7 @@ def near_duplicates(
         return durable(chosen.mapInArrow(_sets(n), "_set bigint, _size bigint, _items array<bigint>"))
 
     # each family whole, part by part: links come out as one edge for each set
-    least = close.groupBy("_block").agg(F.min("_set").alias("v"))
-    families = durable(components(close.join(least, "_block").select(F.col("_set").alias("u"), "v").distinct()))
+    families = durable(components(ties))
     families = families.select(F.col("node").alias("_set"), F.col("component").alias("_family"))
     sets = sets_of(families.select("_set"))
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(family_part), F.sum("_size") / F.lit(family_shingles))).cast("int")

@@ -114,3 +114,57 @@ def test_copies_in_many_partitions_meet_once(spark, monkeypatch):
     for options in ({}, {"hot_sets": 3, "family_part": 5}, {"hot_sets": 3, "family_shingles": 300}):
         got = near_duplicates(docs, 4, (85, 100), **options).collect()
         assert sorted(map(tuple, got), key=str) == plain(rows, 4, 85, 100)
+
+
+def test_blocks_of_unlike_sets_do_not_agree_by_chance():
+    """With 4,096 bits in a block, 2,000 sets without a common shingle shared hundreds of blocks."""
+    rng = np.random.default_rng(5)
+    bands = shingle_join.Bands((80, 100))
+    sets = [np.unique(rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2)) for _ in range(2000)]
+    keys = np.concatenate([shingle_join.sketch_keys(s, bands) for s in sets])
+    assert len(np.unique(keys)) == len(keys) > 2000
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 7, 1000])
+def test_sets_of_a_block_and_whether_it_is_hot(step):
+    import pyarrow as pa
+
+    random.seed(step)
+    rows = sorted((b, random.randrange(12)) for b in range(60) for _ in range(random.choice([1, 1, 2, 5, 30])))
+    got = []
+    batches = [rows[i : i + step] for i in range(0, len(rows), step)]
+    arrow = (pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*b)], names=["_block", "_set"]) for b in batches)
+    for batch in shingle_join._first_of_block(4)(arrow):
+        got += list(zip(*(c.to_pylist() for c in batch.columns)))
+    want = []
+    for b in range(60):
+        sets = sorted({s for block, s in rows if block == b})
+        want += [(b, sets[0], s, len(sets) > 4) for s in (sets if len(sets) > 4 else sets[1:])]
+    assert sorted(got) == sorted(want)
+
+
+def test_families_from_first_sets(spark):
+    """Same families as by every block, from a few edges a set: the number of blocks does not multiply them."""
+    random.seed(3)
+    keys = shingle_join.BAND_BITS
+    blocks = {(b << keys) | 1: sorted(random.sample(range(100), 40)) for b in range(50)}  # one family of near copies
+    blocks |= {(b << keys) | 1: sorted(random.sample(range(100, 130), 3)) for b in range(50, 80)}
+    blocks |= {(80 << keys) | 1: [-5, 3, 300, 301], (81 << keys) | 1: [-5, 110, 300], (82 << keys) | 2: [400, 401, 402]}
+    hot = [(b, sets[0], s) for b, sets in blocks.items() for s in sets]
+    spared = [0, 3, 0]
+    edges = shingle_join._family_edges(spark.createDataFrame(hot, "_block bigint, _lead bigint, _set bigint"), spared)
+    held = {}
+    for b, _, s in hot:
+        held[s, b & 1023] = held.get((s, b & 1023), 0) + 1
+    part = {s: s for _, _, s in hot}
+    for b, sets in blocks.items():
+        close = [s for s in sets if held[s, b & 1023] > spared[b & 1023]]
+        for s in close[1:]:
+            old, new = part[s], part[close[0]]
+            part = {k: new if v == old else v for k, v in part.items()}
+    want = {frozenset(k for k, v in part.items() if v == p) for p in set(part.values())}
+    found = {}
+    for node, component in components(edges).collect():
+        found.setdefault(component, set()).add(node)
+    assert {frozenset(x) for x in found.values()} == {x for x in want if len(x) > 1}
+    assert edges.count() < len(hot) / 2
