@@ -1,4 +1,4 @@
-"""Text probabilities by a hierarchical Pitman-Yor model over word classes and the words in them."""
+"""Text probabilities by a hierarchical Pitman-Yor model of words after words, over word classes and the words in them."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchweave.llm.words import by_bytes, split_words
+from matchweave.llm.words import by_bytes, mix, split_words
 from matchweave.session import durable
 
 #: Classes: the end of a text, the most frequent words each by itself, and the other words by their last two bytes.
@@ -20,10 +21,18 @@ CLASSES = 1 + FREQUENT + ENDINGS
 STRENGTH, UNSEEN = 1.0, 0.5
 #: Sweeps before the first sample, samples that are averaged, and seatings that one is drawn from.
 BURN_IN, SAMPLES, TRIES = 1, 3, 4
+#: Customers of a dish up to which the chance of each number of tables is worked out.
+EXACT = 6
 #: Customers beyond this many groups come in at once that are so much smaller than those seated.
 STEP = 8
+#: A sum of log10 probabilities goes from task to task in such parts of 1, and at most so many sums are held at once.
+UNIT, SUMS = 1 << 30, 4 << 20
 #: Bytes of text whose words are numbered together.
 BLOCK_BYTES = 16 << 20
+#: Tokens that are sorted together before they are sent.
+SORTED_TOKENS = 1 << 20
+#: Tokens whose contexts are seated together, and the number of the end of a text among the words.
+PART_TOKENS, END = 1_000_000, 0
 #: Every seventh document by CRC-32 of its id is held out.
 FOLDS, HELD_OUT = 7, 2
 SEED = 11
@@ -77,6 +86,23 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.ra
     return out
 
 
+def tables_of(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """As ``seat``, where most dishes have few customers: up to ``EXACT`` the weights of all numbers of tables are added up."""
+    tables, many = np.minimum(customers, 1).astype(np.float64), customers > EXACT
+    for n in range(2, EXACT + 1):
+        some = np.flatnonzero(customers == n)
+        if not len(some):
+            continue
+        weights, new = [np.ones(len(some))], opening[some]
+        for seated in range(1, n):
+            stay = [w * (seated - discount * t) for t, w in enumerate(weights, 1)] + [0.0]
+            weights = [a + b for a, b in zip(stay, [0.0, *(w * new for w in weights)], strict=True)]
+        sums = np.cumsum(weights, axis=0)
+        tables[some] = 1 + (sums[:-1] < rng.random(len(some)) * sums[-1]).sum(axis=0)
+    tables[many] = seat(customers[many].astype(np.int64), opening[many], discount, rng)
+    return tables
+
+
 def discount_of(counts: np.ndarray) -> float:
     """From how many dishes have one and two customers."""
     return discount_from(float((counts == 1).sum()), float((counts == 2).sum()))
@@ -126,6 +152,102 @@ def class_probabilities(counts: np.ndarray, samples: int = SAMPLES, burn_in: int
     return mean
 
 
+# --- words after words
+
+
+@dataclass
+class Contexts:
+    """Which words came after which two, each three once: first, middle and last word, and how often they were learnt."""
+
+    one: np.ndarray
+    two: np.ndarray
+    word: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, one: np.ndarray, two: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[Contexts, np.ndarray]:
+        """From three words in any order; also where each went."""
+        order = _order(one, two, word)
+        new = _changes(one[order], two[order], word[order])
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.cumsum(new) - 1
+        first = order[new]
+        return cls(one[first], two[first], word[first], np.bincount(place, weights=n, minlength=len(first))), place
+
+    def __post_init__(self):
+        self.context = np.cumsum(_changes(self.one, self.two)) - 1
+        self.words, self.last = np.unique(self.word, return_inverse=True)
+        self.found = None
+
+    def pairs(self, split: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pair of the last two words in each three, and of each pair its first word's number and its last's."""
+        if split:
+            return self.last, np.zeros(len(self.words), dtype=np.int64), np.arange(len(self.words))
+        if self.found is None:
+            order = _order(self.one, self.last)
+            new = _changes(self.one[order], self.last[order])
+            pair = np.empty(len(order), dtype=np.int64)
+            pair[order] = np.cumsum(new) - 1
+            self.found = pair, np.cumsum(_changes(self.one[order][new])) - 1, self.last[order][new]
+        return self.found
+
+    def guess(self, split: bool) -> np.ndarray:
+        """Chance of each of ``words`` in the parent of all, if every dish had one table."""
+        pair, _, last = self.pairs(split)
+        found = np.bincount(pair, weights=self.n > 0, minlength=len(last))
+        kinds = np.bincount(last, weights=found if split else found > 0, minlength=len(self.words))
+        return (kinds + 1) / (kinds.sum() + len(kinds))
+
+    def sampled(self, parent: np.ndarray, split: bool, rng: np.random.Generator, samples: int, burn_in: int) -> tuple[np.ndarray, np.ndarray]:
+        """Averaged chance of each last word after its two, and customers that each of ``words`` sends to the parent at last.
+
+        The restaurant of two words has that of the nearer one as its parent, and this the restaurant without context,
+        whose probabilities are ``parent``. With ``split``, all threes have the same nearer word, whose restaurant has
+        further threes elsewhere: ``parent`` is that restaurant. Each sweep seats the customers of two words, then those
+        their tables send to the restaurant of one.
+        """
+        pair, near, last = self.pairs(split)
+        d3, customers3 = discount_of(self.n), np.bincount(self.context, weights=self.n)
+        open3 = np.bincount(self.context, weights=self.n > 0)
+        above, guests = parent[last], np.bincount(pair, weights=self.n > 0, minlength=len(last))
+        second = above if split else (guests + above) / (np.bincount(near, weights=guests)[near] + 1)
+        open2 = np.bincount(near, weights=guests > 0)
+        mean, sent = np.zeros(len(self.n)), guests
+        for sweep in range(burn_in + samples):
+            tables3 = tables_of(self.n, (STRENGTH + d3 * open3[self.context]) * second[pair], d3, rng)
+            open3 = np.bincount(self.context, weights=tables3)
+            sent = guests = np.bincount(pair, weights=tables3, minlength=len(last))
+            if not split:
+                d2 = discount_of(guests)
+                tables2 = tables_of(guests, (STRENGTH + d2 * open2[near]) * above, d2, rng)
+                open2 = np.bincount(near, weights=tables2)
+                second = (guests - d2 * tables2 + (STRENGTH + d2 * open2[near]) * above) / (STRENGTH + np.bincount(near, weights=guests)[near])
+                sent = np.bincount(last, weights=tables2, minlength=len(self.words))
+            if sweep >= burn_in:
+                new = (STRENGTH + d3 * open3[self.context]) * second[pair]
+                mean += (self.n - d3 * tables3 + new) / (STRENGTH + customers3[self.context]) / samples
+        return mean, sent
+
+
+def _order(*columns: np.ndarray) -> np.ndarray:
+    """The order by all columns, the first one first; rows that are alike come in any order."""
+    joint, size = np.zeros(len(columns[0]), dtype=np.int64), 1
+    for column in columns:
+        kinds, number = np.unique(column, return_inverse=True)
+        size *= max(len(kinds), 1)
+        if size >= 1 << 63:
+            return np.lexsort(columns[::-1])
+        joint = joint * len(kinds) + number
+    return np.argsort(joint)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
 # --- texts as word numbers
 
 
@@ -139,6 +261,16 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
 
 
+def _pack_long(values: np.ndarray) -> bytes:
+    """As ``_pack``, for eight-byte numbers."""
+    return pa.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_long(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<i8")
+
+
 def _endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Number of each word's ending: its last two bytes, A-Z as a-z."""
     lower = np.arange(256)
@@ -190,6 +322,83 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
 
 
+WORDS = "_bucket bigint, _block bigint, _n int, _words binary, _places binary, _ends binary, _counts binary"
+ANSWERS = "_block bigint, _n int, _places binary, _ids binary, _counts binary"
+VOCABULARY = "word bigint, id bigint, _end int, n bigint"
+
+
+def _table(columns: list, schema: str) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = columns or [[]] * len(fields)
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _segments(keys: np.ndarray) -> list[np.ndarray]:
+    """Where each key is, in order."""
+    if not len(keys):
+        return []
+    order = np.argsort(keys, kind="stable")
+    return np.split(order, np.flatnonzero(_changes(keys[order]))[1:])
+
+
+def _ask(buckets: int):
+    """The words of each block by their hash, so that all blocks' words of a bucket can be numbered together."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, ends, counts = (batch.column(n)[i].values.to_numpy() for n in ("_words", "_ends", "_counts"))
+                bucket, rows = (mix(words.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), []
+                for at in _segments(bucket):
+                    packed = _pack(np.diff(at, prepend=0)), _pack(ends[at]), _pack(counts[at])
+                    rows.append((int(bucket[at[0]]), batch.column("_block")[i].as_py(), len(at), words[at].tobytes(), *packed))
+                yield from _table(list(zip(*rows, strict=True)), WORDS).to_batches()
+
+    return ask
+
+
+def _numbers(asked: pa.Table, buckets: int) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a bucket, its words, their numbers, endings and counts, and which word each row has where; frequent words have small numbers."""
+    rows = sorted(asked.to_pylist(), key=lambda r: r["_block"])
+    all_words = np.concatenate([np.frombuffer(r["_words"], np.int64) for r in rows])
+    ends, counts = (np.concatenate([_unpack(r[c], r["_n"]) for r in rows]) for c in ("_ends", "_counts"))
+    words, which = np.unique(all_words, return_inverse=True)
+    n = np.bincount(which, weights=counts).astype(np.int64)
+    end = np.full(len(words), ENDINGS)
+    np.minimum.at(end, which, ends)
+    rank = np.empty(len(words), dtype=np.int64)
+    rank[np.argsort(-n, kind="stable")] = np.arange(len(words))
+    return rows, words, END + 1 + rank * buckets + rows[0]["_bucket"], end, n, which
+
+
+def _bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return np.maximum(ids - END - 1, 0) % buckets
+
+
+def _count_words(buckets: int):
+    def count(asked: pa.Table) -> pa.Table:
+        _, words, ids, end, n, _ = _numbers(asked, buckets)
+        return _table([words, ids, end, n], VOCABULARY)
+
+    return count
+
+
+def _answer(buckets: int):
+    """For each block, numbers and counts of its words in a bucket."""
+
+    def answer(asked: pa.Table) -> pa.Table:
+        rows, _, ids, _, n, which = _numbers(asked, buckets)
+        out, begin = [], 0
+        for r in rows:
+            own = which[begin : begin + r["_n"]]
+            out.append((r["_block"], r["_n"], r["_places"], _pack_long(ids[own]), _pack_long(n[own])))
+            begin += r["_n"]
+        return _table(list(zip(*out, strict=True)), ANSWERS)
+
+    return answer
+
+
 # --- the model
 
 
@@ -201,7 +410,7 @@ class Totals:
     tokens: int
     words: int
     documents: int
-    logs: np.ndarray | None = None
+    base: np.ndarray | None = None
 
     def classes(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The class of each word, by its hash and ending."""
@@ -216,29 +425,33 @@ class Totals:
 
 def _histories(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Cell of each token in a cube of three classes, for texts one after another; the class before a text is the end's."""
+    one, two = _before(classes, sizes, 0)
+    return (two * CLASSES + one) * CLASSES + classes
+
+
+def _before(tokens: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each token and the one before that, for texts one after another; before a text is ``end``."""
     stops = np.cumsum(sizes)
-    one, two = np.zeros_like(classes), np.zeros_like(classes)
-    one[1:], two[2:] = classes[:-1], classes[:-2]
+    one, two = np.full_like(tokens, end), np.full_like(tokens, end)
+    one[1:], two[2:] = tokens[:-1], tokens[:-2]
     begins = stops[:-1]
-    one[begins], two[begins] = 0, 0
+    one[begins], two[begins] = end, end
     second = begins[sizes[1:] > 1] + 1
-    two[second] = 0
-    return (two * CLASSES + one) * CLASSES + classes
+    two[second] = end
+    return one, two
 
 
-def _row(blocks: pa.RecordBatch | pa.Table, i: int) -> dict:
+def _row(blocks: pa.RecordBatch | pa.Table, i: int, names: tuple[str, ...]) -> dict:
     """One block: its arrays, and its packed tokens."""
-    row = {n: blocks.column(n)[i] for n in ("_held", "_sizes", "_words", "_ends")}
+    row = {n: blocks.column(n)[i] for n in names}
     return {n: v.values.to_numpy(zero_copy_only=False) for n, v in row.items()} | {"_tokens": blocks.column("_tokens")[i].as_py()}
 
 
-def _texts(row: dict, totals: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of one block: word number of each token (the number of words stands for the end), its class, and tokens of each text."""
-    words, ends = np.asarray(row["_words"], dtype=np.int64), np.asarray(row["_ends"], dtype=np.int64)
+def _texts(row: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of one block: word number of each token (``end``, the number of words, stands for the end), and tokens of each text."""
     sizes = np.asarray(row["_sizes"], dtype=np.int64)
     tokens = _unpack(row["_tokens"], int(sizes.sum()))
-    tokens = np.insert(tokens, np.cumsum(sizes), len(words))
-    return tokens, np.append(totals.classes(words, ends), 0)[tokens], sizes + 1
+    return np.insert(tokens, np.cumsum(sizes), end), sizes + 1
 
 
 def _count_classes(totals: Totals):
@@ -246,8 +459,10 @@ def _count_classes(totals: Totals):
         cube = np.zeros(CLASSES**3, dtype=np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = _row(batch, i)
-                _, classes, sizes = _texts(row, totals)
+                row = _row(batch, i, ("_held", "_sizes", "_words", "_ends"))
+                words, ends = (np.asarray(row[n], dtype=np.int64) for n in ("_words", "_ends"))
+                tokens, sizes = _texts(row, len(words))
+                classes = np.append(totals.classes(words, ends), 0)[tokens]
                 learnt = np.repeat(~row["_held"].astype(bool), sizes)
                 cube += np.bincount(_histories(classes, sizes)[learnt], minlength=len(cube))
         cells = np.flatnonzero(cube)
@@ -273,7 +488,7 @@ class Restaurants:
     def seated(self, ends: np.ndarray, counts: np.ndarray, sweep: int) -> np.ndarray:
         """Tables of each word in one sweep."""
         rng = np.random.default_rng([SEED, sweep, int(counts.sum()), len(counts)])
-        return seat(counts, self.opening(sweep)[ends], self.discount, rng)
+        return tables_of(counts, self.opening(sweep)[ends], self.discount, rng)
 
 
 def _sit(hall: Restaurants, sweep: int):
@@ -287,8 +502,8 @@ def _sit(hall: Restaurants, sweep: int):
     return sit
 
 
-def _word_logs(hall: Restaurants, samples: range):
-    """Averaged log10 probability of each word in its class; of one not learnt, that of any such word."""
+def _word_logs(hall: Restaurants, samples: range, totals: Totals):
+    """Averaged log10 probability of each word by its class alone; of one not learnt, that of any such word."""
 
     def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,8 +517,9 @@ def _word_logs(hall: Restaurants, samples: range):
                 new = STRENGTH + hall.discount * hall.tables[sweep]
                 unseen = new * np.where(hall.words > 0, UNSEEN, 1)
                 mean += np.where(counts > 0, counts - hall.discount * tables + opening[ends], unseen[ends]) / (STRENGTH + hall.customers[ends])
-            value = np.where(own, 0.0, np.log10(mean / len(samples)))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(value)], names=["word", "n", "value"])
+            classes = totals.classes(np.asarray(batch.column("word"), dtype=np.int64), ends)
+            value = np.where(own, 0.0, np.log10(np.where(own, 1.0, mean / len(samples)))) + np.log10(totals.base[classes])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array(value)], names=["id", "n", "value"])
 
     return logs
 
@@ -313,30 +529,283 @@ RESULT = (
 )
 
 
-def _score(totals: Totals):
-    def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        row = _row(blocks, 0)
-        tokens, classes, sizes = _texts(row, totals)
-        counts, logs = np.zeros(len(row["_words"]) + 1, dtype=np.int64), np.zeros(len(row["_words"]) + 1)
-        places = answers.column("_place").to_numpy()
-        counts[places], logs[places] = answers.column("n").to_numpy(), answers.column("value").to_numpy()
+ENTRIES = "_part bigint, _at bigint, _n int, _one binary, _two binary, _word binary, _doc binary, _times binary"
+SENT = "_part bigint, _bucket bigint, _split bigint, _n int, _ids binary, _guests binary"
+HALLS = "_split bigint, dishes double, ones double, twos double"
+SEATED = (
+    "_part bigint, _bucket bigint, _split bigint, _n int, _base binary, _alone binary, _near binary, discount2 double, "
+    "guests1 double, tables1 double, guests2 double, tables2 double"
+)
+PARENTS = "_part bigint, _bucket bigint, _n int, _chances binary"
+
+
+@dataclass
+class Parts:
+    """Where contexts are seated: by the word before, and by the two words before if the one before is very frequent."""
+
+    n: int
+    split: np.ndarray
+    shares: np.ndarray
+    buckets: int
+
+    def of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        out = (mix(one.astype(np.uint64)) % np.uint64(self.n)).astype(np.int64)
+        if len(self.split):
+            at = np.minimum(np.searchsorted(self.split, one), len(self.split) - 1)
+            some = self.split[at] == one
+            share = (mix(two[some].astype(np.uint64)) % self.shares[at[some]].astype(np.uint64)).astype(np.int64)
+            out[some] = self.n + (np.cumsum(self.shares) - self.shares)[at[some]] + share
+        return out
+
+    def word(self, part: int) -> int:
+        """The frequent word whose contexts are split over this part and others, or -1."""
+        return -1 if part < self.n else int(self.split[np.searchsorted(np.cumsum(self.shares), part - self.n, side="right")])
+
+
+def _send(totals: Totals, parts: Parts, step: int):
+    """Of a block, which words follow which two in which text, by part; and, as part -1, what else is known of its texts."""
+
+    def send(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = _row(blocks, 0, ("_held", "_sizes"))
+        at, docs, held = blocks.column("_at")[0].as_py(), blocks.column("_docs")[0].values, row["_held"].astype(bool)
+        answers = answers.to_pylist()
+        words = sum(r["_n"] for r in answers)
+        counts, ids = np.zeros(words + 1, dtype=np.int64), np.full(words + 1, END, dtype=np.int64)
+        for r in answers:
+            places = np.cumsum(_unpack(r["_places"], r["_n"]))
+            counts[places], ids[places] = _unpack_long(r["_counts"], r["_n"]), _unpack_long(r["_ids"], r["_n"])
         counts[-1] = totals.documents
+        tokens, sizes = _texts(row, words)
         begins = np.cumsum(sizes) - sizes
-        base = np.log10((counts + 1) / (totals.tokens + totals.words + 1))[tokens]
-        model = totals.logs[_histories(classes, sizes)] + logs[tokens]
-        sums = [np.add.reduceat(v, begins) for v in ((counts > 0)[tokens].astype(np.int64), base, model)]
-        n = len(sizes)
-        return pa.Table.from_arrays(
-            [
-                blocks.column("_docs")[0].values, pa.array(row["_held"].astype(bool)), pa.array(sizes), pa.array(sums[0]),
-                pa.array(np.full(n, totals.tokens)), pa.array(sums[1]), pa.array(sums[2]),
-            ],
-            names=[c.split()[0] for c in RESULT.split(", ")],
-        )
+        known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), begins)
+        base = np.add.reduceat(np.log10((counts + 1) / (totals.tokens + totals.words + 1))[tokens], begins)
+        marks = held + 2 * np.asarray(docs.is_null())
+        rows = [(-1, at, len(sizes), *(_pack_long(v) for v in (docs.fill_null(0).to_numpy(), marks, known, sizes)), base.tobytes())]
+
+        for texts in _segments((np.cumsum(sizes) - 1) // step):
+            lo, hi = texts[0], texts[-1] + 1
+            own = tokens[begins[lo] : begins[lo] + sizes[lo:hi].sum()]
+            one, two = _before(own, sizes[lo:hi], words)
+            near, far = one << 32 | two, own << 32 | np.repeat(texts, sizes[lo:hi])
+            order = np.lexsort((far, near))
+            near, far = near[order], far[order]
+            first = np.flatnonzero(_changes(near, far))
+            times = np.diff(first, append=len(near))
+            near, far = near[first], far[first]
+            one, two, word, doc = ids[near >> 32], ids[near & 0xFFFFFFFF], ids[far >> 32], far & 0xFFFFFFFF
+            doc = doc * 2 + held[doc]
+            part = parts.of(one, two)
+            for chosen in _segments(part):
+                packed = *(_pack_long(v[chosen]) for v in (one, two, word)), _pack(doc[chosen]), _pack(times[chosen])
+                rows.append((int(part[chosen[0]]), at, len(chosen), *packed))
+        return _table(list(zip(*rows, strict=True)), ENTRIES)
+
+    return send
+
+
+def _received(entries: pa.Table) -> tuple[Contexts, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Contexts of a part; of each entry its place there, text and times; block and entries of each row."""
+    rows = sorted(entries.to_pylist(), key=lambda r: (r["_at"], r["_word"]))
+    one, two, word = (np.concatenate([_unpack_long(r[c], r["_n"]) for r in rows]) for c in ("_one", "_two", "_word"))
+    doc, times = (np.concatenate([_unpack(r[c], r["_n"]) for r in rows]) for c in ("_doc", "_times"))
+    contexts, place = Contexts.of(one, two, word, times * (doc % 2 == 0))
+    return contexts, place, doc // 2, times, [(r["_at"], r["_n"]) for r in rows]
+
+
+def _first_seating(parts: Parts):
+    """Customers that the contexts of a part send to the restaurant without context, or to that of their frequent word."""
+
+    def seated(entries: pa.Table) -> pa.Table:
+        part = entries.column("_part")[0].as_py()
+        if part < 0:
+            return _table([], SENT)
+        contexts, split = _received(entries)[0], parts.word(part)
+        _, sent = contexts.sampled(contexts.guess(split >= 0), split >= 0, np.random.default_rng([SEED, 0, part]), 1, BURN_IN)
+        buckets, rows = _bucket_of(contexts.words, parts.buckets), []
+        for at in _segments(buckets):
+            packed = _pack_long(np.diff(contexts.words[at], prepend=0)), _pack(sent[at])
+            rows.append((part, int(buckets[at[0]]), split, len(at), *packed))
+        return _table(list(zip(*rows, strict=True)), SENT)
+
+    return seated
+
+
+def _gathered(sent: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
+    """What parts sent for the words of a bucket: rows, and of each word in each row the frequent word (or -1), the word and the customers."""
+    rows = sorted(sent.to_pylist(), key=lambda r: r["_part"])
+    split = np.repeat([r["_split"] for r in rows], [r["_n"] for r in rows])
+    ids = np.concatenate([np.cumsum(_unpack_long(r["_ids"], r["_n"])) for r in rows])
+    return rows, split, ids, np.concatenate([_unpack(r["_guests"], r["_n"]) for r in rows])
+
+
+def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row of each group of alike rows, and the group of each row."""
+    order = _order(*columns)
+    new = _changes(*(c[order] for c in columns))
+    group = np.empty(len(order), dtype=np.int64)
+    group[order] = np.cumsum(new) - 1
+    return order[new], group
+
+
+def _halls(sent: pa.Table) -> pa.Table:
+    """Of each frequent word's restaurant, how many dishes it has in a bucket, and how many of them with one and two customers."""
+    _, split, ids, guests = _gathered(sent)
+    some = split >= 0
+    if not some.any():
+        return _table([], HALLS)
+    first, group = _grouped(split[some], ids[some])
+    n, words = np.bincount(group, weights=guests[some]), split[some][first]
+    kinds, which = np.unique(words, return_inverse=True)
+    return _table([kinds, *(np.bincount(which, weights=found) for found in (n > 0, n == 1, n == 2))], HALLS)
+
+
+def _without_context(totals: Totals, discount: float):
+    """Seat what all parts sent for some words: in the restaurants of frequent words, and theirs and all others in that without context."""
+
+    def seated(sent: pa.Table, values: pa.Table) -> pa.Table:
+        if not sent.num_rows:
+            return _table([], SEATED)
+        rows, split, word, guests = _gathered(sent)
+        rng = np.random.default_rng([SEED, 1, rows[0]["_bucket"]])
+        ids = np.append(values.column("id").to_numpy(), END)
+        n = np.append(values.column("n").to_numpy(), totals.documents)
+        logs = np.append(values.column("value").to_numpy(), np.log10(totals.base[0]))
+        by = np.argsort(ids)
+        first2, group2 = _grouped(split, word)
+        first1, group1 = _grouped(word[first2])
+        at = by[np.searchsorted(ids[by], word[first2][first1])]
+        base, often = 10 ** logs[at], (n[at] + 1) / (totals.tokens + totals.words + 1)
+
+        # a part seats its own restaurants, so that the customers it sends are tables; those of a frequent word are seated here
+        guests2 = np.bincount(group2, weights=guests)
+        tables2, halls = guests2.copy(), {r["_split"]: (r["discount2"], r["open2"]) for r in rows if r["_split"] >= 0}
+        for hall, (d, opened) in sorted(halls.items()):
+            own = split[first2] == hall
+            tables2[own] = tables_of(guests2[own], (STRENGTH + d * opened) * often[group1[own]], d, rng)
+        guests1 = np.bincount(group1, weights=tables2)
+        tables1 = tables_of(guests1, (STRENGTH + discount * totals.words) * base, discount, rng)
+
+        alone, out, begin, told = guests1 - discount * tables1, [], 0, set()
+        for i, r in enumerate(rows):
+            pair = group2[begin : begin + r["_n"]]
+            begin += r["_n"]
+            near, sums = None, (float(guests1.sum()), float(tables1.sum())) if i == 0 else (0.0, 0.0)
+            own = (0.0, 0.0)
+            if r["_split"] >= 0:
+                d, _ = halls[r["_split"]]
+                near = (guests2 - d * tables2)[pair].tobytes()
+                if r["_split"] not in told:
+                    told.add(r["_split"])
+                    whole = split[first2] == r["_split"]
+                    own = float(guests2[whole].sum()), float(tables2[whole].sum())
+            word1 = group1[pair]
+            out.append((r["_part"], r["_bucket"], r["_split"], r["_n"], base[word1].tobytes(), alone[word1].tobytes(), near, r["discount2"], *sums, *own))
+        return _table(list(zip(*out, strict=True)), SEATED)
+
+    return seated
+
+
+def _chances(discount: float):
+    """Chance of each word in the restaurant that is the parent of all in a part, once all customers and tables are known."""
+
+    def chances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                p = (np.frombuffer(r["_alone"]) + (STRENGTH + discount * r["t1"]) * np.frombuffer(r["_base"])) / (STRENGTH + r["c1"])
+                if r["_split"] >= 0:
+                    p = (np.frombuffer(r["_near"]) + (STRENGTH + r["discount2"] * r["t2"]) * p) / (STRENGTH + r["c2"])
+                rows.append((r["_part"], r["_bucket"], r["_n"], _pack_long(p.view(np.int64))))
+            yield from _table(list(zip(*rows, strict=True)), PARENTS).to_batches()
+
+    return chances
+
+
+def _parents(sent: DataFrame, values: DataFrame, totals: Totals, parts: Parts, discount: float) -> DataFrame:
+    """For each part the words it has, by bucket, with their chance in the restaurant that is the parent of all its own."""
+    sent = sent.repartition("_bucket")
+    if len(parts.split):
+        found = sent.groupBy("_bucket").applyInArrow(_halls, HALLS).groupBy("_split").agg(*(F.sum(c).alias(c) for c in ("dishes", "ones", "twos")))
+        share = F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.col("ones") / (F.col("ones") + 2 * F.col("twos"))))
+        found = found.select("_split", F.when(F.col("ones") > 0, share).otherwise(0.5).alias("discount2"), F.col("dishes").alias("open2"))
+        sent = sent.join(F.broadcast(found), "_split", "left")
+    else:
+        sent = sent.withColumns({"discount2": F.lit(None).cast("double"), "open2": F.lit(None).cast("double")})
+    words = values.withColumn("_bucket", F.greatest(F.col("id") - (END + 1), F.lit(0)) % parts.buckets)
+    seated = sent.groupBy("_bucket").cogroup(words.groupBy("_bucket")).applyInArrow(_without_context(totals, discount), SEATED)
+    rows = seated.crossJoin(F.broadcast(seated.agg(F.sum("guests1").alias("c1"), F.sum("tables1").alias("t1"))))
+    halls = seated.groupBy("_split").agg(F.sum("guests2").alias("c2"), F.sum("tables2").alias("t2"))
+    return rows.join(F.broadcast(halls), "_split").mapInArrow(_chances(discount), PARENTS)
+
+
+def _score(parts: Parts):
+    """Log10 probabilities that a part has for the texts of each block."""
+
+    def score(entries: pa.Table, parents: pa.Table) -> pa.Table:
+        part = entries.column("_part")[0].as_py()
+        if part < 0:
+            return entries
+        contexts, place, doc, times, blocks = _received(entries)
+        parent, places = np.empty(len(contexts.words)), _segments(_bucket_of(contexts.words, parts.buckets))
+        for at, r in zip(places, sorted(parents.to_pylist(), key=lambda r: r["_bucket"]), strict=True):
+            parent[at] = _unpack_long(r["_chances"], r["_n"]).view(np.float64)
+        mean, _ = contexts.sampled(parent, parts.word(part) >= 0, np.random.default_rng([SEED, 2, part]), SAMPLES, BURN_IN)
+        logs, rows, begin = np.log10(mean)[place] * times, [], 0
+        for at, n in blocks:
+            texts, which = np.unique(doc[begin : begin + n], return_inverse=True)
+            sums = np.bincount(which, weights=logs[begin : begin + n])
+            rows.append((part, at, len(texts), None, None, None, _pack(texts), sums.tobytes()))
+            begin += n
+        return _table(list(zip(*rows, strict=True)), ENTRIES)
 
     return score
 
 
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums that several parts of one task have for the texts of a block as one row, in units of 1 / ``UNIT``; others as they are."""
+    sums: dict[int, np.ndarray] = {}
+
+    def rows():
+        for at, values in sums.items():
+            texts = np.flatnonzero(values)
+            yield 0, at, len(texts), None, None, None, _pack(texts), _pack_long(np.rint(-values[texts] * UNIT))
+
+    def flushed():
+        if sums:
+            yield from _table(list(zip(*rows(), strict=True)), ENTRIES).to_batches()
+        sums.clear()
+
+    for batch in batches:
+        known = batch.filter(pc.less(batch.column("_part"), 0))
+        if known.num_rows:
+            yield known
+        for r in batch.filter(pc.greater_equal(batch.column("_part"), 0)).to_pylist():
+            texts, values = _unpack(r["_doc"], r["_n"]), np.frombuffer(r["_times"])
+            have = sums.get(r["_at"], np.zeros(0))
+            if len(have) <= texts[-1]:
+                have = sums[r["_at"]] = np.append(have, np.zeros(texts[-1] + 1 - len(have)))
+            have[texts] += values
+        if sum(len(v) for v in sums.values()) > SUMS:
+            yield from flushed()
+    yield from flushed()
+
+
+def _add(totals: Totals):
+    """Rows of the texts of one block, from what is known of them and from the sums of all parts."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        known, *sums = sorted(rows.to_pylist(), key=lambda r: r["_part"])
+        n = known["_n"]
+        docs, marks, words, sizes = (_unpack_long(known[c], n) for c in ("_one", "_two", "_word", "_doc"))
+        scores = np.zeros(n)
+        for r in sums:
+            scores[_unpack(r["_doc"], r["_n"])] -= _unpack_long(r["_times"], r["_n"])
+        held, ids = marks % 2 == 1, pa.array(docs, pa.int64(), mask=marks >= 2)
+        return _table([ids, held, sizes, words, np.full(n, totals.tokens), np.frombuffer(known["_times"]), scores / UNIT], RESULT)
+
+    return add
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
@@ -353,9 +822,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_OUT, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), held.alias("_held"), F.coalesce("text", F.lit("")).alias("_text"))
     blocks = durable(rows.mapInArrow(_encode, BLOCK))
-    asked = blocks.select("_block", F.posexplode(F.arrays_zip("_words", "_ends", "_counts")).alias("_place", "_w"))
-    asked = asked.select("_block", "_place", F.col("_w._words").alias("word"), F.col("_w._ends").alias("_end"), F.col("_w._counts").alias("_n"))
-    vocabulary = durable(asked.groupBy("word").agg(F.min("_end").alias("_end"), F.sum("_n").alias("n")))
+    buckets = max(1, blocks.count())
+    asked = blocks.select("_block", "_words", "_ends", "_counts").mapInArrow(_ask(buckets), WORDS).groupBy("_bucket")
+    vocabulary = durable(asked.applyInArrow(_count_words(buckets), VOCABULARY))
 
     learnt = vocabulary.filter("n > 0")
     documents = blocks.select(F.explode("_held").alias("_held")).filter("not _held").count()
@@ -367,15 +836,32 @@ def score_texts(docs: DataFrame) -> DataFrame:
     cube = np.zeros(CLASSES**3, dtype=np.int64)
     for r in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most as many as the cube has
         cube[r.cell] = r.n
-    probabilities = class_probabilities(cube.reshape((CLASSES,) * 3))
-    totals.logs = np.log10(probabilities).reshape(-1)
+    cube = cube.reshape((CLASSES,) * 3)
+    shares = cube.sum(axis=2) / cube.sum() if cube.any() else np.full((CLASSES, CLASSES), CLASSES**-2.0)
+    totals.base = np.tensordot(shares, class_probabilities(cube), 2)
 
     own = F.col("word").isin([r.word for r in top])
     hall, samples = _seat_words(learnt.filter(~own))
-    values = vocabulary.withColumn("_own", own).mapInArrow(_word_logs(hall, samples), "word bigint, n bigint, value double")
-    answers = asked.select("_block", "_place", "word").join(values, "word").select("_block", "_place", "n", "value")
-    texts = blocks.select(F.col("_block").alias("_at"), "_docs", "_held", "_sizes", "_tokens", "_words", "_ends")
-    return texts.groupBy("_at").cogroup(answers.groupBy("_block")).applyInArrow(_score(totals), RESULT)
+    values = vocabulary.withColumn("_own", own).mapInArrow(_word_logs(hall, samples, totals), "id bigint, n bigint, value double")
+    values = durable(values)
+    parts = _parts_for(values, totals, buckets)
+    answers = asked.applyInArrow(_answer(buckets), ANSWERS)
+    texts = blocks.select(F.col("_block").alias("_at"), "_docs", "_held", "_sizes", "_tokens")
+    entries = texts.groupBy("_at").cogroup(answers.groupBy("_block")).applyInArrow(_send(totals, parts, SORTED_TOKENS), ENTRIES)
+    entries = entries.withColumn("_part", F.when(F.col("_part") < 0, -1 - F.col("_at")).otherwise(F.col("_part")))
+    sent = entries.groupBy("_part").applyInArrow(_first_seating(parts), SENT)
+    ones = learnt.agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).first()
+    parents = _parents(sent, values, totals, parts, discount_from(ones.ones, ones.twos))
+    scored = entries.groupBy("_part").cogroup(parents.groupBy("_part")).applyInArrow(_score(parts), ENTRIES)
+    scored = scored.mapInArrow(_combined, ENTRIES)
+    return scored.groupBy("_at").applyInArrow(_add(totals), RESULT)
+
+
+def _parts_for(values: DataFrame, totals: Totals, buckets: int) -> Parts:
+    """Parts of about ``PART_TOKENS`` tokens; words before so many tokens that they fill a quarter of one get parts of their own."""
+    frequent = values.filter(F.col("n") > PART_TOKENS // 4).select("id", "n").orderBy("id").collect()
+    split, n = (np.array([r[c] for r in frequent], dtype=np.int64) for c in ("id", "n"))
+    return Parts(max(1, -(-totals.tokens // PART_TOKENS)), split, n // PART_TOKENS + 1, buckets)
 
 
 def _seat_words(learnt: DataFrame) -> tuple[Restaurants, range]:

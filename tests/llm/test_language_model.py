@@ -129,3 +129,66 @@ def test_tables_without_rows_to_learn_from(spark):
     alone = next(d for d in range(100) if held(d))
     row = lm.score_texts(frame(spark, [(alone, "one two")], "doc_id bigint, text string")).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0) and math.isclose(row.score, -3 * math.log10(lm.CLASSES))
+
+
+@pytest.mark.parametrize(("customers", "opening", "discount"), [(2, 0.3, 0.5), (5, 0.8, 0.7), (6, 2.0, 0.05), (9, 1.0, 0.6)])
+def test_few_customers_are_seated_by_their_exact_chances(customers, opening, discount):
+    drawn = lm.tables_of(np.full(20_000, customers), np.full(20_000, opening), discount, np.random.default_rng(3))
+    got = np.bincount(drawn.astype(int), minlength=customers + 1) / 20_000
+    assert np.abs(got - exact_tables(customers, opening, discount)).sum() < 0.06
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_chances_after_two_words_sum_to_one_and_pass_tables_up(split):
+    rng = np.random.default_rng(5)
+    every = np.array([(1 if split else a, b, c) for a in range(1 if split else 6) for b in range(7) for c in range(8)])
+    n = rng.integers(0, 4, len(every)) * rng.integers(0, 2, len(every))
+    n[3] = 90
+    mixed = rng.permutation(len(every))
+    contexts, place = lm.Contexts.of(*every[mixed].T, n[mixed])
+    assert (contexts.n[place] == n[mixed]).all()
+    mean, sent = contexts.sampled(np.full(8, 1 / 8), split, np.random.default_rng(6), 3, 1)
+    assert np.allclose(mean.reshape(-1, 8).sum(axis=1), 1) and (mean > 0).all()
+    row = np.flatnonzero((contexts.one == every[3][0]) & (contexts.two == 0) & (contexts.word == 3))
+    assert mean[row] > 0.7
+    # each dish sends at least one customer for each restaurant that serves it, and no more than it has
+    some = contexts.n > 0
+    keys = (contexts.two if split else contexts.one)[some]
+    least = [len(set(keys[contexts.word[some] == w])) for w in range(8)]
+    most = np.bincount(contexts.word, weights=contexts.n, minlength=8)
+    assert (sent >= least).all() and (sent <= most).all()
+
+
+def chains(seed, docs=240):
+    """Texts in which a word follows from the two before it; all words have one ending and are equally frequent, so classes tell nothing."""
+    rng, words = random.Random(seed), [f"w{i}zz" for i in range(60)]
+    follows = {(a, b): random.Random(f"{a} {b}").choice(words) for a in words for b in words}
+    rows = []
+    for doc in range(docs):
+        text = rng.sample(words, 2)
+        while len(text) < 40:
+            a, b = text[-2:]
+            text.append(follows[a, words[words.index(b) // 20 * 20]] if rng.random() < 0.95 else rng.choice(words))
+        rows.append((doc, " ".join(text)))
+    return rows
+
+
+def test_words_after_two_words_are_learnt(spark):
+    got = lm.score_texts(frame(spark, chains(1), "doc_id bigint, text string")).filter("held_out").toPandas()
+    assert len(got) > 20 and got.score.sum() > 0.8 * got.base_score.sum()
+
+
+def test_parts_of_frequent_words_change_little(spark, monkeypatch):
+    """Contexts over many parts, those of frequent words split, and blocks sorted in steps: the same chances but for the draws."""
+    rows = chains(2) + [(1000, None), (None, "w1zz w2zz"), (1001, "alone " * 50)]
+    docs = frame(spark, rows, "doc_id bigint, text string").repartition(4)
+    whole = lm.score_texts(docs).toPandas()
+    monkeypatch.setattr(lm, "PART_TOKENS", 300)
+    monkeypatch.setattr(lm, "SORTED_TOKENS", 200)
+    parted = lm.score_texts(docs).toPandas()
+    key = ["doc_id", "n_tokens"]
+    both = whole.merge(parted, on=key, suffixes=("", "_parted"))
+    assert len(both) == len(rows) and (both.n_known == both.n_known_parted).all() and np.allclose(both.base_score, both.base_score_parted)
+    held_out = both[both.held_out]
+    assert abs(held_out.score.sum() / held_out.score_parted.sum() - 1) < 0.05
+    assert abs(both.score.sum() / both.score_parted.sum() - 1) < 0.05
