@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +25,16 @@ BURN_IN, SAMPLES, TRIES = 1, 3, 4
 EXACT = 6
 #: Customers beyond this many groups come in at once that are so much smaller than those seated.
 STEP = 8
-#: A sum of log10 probabilities goes from task to task in such parts of 1, and at most so many sums are held at once.
-UNIT, SUMS = 1 << 30, 4 << 20
+#: A sum of log10 probabilities goes from task to task in such parts of 1.
+UNIT = 1 << 30
 #: Bytes of text whose words are numbered together.
 BLOCK_BYTES = 16 << 20
 #: Tokens that are sorted together before they are sent.
 SORTED_TOKENS = 1 << 20
 #: Tokens whose contexts are seated together, and the number of the end of a text among the words.
 PART_TOKENS, END = 1_000_000, 0
+#: Parts that one group of rows holds; they are seated one after another.
+TOGETHER = 4
 #: Every seventh document by CRC-32 of its id is held out.
 FOLDS, HELD_OUT = 7, 2
 SEED = 11
@@ -529,14 +531,11 @@ RESULT = (
 )
 
 
-ENTRIES = "_part bigint, _at bigint, _n int, _one binary, _two binary, _word binary, _doc binary, _times binary"
-SENT = "_part bigint, _bucket bigint, _split bigint, _n int, _ids binary, _guests binary"
+ENTRIES = "_group bigint, _part bigint, _at bigint, _n int, _one binary, _two binary, _word binary, _doc binary, _times binary"
+SENT = "_group bigint, _bucket bigint, _split bigint, _n int, _ids binary, _guests binary"
 HALLS = "_split bigint, dishes double, ones double, twos double"
-SEATED = (
-    "_part bigint, _bucket bigint, _split bigint, _n int, _base binary, _alone binary, _near binary, discount2 double, "
-    "guests1 double, tables1 double, guests2 double, tables2 double"
-)
-PARENTS = "_part bigint, _bucket bigint, _n int, _chances binary"
+TOLD = "_split bigint, customers double, tables double"
+PARENTS = "_group bigint, _bucket bigint, _n int, _ids binary, _chances binary"
 
 
 @dataclass
@@ -557,13 +556,17 @@ class Parts:
             out[some] = self.n + (np.cumsum(self.shares) - self.shares)[at[some]] + share
         return out
 
+    def group(self, part: int) -> int:
+        """Parts that are in one group; one of a frequent word is alone."""
+        return part // TOGETHER if part < self.n else part
+
     def word(self, part: int) -> int:
         """The frequent word whose contexts are split over this part and others, or -1."""
         return -1 if part < self.n else int(self.split[np.searchsorted(np.cumsum(self.shares), part - self.n, side="right")])
 
 
 def _send(totals: Totals, parts: Parts, step: int):
-    """Of a block, which words follow which two in which text, by part; and, as part -1, what else is known of its texts."""
+    """Of a block, which words follow which two in which text, by part; and, in a group below 0, what else is known of its texts."""
 
     def send(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         row = _row(blocks, 0, ("_held", "_sizes"))
@@ -580,7 +583,7 @@ def _send(totals: Totals, parts: Parts, step: int):
         known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), begins)
         base = np.add.reduceat(np.log10((counts + 1) / (totals.tokens + totals.words + 1))[tokens], begins)
         marks = held + 2 * np.asarray(docs.is_null())
-        rows = [(-1, at, len(sizes), *(_pack_long(v) for v in (docs.fill_null(0).to_numpy(), marks, known, sizes)), base.tobytes())]
+        rows = [(-1 - at, -1, at, len(sizes), *(_pack_long(v) for v in (docs.fill_null(0).to_numpy(), marks, known, sizes)), base.tobytes())]
 
         for texts in _segments((np.cumsum(sizes) - 1) // step):
             lo, hi = texts[0], texts[-1] + 1
@@ -597,15 +600,20 @@ def _send(totals: Totals, parts: Parts, step: int):
             part = parts.of(one, two)
             for chosen in _segments(part):
                 packed = *(_pack_long(v[chosen]) for v in (one, two, word)), _pack(doc[chosen]), _pack(times[chosen])
-                rows.append((int(part[chosen[0]]), at, len(chosen), *packed))
+                rows.append((parts.group(int(part[chosen[0]])), int(part[chosen[0]]), at, len(chosen), *packed))
         return _table(list(zip(*rows, strict=True)), ENTRIES)
 
     return send
 
 
-def _received(entries: pa.Table) -> tuple[Contexts, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+def _by_part(entries: pa.Table) -> list[tuple[int, list[dict]]]:
+    """Rows of each part of a group."""
+    rows = sorted(entries.to_pylist(), key=lambda r: (r["_part"], r["_at"], r["_word"]))
+    return [(part, list(own)) for part, own in groupby(rows, key=lambda r: r["_part"])]
+
+
+def _received(rows: list[dict]) -> tuple[Contexts, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Contexts of a part; of each entry its place there, text and times; block and entries of each row."""
-    rows = sorted(entries.to_pylist(), key=lambda r: (r["_at"], r["_word"]))
     one, two, word = (np.concatenate([_unpack_long(r[c], r["_n"]) for r in rows]) for c in ("_one", "_two", "_word"))
     doc, times = (np.concatenate([_unpack(r[c], r["_n"]) for r in rows]) for c in ("_doc", "_times"))
     contexts, place = Contexts.of(one, two, word, times * (doc % 2 == 0))
@@ -613,18 +621,22 @@ def _received(entries: pa.Table) -> tuple[Contexts, np.ndarray, np.ndarray, np.n
 
 
 def _first_seating(parts: Parts):
-    """Customers that the contexts of a part send to the restaurant without context, or to that of their frequent word."""
+    """Customers that the contexts of a group send to the restaurant without context, or to that of their frequent word."""
 
     def seated(entries: pa.Table) -> pa.Table:
-        part = entries.column("_part")[0].as_py()
-        if part < 0:
+        group = entries.column("_group")[0].as_py()
+        if group < 0:
             return _table([], SENT)
-        contexts, split = _received(entries)[0], parts.word(part)
-        _, sent = contexts.sampled(contexts.guess(split >= 0), split >= 0, np.random.default_rng([SEED, 0, part]), 1, BURN_IN)
-        buckets, rows = _bucket_of(contexts.words, parts.buckets), []
+        words, guests, split = np.zeros(0, dtype=np.int64), np.zeros(0), -1
+        for part, own in _by_part(entries):
+            contexts, split = _received(own)[0], parts.word(part)
+            _, sent = contexts.sampled(contexts.guess(split >= 0), split >= 0, np.random.default_rng([SEED, 0, part]), 1, BURN_IN)
+            words, which = np.unique(np.concatenate([words, contexts.words]), return_inverse=True)
+            guests = np.bincount(which, weights=np.concatenate([guests, sent]))
+        buckets, rows = _bucket_of(words, parts.buckets), []
         for at in _segments(buckets):
-            packed = _pack_long(np.diff(contexts.words[at], prepend=0)), _pack(sent[at])
-            rows.append((part, int(buckets[at[0]]), split, len(at), *packed))
+            packed = _pack_long(np.diff(words[at], prepend=0)), _pack(guests[at])
+            rows.append((group, int(buckets[at[0]]), split, len(at), *packed))
         return _table(list(zip(*rows, strict=True)), SENT)
 
     return seated
@@ -632,7 +644,7 @@ def _first_seating(parts: Parts):
 
 def _gathered(sent: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
     """What parts sent for the words of a bucket: rows, and of each word in each row the frequent word (or -1), the word and the customers."""
-    rows = sorted(sent.to_pylist(), key=lambda r: r["_part"])
+    rows = sorted(sent.to_pylist(), key=lambda r: r["_group"])
     split = np.repeat([r["_split"] for r in rows], [r["_n"] for r in rows])
     ids = np.concatenate([np.cumsum(_unpack_long(r["_ids"], r["_n"])) for r in rows])
     return rows, split, ids, np.concatenate([_unpack(r["_guests"], r["_n"]) for r in rows])
@@ -659,12 +671,16 @@ def _halls(sent: pa.Table) -> pa.Table:
     return _table([kinds, *(np.bincount(which, weights=found) for found in (n > 0, n == 1, n == 2))], HALLS)
 
 
-def _without_context(totals: Totals, discount: float):
-    """Seat what all parts sent for some words: in the restaurants of frequent words, and theirs and all others in that without context."""
+def _without_context(totals: Totals, discount: float, told: bool):
+    """Seat what all parts sent for some words: in the restaurants of frequent words, and theirs and all others in that without context.
+
+    At first this gives the customers and tables of these restaurants, without context as word -1. Where these are told for all
+    words, it gives the chances of the words in the restaurant that is the parent of all in a group.
+    """
 
     def seated(sent: pa.Table, values: pa.Table) -> pa.Table:
         if not sent.num_rows:
-            return _table([], SEATED)
+            return _table([], PARENTS if told else TOLD)
         rows, split, word, guests = _gathered(sent)
         rng = np.random.default_rng([SEED, 1, rows[0]["_bucket"]])
         ids = np.append(values.column("id").to_numpy(), END)
@@ -676,7 +692,7 @@ def _without_context(totals: Totals, discount: float):
         at = by[np.searchsorted(ids[by], word[first2][first1])]
         base, often = 10 ** logs[at], (n[at] + 1) / (totals.tokens + totals.words + 1)
 
-        # a part seats its own restaurants, so that the customers it sends are tables; those of a frequent word are seated here
+        # a group seats its own restaurants, so that the customers it sends are tables; those of a frequent word are seated here
         guests2 = np.bincount(group2, weights=guests)
         tables2, halls = guests2.copy(), {r["_split"]: (r["discount2"], r["open2"]) for r in rows if r["_split"] >= 0}
         for hall, (d, opened) in sorted(halls.items()):
@@ -685,44 +701,29 @@ def _without_context(totals: Totals, discount: float):
         guests1 = np.bincount(group1, weights=tables2)
         tables1 = tables_of(guests1, (STRENGTH + discount * totals.words) * base, discount, rng)
 
-        alone, out, begin, told = guests1 - discount * tables1, [], 0, set()
-        for i, r in enumerate(rows):
+        if not told:
+            out = [(-1, guests1.sum(), tables1.sum())]
+            for hall in sorted(halls):
+                own = split[first2] == hall
+                out.append((hall, guests2[own].sum(), tables2[own].sum()))
+            return _table(list(zip(*out, strict=True)), TOLD)
+        alone = (guests1 - discount * tables1 + (STRENGTH + discount * rows[0]["t1"]) * base) / (STRENGTH + rows[0]["c1"])
+        out, begin = [], 0
+        for r in rows:
             pair = group2[begin : begin + r["_n"]]
             begin += r["_n"]
-            near, sums = None, (float(guests1.sum()), float(tables1.sum())) if i == 0 else (0.0, 0.0)
-            own = (0.0, 0.0)
+            p = alone[group1[pair]]
             if r["_split"] >= 0:
-                d, _ = halls[r["_split"]]
-                near = (guests2 - d * tables2)[pair].tobytes()
-                if r["_split"] not in told:
-                    told.add(r["_split"])
-                    whole = split[first2] == r["_split"]
-                    own = float(guests2[whole].sum()), float(tables2[whole].sum())
-            word1 = group1[pair]
-            out.append((r["_part"], r["_bucket"], r["_split"], r["_n"], base[word1].tobytes(), alone[word1].tobytes(), near, r["discount2"], *sums, *own))
-        return _table(list(zip(*out, strict=True)), SEATED)
+                d = r["discount2"]
+                p = ((guests2 - d * tables2)[pair] + (STRENGTH + d * r["t2"]) * p) / (STRENGTH + r["c2"])
+            out.append((r["_group"], r["_bucket"], r["_n"], r["_ids"], _pack_long(p.view(np.int64))))
+        return _table(list(zip(*out, strict=True)), PARENTS)
 
     return seated
 
 
-def _chances(discount: float):
-    """Chance of each word in the restaurant that is the parent of all in a part, once all customers and tables are known."""
-
-    def chances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                p = (np.frombuffer(r["_alone"]) + (STRENGTH + discount * r["t1"]) * np.frombuffer(r["_base"])) / (STRENGTH + r["c1"])
-                if r["_split"] >= 0:
-                    p = (np.frombuffer(r["_near"]) + (STRENGTH + r["discount2"] * r["t2"]) * p) / (STRENGTH + r["c2"])
-                rows.append((r["_part"], r["_bucket"], r["_n"], _pack_long(p.view(np.int64))))
-            yield from _table(list(zip(*rows, strict=True)), PARENTS).to_batches()
-
-    return chances
-
-
 def _parents(sent: DataFrame, values: DataFrame, totals: Totals, parts: Parts, discount: float) -> DataFrame:
-    """For each part the words it has, by bucket, with their chance in the restaurant that is the parent of all its own."""
+    """For each group the words it has, by bucket, with their chance in the restaurant that is the parent of all its own."""
     sent = sent.repartition("_bucket")
     if len(parts.split):
         found = sent.groupBy("_bucket").applyInArrow(_halls, HALLS).groupBy("_split").agg(*(F.sum(c).alias(c) for c in ("dishes", "ones", "twos")))
@@ -731,65 +732,48 @@ def _parents(sent: DataFrame, values: DataFrame, totals: Totals, parts: Parts, d
         sent = sent.join(F.broadcast(found), "_split", "left")
     else:
         sent = sent.withColumns({"discount2": F.lit(None).cast("double"), "open2": F.lit(None).cast("double")})
-    words = values.withColumn("_bucket", F.greatest(F.col("id") - (END + 1), F.lit(0)) % parts.buckets)
-    seated = sent.groupBy("_bucket").cogroup(words.groupBy("_bucket")).applyInArrow(_without_context(totals, discount), SEATED)
-    rows = seated.crossJoin(F.broadcast(seated.agg(F.sum("guests1").alias("c1"), F.sum("tables1").alias("t1"))))
-    halls = seated.groupBy("_split").agg(F.sum("guests2").alias("c2"), F.sum("tables2").alias("t2"))
-    return rows.join(F.broadcast(halls), "_split").mapInArrow(_chances(discount), PARENTS)
+    words = values.withColumn("_bucket", F.greatest(F.col("id") - (END + 1), F.lit(0)) % parts.buckets).groupBy("_bucket")
+    told = sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, False), TOLD)
+    told = told.groupBy("_split").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t"))
+    root = told.groupBy().agg(*(F.max(F.when(F.col("_split") == -1, F.col(c))).alias(f"{c}1") for c in "ct"))
+    sent = sent.crossJoin(F.broadcast(root)).join(F.broadcast(told.withColumnsRenamed({"c": "c2", "t": "t2"})), "_split")
+    return sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, True), PARENTS)
 
 
 def _score(parts: Parts):
-    """Log10 probabilities that a part has for the texts of each block."""
+    """Log10 probabilities that a group has for the texts of each block."""
 
     def score(entries: pa.Table, parents: pa.Table) -> pa.Table:
-        part = entries.column("_part")[0].as_py()
-        if part < 0:
+        group = entries.column("_group")[0].as_py()
+        if group < 0:
             return entries
-        contexts, place, doc, times, blocks = _received(entries)
-        parent, places = np.empty(len(contexts.words)), _segments(_bucket_of(contexts.words, parts.buckets))
-        for at, r in zip(places, sorted(parents.to_pylist(), key=lambda r: r["_bucket"]), strict=True):
-            parent[at] = _unpack_long(r["_chances"], r["_n"]).view(np.float64)
-        mean, _ = contexts.sampled(parent, parts.word(part) >= 0, np.random.default_rng([SEED, 2, part]), SAMPLES, BURN_IN)
-        logs, rows, begin = np.log10(mean)[place] * times, [], 0
-        for at, n in blocks:
-            texts, which = np.unique(doc[begin : begin + n], return_inverse=True)
-            sums = np.bincount(which, weights=logs[begin : begin + n])
-            rows.append((part, at, len(texts), None, None, None, _pack(texts), sums.tobytes()))
-            begin += n
-        return _table(list(zip(*rows, strict=True)), ENTRIES)
+        rows = parents.to_pylist()
+        words = np.concatenate([np.cumsum(_unpack_long(r["_ids"], r["_n"])) for r in rows])
+        chances = np.concatenate([_unpack_long(r["_chances"], r["_n"]).view(np.float64) for r in rows])
+        order = np.argsort(words)
+        words, chances, sums = words[order], chances[order], {}
+        for part, own in _by_part(entries):
+            contexts, place, doc, times, blocks = _received(own)
+            parent = chances[np.searchsorted(words, contexts.words)]
+            mean, _ = contexts.sampled(parent, parts.word(part) >= 0, np.random.default_rng([SEED, 2, part]), SAMPLES, BURN_IN)
+            logs, begin = np.log10(mean)[place] * times, 0
+            for at, n in blocks:
+                found = np.bincount(doc[begin : begin + n], weights=logs[begin : begin + n])
+                have = sums.get(at, np.zeros(0))
+                if len(have) < len(found):
+                    have, found = found, have
+                have[: len(found)] += found
+                sums[at] = have
+                begin += n
+        out = []
+        for at, found in sums.items():
+            texts = np.flatnonzero(found)
+            out.append((group, 0, at, len(texts), None, None, None, _pack(texts), _pack_long(np.rint(-found[texts] * UNIT))))
+        return _table(list(zip(*out, strict=True)), ENTRIES)
 
     return score
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums that several parts of one task have for the texts of a block as one row, in units of 1 / ``UNIT``; others as they are."""
-    sums: dict[int, np.ndarray] = {}
-
-    def rows():
-        for at, values in sums.items():
-            texts = np.flatnonzero(values)
-            yield 0, at, len(texts), None, None, None, _pack(texts), _pack_long(np.rint(-values[texts] * UNIT))
-
-    def flushed():
-        if sums:
-            yield from _table(list(zip(*rows(), strict=True)), ENTRIES).to_batches()
-        sums.clear()
-
-    for batch in batches:
-        known = batch.filter(pc.less(batch.column("_part"), 0))
-        if known.num_rows:
-            yield known
-        for r in batch.filter(pc.greater_equal(batch.column("_part"), 0)).to_pylist():
-            texts, values = _unpack(r["_doc"], r["_n"]), np.frombuffer(r["_times"])
-            have = sums.get(r["_at"], np.zeros(0))
-            if len(have) <= texts[-1]:
-                have = sums[r["_at"]] = np.append(have, np.zeros(texts[-1] + 1 - len(have)))
-            have[texts] += values
-        if sum(len(v) for v in sums.values()) > SUMS:
-            yield from flushed()
-    yield from flushed()
-
-
 def _add(totals: Totals):
     """Rows of the texts of one block, from what is known of them and from the sums of all parts."""
 
@@ -848,12 +832,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
     answers = asked.applyInArrow(_answer(buckets), ANSWERS)
     texts = blocks.select(F.col("_block").alias("_at"), "_docs", "_held", "_sizes", "_tokens")
     entries = texts.groupBy("_at").cogroup(answers.groupBy("_block")).applyInArrow(_send(totals, parts, SORTED_TOKENS), ENTRIES)
-    entries = entries.withColumn("_part", F.when(F.col("_part") < 0, -1 - F.col("_at")).otherwise(F.col("_part")))
-    sent = entries.groupBy("_part").applyInArrow(_first_seating(parts), SENT)
+    sent = entries.groupBy("_group").applyInArrow(_first_seating(parts), SENT)
     ones = learnt.agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).first()
     parents = _parents(sent, values, totals, parts, discount_from(ones.ones, ones.twos))
-    scored = entries.groupBy("_part").cogroup(parents.groupBy("_part")).applyInArrow(_score(parts), ENTRIES)
-    scored = scored.mapInArrow(_combined, ENTRIES)
+    scored = entries.groupBy("_group").cogroup(parents.groupBy("_group")).applyInArrow(_score(parts), ENTRIES)
     return scored.groupBy("_at").applyInArrow(_add(totals), RESULT)
 
 
