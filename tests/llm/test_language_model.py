@@ -160,22 +160,15 @@ def test_chances_after_two_words_sum_to_one_and_pass_tables_up(split):
 
 
 def chains(seed, docs=240):
-    """Texts in which a word follows from the two before it; all words have one ending and are equally frequent, so classes tell nothing."""
-    rng, words = random.Random(seed), [f"w{i}zz" for i in range(60)]
-    follows = {(a, b): random.Random(f"{a} {b}").choice(words) for a in words for b in words}
-    rows = []
-    for doc in range(docs):
-        text = rng.sample(words, 2)
-        while len(text) < 40:
-            a, b = text[-2:]
-            text.append(follows[a, words[words.index(b) // 20 * 20]] if rng.random() < 0.95 else rng.choice(words))
-        rows.append((doc, " ".join(text)))
-    return rows
+    """Texts of phrases whose words all have one ending and are about equally frequent, so that classes tell nothing of what follows."""
+    phrases, rng = random.Random(0), random.Random(seed)
+    phrases = [phrases.sample([f"w{i}zz" for i in range(300)], 3) for _ in range(100)]
+    return [(doc, " ".join(w for _ in range(12) for w in rng.choice(phrases))) for doc in range(docs)]
 
 
 def test_words_after_two_words_are_learnt(spark):
     got = lm.score_texts(frame(spark, chains(1), "doc_id bigint, text string")).filter("held_out").toPandas()
-    assert len(got) > 20 and got.score.sum() > 0.8 * got.base_score.sum()
+    assert len(got) > 20 and got.score.sum() > 0.6 * got.base_score.sum()
 
 
 def test_parts_of_frequent_words_change_little(spark, monkeypatch):
