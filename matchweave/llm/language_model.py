@@ -736,7 +736,7 @@ def _parents(sent: DataFrame, values: DataFrame, totals: Totals, parts: Parts, d
     told = sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, False), TOLD)
     told = told.groupBy("_split").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t"))
     root = told.groupBy().agg(*(F.max(F.when(F.col("_split") == -1, F.col(c))).alias(f"{c}1") for c in "ct"))
-    sent = sent.crossJoin(F.broadcast(root)).join(F.broadcast(told.withColumnsRenamed({"c": "c2", "t": "t2"})), "_split")
+    sent = sent.crossJoin(F.broadcast(root)).join(F.broadcast(told.withColumnsRenamed({"c": "c2", "t": "t2"})), "_split", "left")
     return sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, True), PARENTS)
 
 
