@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -273,6 +274,40 @@ def _unpack_long(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<i8")
 
 
+def _varints(values: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on, each as bytes of 7 bits, the lowest first; all but its last byte are 128 or more."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 7))
+    out, some = np.empty((len(values), width), dtype=np.uint8), np.ones((len(values), width), dtype=bool)
+    for k in range(width):
+        out[:, k] = values.astype(np.uint8) & 127
+        values = values >> 7
+        if k + 1 < width:
+            some[:, k + 1] = values > 0
+            out[:, k] |= some[:, k + 1].astype(np.uint8) << 7
+    return out[some]
+
+
+def _from_varints(data: np.ndarray) -> np.ndarray:
+    stops = np.flatnonzero(data < 128)
+    starts = np.append(0, stops + 1)[:-1]
+    values, some, k = (data[starts] & 127).astype(np.int64), np.flatnonzero(stops > starts), 1
+    while len(some):
+        values[some] |= (data[starts[some] + k] & 127).astype(np.int64) << (7 * k)
+        some = some[stops[some] > starts[some] + k]
+        k += 1
+    return values
+
+
+def _pack_alike(values: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Fractions of which many are alike: how many different ones there are, these, and which one each is."""
+    kinds, which = np.unique(values, return_inverse=True)
+    return len(kinds), _pack_long(kinds.view(np.int64)), _pack(which)
+
+
+def _unpack_alike(kinds: int, different: bytes, which: bytes, n: int) -> np.ndarray:
+    return _unpack_long(different, kinds).view(np.float64)[_unpack(which, n)]
+
+
 def _endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Number of each word's ending: its last two bytes, A-Z as a-z."""
     lower = np.arange(256)
@@ -289,11 +324,15 @@ BLOCK = (
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts: which words they have, most frequent first, how often outside held-out texts, and every text as their numbers."""
+    """Blocks of texts: which words they have, most frequent first, how often outside held-out texts, and every text as their numbers.
+
+    Held-out texts are the last ones of a block.
+    """
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
     for batch in by_bytes(batches, "_text", BLOCK_BYTES):
+        batch = batch.take(pc.array_sort_indices(batch.column("_held")))  # stable
         words = split_words(batch.column("_text"), lower=True)
         held = np.asarray(batch.column("_held").to_pandas(), dtype=bool)
         sizes = np.diff(words.first)
@@ -327,6 +366,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 WORDS = "_bucket bigint, _block bigint, _n int, _words binary, _places binary, _ends binary, _counts binary"
 ANSWERS = "_block bigint, _n int, _places binary, _ids binary, _counts binary"
 VOCABULARY = "word bigint, id bigint, _end int, n bigint"
+NUMBERED = f"{ANSWERS}, {VOCABULARY}"
 
 
 def _table(columns: list, schema: str) -> pa.Table:
@@ -378,27 +418,20 @@ def _bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
     return np.maximum(ids - END - 1, 0) % buckets
 
 
-def _count_words(buckets: int):
-    def count(asked: pa.Table) -> pa.Table:
-        _, words, ids, end, n, _ = _numbers(asked, buckets)
-        return _table([words, ids, end, n], VOCABULARY)
-
-    return count
-
-
-def _answer(buckets: int):
-    """For each block, numbers and counts of its words in a bucket."""
+def _number_words(buckets: int):
+    """The words of a bucket, and for each block numbers and counts of those it has; a row is one or the other."""
 
-    def answer(asked: pa.Table) -> pa.Table:
-        rows, _, ids, _, n, which = _numbers(asked, buckets)
+    def number(asked: pa.Table) -> pa.Table:
+        rows, words, ids, end, n, which = _numbers(asked, buckets)
         out, begin = [], 0
         for r in rows:
             own = which[begin : begin + r["_n"]]
             out.append((r["_block"], r["_n"], r["_places"], _pack_long(ids[own]), _pack_long(n[own])))
             begin += r["_n"]
-        return _table(list(zip(*out, strict=True)), ANSWERS)
+        answers = _table(list(zip(*out, strict=True)), ANSWERS)
+        return pa.concat_tables([answers, _table([words, ids, end, n], VOCABULARY)], promote_options="default")
 
-    return answer
+    return number
 
 
 # --- the model
@@ -531,11 +564,14 @@ RESULT = (
 )
 
 
-ENTRIES = "_group bigint, _part bigint, _at bigint, _n int, _one binary, _two binary, _word binary, _doc binary, _times binary"
+ENTRIES = "_group bigint, _part bigint, _at bigint, _n int, _first int, _learnt int, _size int, _data binary"
 SENT = "_group bigint, _bucket bigint, _split bigint, _n int, _ids binary, _guests binary"
 HALLS = "_split bigint, dishes double, ones double, twos double"
 TOLD = "_split bigint, customers double, tables double"
-PARENTS = "_group bigint, _bucket bigint, _n int, _ids binary, _chances binary"
+PARENTS = "_group bigint, _bucket bigint, _n int, _ids binary, _kinds int, _chances binary, _which binary"
+WORD_VALUES = "_bucket bigint, _n int, _ids binary, _often binary, _kinds int, _values binary, _which binary"
+#: Entries that are read from their rows at once.
+READ = 1 << 16
 
 
 @dataclass
@@ -582,42 +618,88 @@ def _send(totals: Totals, parts: Parts, step: int):
         begins = np.cumsum(sizes) - sizes
         known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), begins)
         base = np.add.reduceat(np.log10((counts + 1) / (totals.tokens + totals.words + 1))[tokens], begins)
-        marks = held + 2 * np.asarray(docs.is_null())
-        rows = [(-1 - at, -1, at, len(sizes), *(_pack_long(v) for v in (docs.fill_null(0).to_numpy(), marks, known, sizes)), base.tobytes())]
+        marks, learnt = held + 2 * np.asarray(docs.is_null()), int((~held).sum())
+        kept = np.concatenate([docs.fill_null(0).to_numpy(), marks, known, sizes, base.view(np.int64)])
+        rows = [(-1 - at, -1, at, len(sizes), 0, learnt, 8 * len(kept), _pack_long(kept))]
 
+        # words of the block by their numbers, so that sorted ones are near each other; the end is the first
+        by = np.argsort(ids)
+        ids, place = ids[by], np.empty(len(by), dtype=np.int64)
+        place[by] = np.arange(len(by))
+        tokens = place[tokens]
         for texts in _segments((np.cumsum(sizes) - 1) // step):
             lo, hi = texts[0], texts[-1] + 1
             own = tokens[begins[lo] : begins[lo] + sizes[lo:hi].sum()]
-            one, two = _before(own, sizes[lo:hi], words)
-            near, far = one << 32 | two, own << 32 | np.repeat(texts, sizes[lo:hi])
+            one, two = _before(own, sizes[lo:hi], END)
+            near, far = one << 32 | two, own << 32 | np.repeat(np.arange(hi - lo), sizes[lo:hi])
             order = np.lexsort((far, near))
             near, far = near[order], far[order]
             first = np.flatnonzero(_changes(near, far))
             times = np.diff(first, append=len(near))
             near, far = near[first], far[first]
             one, two, word, doc = ids[near >> 32], ids[near & 0xFFFFFFFF], ids[far >> 32], far & 0xFFFFFFFF
-            doc = doc * 2 + held[doc]
             part = parts.of(one, two)
-            for chosen in _segments(part):
-                packed = *(_pack_long(v[chosen]) for v in (one, two, word)), _pack(doc[chosen]), _pack(times[chosen])
-                rows.append((parts.group(int(part[chosen[0]])), int(part[chosen[0]]), at, len(chosen), *packed))
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            new = _changes(part)
+            starts, columns, stops = np.flatnonzero(new), [], []
+            for column in chain(_differences((v[order] for v in (one, two, word, doc)), new), [times[order] - 1]):
+                columns.append(_varints(column))
+                stops.append(np.append(0, np.flatnonzero(columns[-1] < 128) + 1)[np.append(starts, len(part))])
+            for i, (own_part, n) in enumerate(zip(part[starts].tolist(), np.diff(starts, append=len(part)).tolist(), strict=True)):
+                data = np.concatenate([c[s[i] : s[i + 1]] for c, s in zip(columns, stops, strict=True)]).tobytes()
+                rows.append((parts.group(own_part), own_part, at, n, int(lo), max(learnt - int(lo), 0), len(data), _squeeze(data)))
         return _table(list(zip(*rows, strict=True)), ENTRIES)
 
     return send
 
 
+def _squeeze(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _differences(columns: Iterable[np.ndarray], new: np.ndarray) -> Iterator[np.ndarray]:
+    """Of sorted rows, what each column has more than the row before, if the columns before it are alike; else the value itself."""
+    for column in columns:
+        more = np.where(new, column, np.diff(column, prepend=0))
+        new = new | (more != 0)
+        yield more
+
+
+def _sums(columns: Iterable[np.ndarray], new: np.ndarray) -> list[np.ndarray]:
+    """The columns that have these ``_differences``."""
+    out = []
+    for column in columns:
+        total, starts = np.cumsum(column), np.flatnonzero(new)
+        out.append(total - np.repeat(total[starts] - column[starts], np.diff(starts, append=len(total))))
+        new = new | (column != 0)
+    return out
+
+
 def _by_part(entries: pa.Table) -> list[tuple[int, list[dict]]]:
     """Rows of each part of a group."""
-    rows = sorted(entries.to_pylist(), key=lambda r: (r["_part"], r["_at"], r["_word"]))
+    rows = sorted(entries.to_pylist(), key=lambda r: (r["_part"], r["_at"], r["_first"]))
     return [(part, list(own)) for part, own in groupby(rows, key=lambda r: r["_part"])]
 
 
 def _received(rows: list[dict]) -> tuple[Contexts, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Contexts of a part; of each entry its place there, text and times; block and entries of each row."""
-    one, two, word = (np.concatenate([_unpack_long(r[c], r["_n"]) for r in rows]) for c in ("_one", "_two", "_word"))
-    doc, times = (np.concatenate([_unpack(r[c], r["_n"]) for r in rows]) for c in ("_doc", "_times"))
-    contexts, place = Contexts.of(one, two, word, times * (doc % 2 == 0))
-    return contexts, place, doc // 2, times, [(r["_at"], r["_n"]) for r in rows]
+    n = np.array([r["_n"] for r in rows])
+    stops = np.cumsum(n)
+    three, (doc, times) = np.empty((3, stops[-1]), dtype=np.int64), np.empty((2, stops[-1]), dtype=np.int32)
+    learnt = np.empty(stops[-1], dtype=bool)
+    for some in _segments((stops - n) // READ):
+        own = rows[some[0] : some[-1] + 1]
+        values = _from_varints(np.frombuffer(b"".join(pa.decompress(r["_data"], r["_size"], codec="zstd", asbytes=True) for r in own), np.uint8))
+        columns = np.concatenate([v.reshape(5, -1) for v in np.split(values, np.cumsum(5 * n[some])[:-1])], axis=1)
+        new = np.zeros(columns.shape[1], dtype=bool)
+        new[np.cumsum(n[some]) - n[some]] = True
+        at = slice(stops[some[0]] - n[some[0]], stops[some[-1]])
+        *three[:, at], text = _sums(columns[:4], new)
+        learnt[at] = text < np.repeat([r["_learnt"] for r in own], n[some])
+        doc[at], times[at] = text + np.repeat([r["_first"] for r in own], n[some]), columns[4] + 1
+    contexts, place = Contexts.of(*three, times * learnt)
+    return contexts, place, doc, times, [(r["_at"], r["_n"]) for r in rows]
 
 
 def _first_seating(parts: Parts):
@@ -659,6 +741,33 @@ def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], group
 
 
+def _pack_values(buckets: int):
+    """Words, how often they were learnt and their values, by bucket."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, often, values = (batch.column(c).to_numpy() for c in ("id", "n", "value"))
+            order = np.argsort(ids)
+            ids, often, values, rows = ids[order], often[order], values[order], []
+            bucket = _bucket_of(ids, buckets)
+            for at in _segments(bucket):
+                own = int(bucket[at[0]])
+                ranks = (ids[at] - (END + 1 + own)) // buckets
+                rows.append((own, len(at), _pack_long(np.diff(ranks, prepend=0)), _pack_long(often[at]), *_pack_alike(values[at])))
+            yield from _table(list(zip(*rows, strict=True)), WORD_VALUES).to_batches()
+
+    return pack
+
+
+def _word_values(packed: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a bucket, how often they were learnt and their values."""
+    rows = packed.to_pylist()
+    ids = [np.cumsum(_unpack_long(r["_ids"], r["_n"])) * buckets + (END + 1 + r["_bucket"]) for r in rows]
+    often = [_unpack_long(r["_often"], r["_n"]) for r in rows]
+    values = [_unpack_alike(r["_kinds"], r["_values"], r["_which"], r["_n"]) for r in rows]
+    return tuple(np.concatenate(v) if v else np.zeros(0) for v in (ids, often, values))
+
+
 def _halls(sent: pa.Table) -> pa.Table:
     """Of each frequent word's restaurant, how many dishes it has in a bucket, and how many of them with one and two customers."""
     _, split, ids, guests = _gathered(sent)
@@ -671,7 +780,7 @@ def _halls(sent: pa.Table) -> pa.Table:
     return _table([kinds, *(np.bincount(which, weights=found) for found in (n > 0, n == 1, n == 2))], HALLS)
 
 
-def _without_context(totals: Totals, discount: float, told: bool):
+def _without_context(totals: Totals, discount: float, buckets: int, told: bool):
     """Seat what all parts sent for some words: in the restaurants of frequent words, and theirs and all others in that without context.
 
     At first this gives the customers and tables of these restaurants, without context as word -1. Where these are told for all
@@ -683,9 +792,8 @@ def _without_context(totals: Totals, discount: float, told: bool):
             return _table([], PARENTS if told else TOLD)
         rows, split, word, guests = _gathered(sent)
         rng = np.random.default_rng([SEED, 1, rows[0]["_bucket"]])
-        ids = np.append(values.column("id").to_numpy(), END)
-        n = np.append(values.column("n").to_numpy(), totals.documents)
-        logs = np.append(values.column("value").to_numpy(), np.log10(totals.base[0]))
+        ids, n, logs = _word_values(values, buckets)
+        ids, n, logs = np.append(ids, END), np.append(n, totals.documents), np.append(logs, np.log10(totals.base[0]))
         by = np.argsort(ids)
         first2, group2 = _grouped(split, word)
         first1, group1 = _grouped(word[first2])
@@ -716,7 +824,7 @@ def _without_context(totals: Totals, discount: float, told: bool):
             if r["_split"] >= 0:
                 d = r["discount2"]
                 p = ((guests2 - d * tables2)[pair] + (STRENGTH + d * r["t2"]) * p) / (STRENGTH + r["c2"])
-            out.append((r["_group"], r["_bucket"], r["_n"], r["_ids"], _pack_long(p.view(np.int64))))
+            out.append((r["_group"], r["_bucket"], r["_n"], r["_ids"], *_pack_alike(p)))
         return _table(list(zip(*out, strict=True)), PARENTS)
 
     return seated
@@ -732,12 +840,12 @@ def _parents(sent: DataFrame, values: DataFrame, totals: Totals, parts: Parts, d
         sent = sent.join(F.broadcast(found), "_split", "left")
     else:
         sent = sent.withColumns({"discount2": F.lit(None).cast("double"), "open2": F.lit(None).cast("double")})
-    words = values.withColumn("_bucket", F.greatest(F.col("id") - (END + 1), F.lit(0)) % parts.buckets).groupBy("_bucket")
-    told = sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, False), TOLD)
+    words = values.mapInArrow(_pack_values(parts.buckets), WORD_VALUES).groupBy("_bucket")
+    told = sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, parts.buckets, False), TOLD)
     told = told.groupBy("_split").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t"))
     root = told.groupBy().agg(*(F.max(F.when(F.col("_split") == -1, F.col(c))).alias(f"{c}1") for c in "ct"))
     sent = sent.crossJoin(F.broadcast(root)).join(F.broadcast(told.withColumnsRenamed({"c": "c2", "t": "t2"})), "_split", "left")
-    return sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, True), PARENTS)
+    return sent.groupBy("_bucket").cogroup(words).applyInArrow(_without_context(totals, discount, parts.buckets, True), PARENTS)
 
 
 def _score(parts: Parts):
@@ -749,7 +857,7 @@ def _score(parts: Parts):
             return entries
         rows = parents.to_pylist()
         words = np.concatenate([np.cumsum(_unpack_long(r["_ids"], r["_n"])) for r in rows])
-        chances = np.concatenate([_unpack_long(r["_chances"], r["_n"]).view(np.float64) for r in rows])
+        chances = np.concatenate([_unpack_alike(r["_kinds"], r["_chances"], r["_which"], r["_n"]) for r in rows])
         order = np.argsort(words)
         words, chances, sums = words[order], chances[order], {}
         for part, own in _by_part(entries):
@@ -768,7 +876,8 @@ def _score(parts: Parts):
         out = []
         for at, found in sums.items():
             texts = np.flatnonzero(found)
-            out.append((group, 0, at, len(texts), None, None, None, _pack(texts), _pack_long(np.rint(-found[texts] * UNIT))))
+            data = _varints(np.concatenate([np.diff(texts, prepend=0), np.rint(-found[texts] * UNIT).astype(np.int64)])).tobytes()
+            out.append((group, 0, at, len(texts), 0, 0, len(data), _squeeze(data)))
         return _table(list(zip(*out, strict=True)), ENTRIES)
 
     return score
@@ -780,12 +889,13 @@ def _add(totals: Totals):
     def add(rows: pa.Table) -> pa.Table:
         known, *sums = sorted(rows.to_pylist(), key=lambda r: r["_part"])
         n = known["_n"]
-        docs, marks, words, sizes = (_unpack_long(known[c], n) for c in ("_one", "_two", "_word", "_doc"))
+        docs, marks, words, sizes, base = _unpack_long(known["_data"], 5 * n).reshape(5, n)
         scores = np.zeros(n)
         for r in sums:
-            scores[_unpack(r["_doc"], r["_n"])] -= _unpack_long(r["_times"], r["_n"])
+            texts, found = _from_varints(np.frombuffer(pa.decompress(r["_data"], r["_size"], codec="zstd", asbytes=True), np.uint8)).reshape(2, -1)
+            scores[np.cumsum(texts)] -= found
         held, ids = marks % 2 == 1, pa.array(docs, pa.int64(), mask=marks >= 2)
-        return _table([ids, held, sizes, words, np.full(n, totals.tokens), np.frombuffer(known["_times"]), scores / UNIT], RESULT)
+        return _table([ids, held, sizes, words, np.full(n, totals.tokens), base.view(np.float64), scores / UNIT], RESULT)
 
     return add
 
@@ -808,7 +918,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     blocks = durable(rows.mapInArrow(_encode, BLOCK))
     buckets = max(1, blocks.count())
     asked = blocks.select("_block", "_words", "_ends", "_counts").mapInArrow(_ask(buckets), WORDS).groupBy("_bucket")
-    vocabulary = durable(asked.applyInArrow(_count_words(buckets), VOCABULARY))
+    numbered = durable(asked.applyInArrow(_number_words(buckets), NUMBERED))
+    vocabulary = numbered.filter("_block is null").select("word", "id", "_end", "n")
 
     learnt = vocabulary.filter("n > 0")
     documents = blocks.select(F.explode("_held").alias("_held")).filter("not _held").count()
@@ -829,7 +940,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     values = vocabulary.withColumn("_own", own).mapInArrow(_word_logs(hall, samples, totals), "id bigint, n bigint, value double")
     values = durable(values)
     parts = _parts_for(values, totals, buckets)
-    answers = asked.applyInArrow(_answer(buckets), ANSWERS)
+    answers = numbered.filter("_block is not null").select("_block", "_n", "_places", "_ids", "_counts")
     texts = blocks.select(F.col("_block").alias("_at"), "_docs", "_held", "_sizes", "_tokens")
     entries = texts.groupBy("_at").cogroup(answers.groupBy("_block")).applyInArrow(_send(totals, parts, SORTED_TOKENS), ENTRIES)
     sent = entries.groupBy("_group").applyInArrow(_first_seating(parts), SENT)

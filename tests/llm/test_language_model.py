@@ -185,3 +185,76 @@ def test_parts_of_frequent_words_change_little(spark, monkeypatch):
     held_out = both[both.held_out]
     assert abs(held_out.score.sum() / held_out.score_parted.sum() - 1) < 0.05
     assert abs(both.score.sum() / both.score_parted.sum() - 1) < 0.05
+
+
+@pytest.mark.parametrize(("step", "most"), [(1 << 20, 3.1), (5_000, 3.7)])
+def test_entries_are_whole_and_small(spark, step, most):
+    """What leaves a block for the parts: every word after two words in every text, in few bytes a token."""
+    rng = np.random.default_rng(9)
+    names = [f"v{i}" for i in range(6_000)]
+    rows = [(d, " ".join(names[i] for i in np.minimum(rng.zipf(1.2, 200) - 1, 5_999))) for d in range(500)] + [(None, None), (-7, "v0")]
+    docs = frame(spark, rows, "doc_id bigint, text string").coalesce(1)
+    docs = docs.selectExpr("doc_id _doc", "coalesce(crc32(cast(doc_id as string)) % 7 = 2, false) _held", "coalesce(text, '') _text")
+    block = docs.mapInArrow(lm._encode, lm.BLOCK).toArrow()
+    assert block.num_rows == 1
+    own = np.array(block["_words"][0].values)
+    ids = lm.END + 1 + 3 * np.random.default_rng(10).permutation(len(own))
+    n = np.array(block["_counts"][0].values)
+    half = len(own) // 2
+    answers = [
+        (0, len(at), lm._pack(np.diff(at, prepend=0)), lm._pack_long(ids[at]), lm._pack_long(n[at]))
+        for at in (np.arange(half), np.arange(half, len(own)))
+    ]
+    totals = lm.Totals(np.zeros(0, np.int64), 1000, len(own), 10)
+    frequent = int(ids[0])
+    parts = lm.Parts(3, np.array([frequent]), np.array([2]), 1)
+    at = ["_at" if c == "_block" else c for c in block.column_names]
+    sent = lm._send(totals, parts, step)(block.rename_columns(at), lm._table(list(zip(*answers, strict=True)), lm.ANSWERS))
+    entries = sent.filter(np.array(sent["_group"]) >= 0)
+
+    id_of = dict(zip(own.tolist(), ids.tolist(), strict=True))
+    hashes = lm.split_words(lm.pa.array(names), lower=True).hashes.view(np.int64).tolist()
+    id_of = {name: id_of[h] for name, h in zip(names, hashes, strict=True) if h in id_of}
+    numbers = {doc: i for i, doc in enumerate(block["_docs"][0].as_py())}
+    learnt, texts = Counter(), Counter()
+    for doc, text in rows:
+        before = (lm.END, lm.END)
+        for word in [id_of[w] for w in tokens_of(text)] + [lm.END]:
+            learnt[before[1], before[0], word] += not held(doc)
+            texts[numbers[doc], before[1], before[0], word] += 1
+            before = (before[1], word)
+    got, got_texts = Counter(), Counter()
+    for part, own_rows in lm._by_part(entries):
+        contexts, place, doc, times, blocks = lm._received(own_rows)
+        assert (parts.of(contexts.one, contexts.two) == part).all() and sum(k for _, k in blocks) == len(place)
+        three = list(zip(contexts.one.tolist(), contexts.two.tolist(), contexts.word.tolist(), strict=True))
+        got.update(dict(zip(three, contexts.n.tolist(), strict=True)))
+        for p, d, t in zip(place.tolist(), doc.tolist(), times.tolist(), strict=True):
+            got_texts[(d, *three[p])] += t
+    assert got == learnt and got_texts == texts
+    size = sum(len(v or b"") for c in entries.column_names for v in entries[c].to_pylist() if isinstance(v, bytes))
+    assert size < most * sum(texts.values())
+
+
+def test_numbers_and_chances_are_packed_without_loss():
+    rng = np.random.default_rng(12)
+    numbers = np.concatenate([[0, 1, 127, 128, 16_383, 16_384, (1 << 62) + 5], rng.integers(0, 1 << 40, 1_000)])
+    assert (lm._from_varints(lm._varints(numbers)) == numbers).all() and not len(lm._from_varints(lm._varints(numbers[:0])))
+    chances = rng.random(40)[rng.integers(0, 40, 5_000)]
+    packed = lm._pack_alike(chances)
+    assert (lm._unpack_alike(*packed, len(chances)) == chances).all()
+    assert len(packed[1]) + len(packed[2]) < len(chances) * 1.5 < len(lm._pack_long(chances.view(np.int64)))
+
+
+def test_values_of_words_come_back_by_bucket():
+    rng = np.random.default_rng(13)
+    ids = lm.END + 1 + rng.permutation(900)
+    often, values = rng.integers(0, 5, 900), -rng.integers(1, 9, 900) / 7
+    batch = lm.pa.table({"id": ids, "n": often, "value": values}).to_batches()
+    packed = lm.pa.Table.from_batches(lm._pack_values(4)([batch[0].slice(0, 500), batch[0].slice(500)]))
+    found = {}
+    for bucket in range(4):
+        got = lm._word_values(packed.filter(np.array(packed["_bucket"]) == bucket), 4)
+        assert (lm._bucket_of(got[0], 4) == bucket).all()
+        found |= {i: (n, v) for i, n, v in zip(*(c.tolist() for c in got), strict=True)}
+    assert found == {i: (n, v) for i, n, v in zip(ids.tolist(), often.tolist(), values.tolist(), strict=True)}
