@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -164,3 +165,50 @@ def test_postings_are_sorted_where_the_texts_are_read(stored, monkeypatch):
     tables.upsert(stored, "cvs", batch, DIM)
     assert "Rebalance" in plans["cvs"] and "Rebalance" not in plans["cvs_postings"]
     assert tables.read_postings(stored, "cvs").count() == 80
+
+
+def odd_folder(top):
+    """A folder with names of all kinds, and what is no text file in it."""
+    folder = top / "f older%20#"
+    folder.mkdir()
+    for name in ("b +ó.txt", "a%20x.txt", "x:y.txt", "h#.txt", "_h=1.txt", "_h.txt", ".h.txt", "_metadata.txt", "c.md", "d.TXT"):
+        (folder / name).write_text(f"Jan {name} — x", encoding="utf-8")
+    (folder / "empty.txt").write_text("")
+    (folder / "dir.txt").mkdir()
+    (folder / "dir.txt" / "in.txt").write_text("x")
+    (folder / "link.txt").symlink_to("c.md")
+    (folder / "gone.txt").symlink_to("nothing")
+    (folder / "loop.txt").symlink_to("loop.txt")
+    with open(os.fsencode(folder) + b"/\xff.txt", "w") as file:
+        file.write("x")
+    os.utime(folder / "h#.txt", ns=(1, 1_700_000_000_123_456_789))
+    return str(folder)
+
+
+def by_spark(spark, folder):
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
+    return found.select("path", F.unix_micros("modificationTime").alias("modified"), F.col("length").alias("size"))
+
+
+def test_the_driver_lists_no_files(spark, tmp_path):
+    folder = odd_folder(tmp_path)
+    listed = files.list_text_files(spark, folder)
+    assert not listed.inputFiles()  # an index of files in the driver tells each of them
+    got = sorted(map(tuple, listed.collect()))
+    assert got == sorted(map(tuple, by_spark(spark, folder).collect()))
+    assert [p.rsplit("/", 1)[-1] for p, _, _ in got] == ["_h=1.txt", "a%20x.txt", "b +ó.txt", "h#.txt", "link.txt", "x:y.txt"]
+    again = files.read_listed_files(spark, folder, listed)
+    assert {r.filename: r.seq for r in again.collect()}["h#"] == 1_700_000_000_123_000
+
+
+def test_partitions_and_patterns_are_left_to_spark(spark, tmp_path):
+    for k in (1, 2):
+        (tmp_path / "parts" / f"k={k}").mkdir(parents=True)
+        (tmp_path / "parts" / f"k={k}" / f"{k}.txt").write_text("x")
+        (tmp_path / "some" / f"g{k}").mkdir(parents=True)
+        (tmp_path / "some" / f"g{k}" / f"{k}.txt").write_text("x")
+    for folder in ("parts", "some/g*", "some/g1/1.txt"):
+        wanted = sorted(map(tuple, by_spark(spark, str(tmp_path / folder)).collect()))
+        assert wanted and sorted(map(tuple, files.list_text_files(spark, str(tmp_path / folder)).collect())) == wanted
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.list_text_files(spark, str(tmp_path / "none"))
