@@ -212,3 +212,13 @@ def test_partitions_and_patterns_are_left_to_spark(spark, tmp_path):
         assert wanted and sorted(map(tuple, files.list_text_files(spark, str(tmp_path / folder)).collect())) == wanted
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.list_text_files(spark, str(tmp_path / "none"))
+
+
+def test_text_files_are_read_without_a_list_in_the_driver(spark, tmp_path):
+    folder = odd_folder(tmp_path)
+    read = files.read_text_files(spark, folder)
+    assert not [path for path in read.inputFiles() if path.endswith(".txt")]
+    texts = {name: f"Jan {name}.txt — x" for name in ("b +ó", "a%20x", "x:y", "h#", "_h=1")}
+    assert {r.filename: r.raw_text for r in read.collect()} == texts | {"link": "Jan c.md — x"}
+    (tmp_path / f"{folder}/late.txt").write_text("later")
+    assert read.count() == 6 and files.read_text_files(spark, folder).count() == 7
